@@ -97,7 +97,8 @@ def with_views(body: str, extra: dict[str, str] | None = None) -> str:
     visit(body)
     if not needed:
         return body
-    return "WITH " + ",\n".join(f"{n} AS ({views[n]})" for n in needed) + "\n" + body
+    recursive = "RECURSIVE " if "reach" in needed else ""
+    return f"WITH {recursive}" + ",\n".join(f"{n} AS ({views[n]})" for n in needed) + "\n" + body
 
 
 def first_row(source: str, keys: str, order: str, columns: str = "*") -> str:

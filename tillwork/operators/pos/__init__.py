@@ -1,0 +1 @@
+"""Point-of-sale profiles: raw JSON records to refined tables and identities."""

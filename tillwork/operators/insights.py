@@ -110,12 +110,10 @@ def item_sales_enrich(lines: DataFrame, locations: DataFrame, items: DataFrame,
     done = lines.filter(F.col("ord_state_id") == codes.ORDER_STATE["Completed"])
     food = food_items(items).select("item_id", "partner_id", "item_nm").distinct()
     sold = done.join(food, ["partner_id", "item_id"]).select(
-        "ord_id", "ord_date", "partner_id", "location_id", "item_nm", "item_quantity", "item_total", "identity_ids"
-    )
-    buyers = customer_of_order(sold, customer_identities(customer_360, NON_POS_TYPES), unmatched=True)
-    once = first_per_key(
-        sold.drop("identity_ids"), ["ord_id", "ord_date", "partner_id", "location_id", "item_nm"]
+        "ord_id", "ord_date", "partner_id", "location_id", "item_nm", "item_quantity", "item_total"
     )
+    buyers = customer_of_order(done, customer_identities(customer_360, NON_POS_TYPES), unmatched=True)
+    once = first_per_key(sold, ["ord_id", "ord_date", "partner_id", "location_id", "item_nm"])
     places = locations.select("partner_id", "location_id", "region", "state_code", "city", "location_nm")
     return once.join(buyers, ORDER_KEY).join(places, ["partner_id", "location_id"], "left")
 

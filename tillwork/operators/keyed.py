@@ -65,18 +65,24 @@ def with_group_totals(df: DataFrame, keys: list[str], totals: dict[str, tuple[st
     return salted.join(final, same & (salted["_salt"] == final["_s"])).select(*df.columns, *totals)
 
 
-def small_enough(df: DataFrame, max_rows: int) -> bool:
-    """True when the frame has at most max_rows rows; reads no more than max_rows + 1."""
-    return df.limit(max_rows + 1).count() <= max_rows
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def spread_join(big: DataFrame, small: DataFrame, keys: list[str], broadcast_rows: int = 200_000) -> DataFrame:
+def small_enough(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the frame stays within both bounds; looks at no more than max_rows + 1 rows."""
+    width = F.octet_length(F.to_json(F.struct(*df.columns)))
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
+
+
+def spread_join(big: DataFrame, small: DataFrame, keys: list[str], may_broadcast: bool = True) -> DataFrame:
     """Inner join on keys where one key may hold a large share of the big side.
 
-    A small side of at most broadcast_rows rows is broadcast; beyond that the big side is
-    salted and the small side is copied to exactly the salts each key has.
+    A small side of checked size is broadcast; beyond that the big side is salted and the
+    small side is copied to exactly the salts each key has.
     """
-    if small_enough(small, broadcast_rows):
+    if may_broadcast and small_enough(small):
         return big.join(F.broadcast(small), keys)
     salted = big.withColumn("_salt", _row_salt(big, salt_count(big.sparkSession)))
     pieces = salted.select(*keys, "_salt").distinct()

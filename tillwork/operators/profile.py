@@ -13,7 +13,7 @@ GENERAL = "general_customer_signal"
 PARTNER_LOCATION = "specific_partner_location_signal"
 SIGNAL_COLUMNS = ["partner_id", "location_id", "date_option", "customer_360_id", "signal_domain", "signal_name", "signal_value"]
 PLACE = ["customer_360_id", "section", "partner_id", "location_id"]
-NAMED_VALUE_MAP = "map<string,string>"
+MAX_NAMES = 1000
 
 
 def active_signal_catalogue(catalogue: DataFrame, signal_type: str | None = None) -> DataFrame:
@@ -24,7 +24,10 @@ def active_signal_catalogue(catalogue: DataFrame, signal_type: str | None = None
 
 def catalogue_values(catalogue: DataFrame, column: str) -> list[str]:
     """Distinct names of the catalogue (a configuration table), to fix pivot columns."""
-    return sorted(r[0] for r in catalogue.select(column).distinct().collect())
+    names = [r[0] for r in catalogue.select(column).distinct().limit(MAX_NAMES + 1).collect()]
+    if len(names) > MAX_NAMES:
+        raise ValueError(f"more than {MAX_NAMES} different {column} in the signal catalogue")
+    return sorted(names)
 
 
 def latest_weekly_signals(weekly: DataFrame, feed_date: str) -> DataFrame:

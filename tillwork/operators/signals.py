@@ -135,13 +135,19 @@ def with_all_metrics(orders: DataFrame, tenders: DataFrame) -> DataFrame:
     return staged
 
 
-def signals_grouping_sets(orders_with_metrics: DataFrame, identities: DataFrame, *domains: str) -> DataFrame:
-    """Metric sums by customer, partner, day and store, and over all stores as _ALL."""
+def signals_grouping_sets(
+    orders_with_metrics: DataFrame, identities: DataFrame, *domains: str, orders: DataFrame | None = None
+) -> DataFrame:
+    """Metric sums by customer, partner, day and store, and over all stores as _ALL.
+
+    orders, when given, are the same orders without metrics, so that finding their customers
+    does not compute the metrics a second time.
+    """
     names = metric_columns(*domains)
     once = first_per_key(
         orders_with_metrics.select(*ORDER_KEY, "ord_date", *names), ORDER_KEY, ["ord_date", *names]
     )
-    buyers = customer_of_order(orders_with_metrics, identities)
+    buyers = customer_of_order(orders_with_metrics if orders is None else orders, identities)
     rows = once.join(buyers, ORDER_KEY)
     keys = [F.col(c) for c in ("customer_360_id", "partner_id", "ord_date", "location_id")]
     grouped = rows.groupingSets([keys, keys[:3]], *keys).agg(
@@ -172,7 +178,7 @@ def preaggr_signals(
     if dates is not None:
         local = restrict_to(local, dates)
     metrics = with_all_metrics(local, tenders)
-    return signals_unpivot(signals_grouping_sets(metrics, customer_identities(customer_360)))
+    return signals_unpivot(signals_grouping_sets(metrics, customer_identities(customer_360), orders=local))
 
 
 def period_signals(daily: DataFrame, feed_date: str) -> DataFrame:

@@ -47,7 +47,10 @@ def iso(ts: Column, suffix: str = "Z") -> Column:
 
 
 def order_base(t: Tables) -> DataFrame:
-    """k, cu, loc, ts, cents and the list of lines (pk, sk, ln, q, lc) per order."""
+    """k, cu, loc, ts, cents and the list of lines (pk, sk, ln, q, lc) per order.
+
+    Shuffled once more, as the supplied tables are one file and thus one task each.
+    """
     lines = t.read("lineitem").groupBy("l_orderkey").agg(
         F.collect_list(
             obj(pk=F.col("l_partkey"), sk=F.col("l_suppkey"), ln=F.col("l_linenumber"), q=F.col("l_quantity").cast("int"), lc=cents("l_extendedprice"))
@@ -58,7 +61,7 @@ def order_base(t: Tables) -> DataFrame:
         k.alias("k"), F.col("o_custkey").alias("cu"), text("loc", k % 25).alias("loc"), cents("o_totalprice").alias("cents"),
         (F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(mins=(k % 1440).cast("int"))).alias("ts"),
     )
-    return base.join(lines, F.col("k") == F.col("l_orderkey"), "left").drop("l_orderkey")
+    return base.join(lines, F.col("k") == F.col("l_orderkey"), "left").drop("l_orderkey").repartition("k")
 
 
 def k() -> Column:

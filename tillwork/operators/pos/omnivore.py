@@ -34,20 +34,25 @@ LOCATIONS = c.RecordSpec(
     nulls=c.strings("fax", "parent_location_id", "extended_attr"),
 )
 
-TICKET = (
-    "id STRING, `open` STRING, `void` STRING, opened_at STRING, closed_at STRING, _links STRUCT<self: STRUCT<href: STRING>>, "
+_LINKS = "_links STRUCT<self: STRUCT<href: STRING>>"
+_PAYMENTS = (
+    "payments: ARRAY<STRUCT<id: STRING, type: STRING, last4: STRING, full_name: STRING, _embedded: STRUCT<tender_type: STRUCT<id: STRING, name: STRING>>>>"
+)
+_MENU = "menu_item: STRUCT<barcodes: ARRAY<STRING>, _embedded: STRUCT<menu_categories: ARRAY<STRUCT<id: STRING, name: STRING>>>>"
+MENU_SCHEMA = f"{_LINKS}, _embedded STRUCT<items: ARRAY<STRUCT<id: STRING, name: STRING, _embedded: STRUCT<modifiers: ARRAY<STRUCT<id: STRING>>, {_MENU}>>>>"
+PAYMENT_SCHEMA = f"id STRING, `open` STRING, `void` STRING, {_LINKS}, _embedded STRUCT<{_PAYMENTS}>"
+ORDER_SCHEMA = (
+    f"id STRING, `open` STRING, `void` STRING, opened_at STRING, closed_at STRING, {_LINKS}, "
     "totals STRUCT<total: STRING, discounts: STRING, service_charges: STRING, tax: STRING, tips: STRING, sub_total: STRING, paid: STRING>, "
     "_embedded STRUCT<order_type: STRUCT<id: STRING, name: STRING>, employee: STRUCT<id: STRING>, "
-    "payments: ARRAY<STRUCT<id: STRING, type: STRING, last4: STRING, full_name: STRING, _embedded: STRUCT<tender_type: STRUCT<id: STRING, name: STRING>>>>, "
-    "items: ARRAY<STRUCT<id: STRING, name: STRING, price: STRING, quantity: STRING, included_tax: STRING, "
-    "_embedded: STRUCT<modifiers: ARRAY<STRUCT<id: STRING>>, menu_item: STRUCT<barcodes: ARRAY<STRING>, "
-    "_embedded: STRUCT<menu_categories: ARRAY<STRUCT<id: STRING, name: STRING>>>>>>>>"
+    "payments: ARRAY<STRUCT<_embedded: STRUCT<tender_type: STRUCT<id: STRING>>>>, "
+    "items: ARRAY<STRUCT<id: STRING, price: STRING, quantity: STRING, included_tax: STRING>>>"
 )
 LOCATION_OF_URL = "get(split(r._links.self.href, '/'), 5)"
 
 CATEGORIES = c.RecordSpec(
     "tickets",
-    TICKET,
+    MENU_SCHEMA,
     {"cat_id": "m.id", "cat_nm": "m.name", "location_id": LOCATION_OF_URL},
     explode=(("m", "flatten(r._embedded.items._embedded.menu_item._embedded.menu_categories)"),),
     key=("cat_id", "location_id"),
@@ -58,7 +63,7 @@ _CATEGORY_NAMES = "x._embedded.menu_item._embedded.menu_categories.name"
 _ALL_NAMES = f"upper(concat_ws(',', {_CATEGORY_NAMES}))"
 ITEMS = c.RecordSpec(
     "tickets",
-    TICKET,
+    MENU_SCHEMA,
     {
         "item_id": "x.id",
         "item_nm": "x.name",
@@ -75,7 +80,7 @@ ITEMS = c.RecordSpec(
 
 TENDERS = c.RecordSpec(
     "tickets",
-    TICKET,
+    PAYMENT_SCHEMA,
     {
         "tender_id": "x._embedded.tender_type.id",
         "location_id": LOCATION_OF_URL,
@@ -88,7 +93,7 @@ TENDERS = c.RecordSpec(
 
 PAYMENTS = c.RecordSpec(
     "tickets",
-    TICKET,
+    PAYMENT_SCHEMA,
     {"payment_id": "x.id", "order_id": "r.id", "location_id": LOCATION_OF_URL, "name": "x.type"},
     explode=(("x", "r._embedded.payments"),),
     key=("location_id", "order_id", "payment_id"),
@@ -106,7 +111,7 @@ def orders(raw: DataFrame, by_order: DataFrame, partner_id: str, feed_date: str)
         return lambda: fields.cents_to_money(F.col(path))
 
     when = F.coalesce("r.closed_at", "r.opened_at")
-    rows = c.exploded(c.parsed(raw, "tickets", TICKET, feed_date), ("x", "r._embedded.items"))
+    rows = c.exploded(c.parsed(raw, "tickets", ORDER_SCHEMA, feed_date), ("x", "r._embedded.items"))
     lines = c.order_lines(
         rows,
         {
@@ -141,7 +146,7 @@ def orders(raw: DataFrame, by_order: DataFrame, partner_id: str, feed_date: str)
 
 def identities(raw: DataFrame, feed_date: str, salt: str) -> tuple[DataFrame, DataFrame]:
     """Name, tender and last four digits of the payments of closed, valid tickets."""
-    done = c.parsed(raw, "tickets", TICKET, feed_date).filter("r.open = 'false' AND r.void = 'false'")
+    done = c.parsed(raw, "tickets", PAYMENT_SCHEMA, feed_date).filter("r.open = 'false' AND r.void = 'false'")
     paid = c.exploded(done, ("x", "r._embedded.payments")).select(
         F.col("r.id").alias("ord_id"), F.expr(LOCATION_OF_URL).alias("location_id"),
         c.joined_key(F.coalesce("x.full_name", F.lit("")), F.col("x._embedded.tender_type.name"), F.col("x.last4")).alias("_card"),

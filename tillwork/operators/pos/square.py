@@ -131,8 +131,7 @@ ORDER_SCHEMA = (
     "id STRING, location_id STRING, state STRING, created_at STRING, closed_at STRING, customer_id STRING, source STRUCT<name: STRING>, "
     "total_money STRUCT<amount: STRING>, total_discount_money STRUCT<amount: STRING>, total_service_charge_money STRUCT<amount: STRING>, "
     "total_tax_money STRUCT<amount: STRING>, total_tip_money STRUCT<amount: STRING>, discounts STRUCT<uid: STRING>, "
-    "fulfillments ARRAY<STRUCT<state: STRING, type: STRING, pickup_details: STRUCT<recipient: STRUCT<email_address: STRING, phone_number: STRING>>>>, "
-    "tenders ARRAY<STRUCT<id: STRING, type: STRING, customer_id: STRING>>, "
+    "fulfillments ARRAY<STRUCT<state: STRING, type: STRING>>, tenders ARRAY<STRUCT<id: STRING>>, "
     "line_items ARRAY<STRUCT<uid: STRING, catalog_object_id: STRING, quantity: STRING, total_money: STRUCT<amount: STRING>, "
     "total_tax_money: STRUCT<amount: STRING>, applied_taxes: ARRAY<STRUCT<tax_uid: STRING>>>>"
 )
@@ -191,7 +190,11 @@ def orders(raw: DataFrame, by_order: DataFrame, partner_id: str, feed_date: str)
 
 def identities(raw: DataFrame, known_customers: DataFrame, payments: DataFrame, feed_date: str, salt: str) -> tuple[DataFrame, DataFrame]:
     """Customer and pickup contacts, and card combinations, of completed orders."""
-    done = c.parsed(raw, "orders", ORDER_SCHEMA, feed_date).filter("r.state = 'COMPLETED'").select(
+    schema = (
+        "id STRING, location_id STRING, state STRING, customer_id STRING, tenders ARRAY<STRUCT<id: STRING, customer_id: STRING>>, "
+        "fulfillments ARRAY<STRUCT<pickup_details: STRUCT<recipient: STRUCT<email_address: STRING, phone_number: STRING>>>>"
+    )
+    done = c.parsed(raw, "orders", schema, feed_date).filter("r.state = 'COMPLETED'").select(
         F.col("r.id").alias("ord_id"), F.col("r.location_id").alias("location_id"), "r.customer_id", "r.tenders", "r.fulfillments"
     )
     paid = done.select("ord_id", "location_id", "customer_id", F.explode("tenders").alias("x")).select(

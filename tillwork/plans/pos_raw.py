@@ -12,9 +12,10 @@ from tillwork.plans.q_fields import SOURCES, TYPES, cycle
 
 
 def raw_records(df: DataFrame, record_type: str, value: Column, feed_date: str = FEED_DATE, **extra: Column) -> DataFrame:
+    """Records as a raw table holds them; the one-element explode builds a record's text once."""
     return df.select(
-        F.lit(record_type).alias("record_type"), F.to_json(value).alias("record_value"), F.lit(feed_date).alias("feed_date"),
-        *[e.alias(n) for n, e in extra.items()],
+        F.lit(record_type).alias("record_type"), F.explode(F.array(F.to_json(value))).alias("record_value"),
+        F.lit(feed_date).alias("feed_date"), *[e.alias(n) for n, e in extra.items()],
     )
 
 

@@ -65,15 +65,19 @@ def with_group_totals(df: DataFrame, keys: list[str], totals: dict[str, tuple[st
     return salted.join(final, same & (salted["_salt"] == final["_s"])).select(*df.columns, *totals)
 
 
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def small_enough(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether the frame stays within both bounds; looks at no more than max_rows + 1 rows."""
+    """Whether the frame stays within both bounds.
+
+    Only the widths of max_rows + 1 rows are fetched, partition after partition until there
+    are enough; a limit below an aggregate would first send every task's rows to one.
+    """
     width = F.octet_length(F.to_json(F.struct(*df.columns)))
-    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
-    return rows <= max_rows and (size or 0) <= max_bytes
+    widths = [r[0] for r in df.select(width).limit(max_rows + 1).collect()]
+    return len(widths) <= max_rows and sum(widths) <= max_bytes
 
 
 def spread_join(big: DataFrame, small: DataFrame, keys: list[str], may_broadcast: bool = True) -> DataFrame:

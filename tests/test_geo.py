@@ -64,3 +64,12 @@ def test_overlap_equals_brute_force(spark, monkeypatch):
     assert found() == expected and len(expected) > 50
     monkeypatch.setattr("tillwork.operators.keyed.small_enough", lambda *_: False)
     assert found() == expected
+
+
+def test_prefilter_reaches_the_parquet_scan(spark, tmp_path):
+    path = str(tmp_path / "pings")
+    spark.createDataFrame([(40.0, -74.0), (10.0, 10.0)], "latitude double, longitude double").write.parquet(path)
+    kept = spark.read.parquet(path).filter(geo.geo_prefilter(stores(spark, [(40.0, -74.0)]), 100.0))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(latitude" in plan and "LessThanOrEqual(longitude" in plan
+    assert kept.count() == 1

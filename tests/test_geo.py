@@ -67,6 +67,7 @@ def test_overlap_equals_brute_force(spark, monkeypatch):
 
 
 def test_prefilter_reaches_the_parquet_scan(spark, tmp_path):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     path = str(tmp_path / "pings")
     spark.createDataFrame([(40.0, -74.0), (10.0, 10.0)], "latitude double, longitude double").write.parquet(path)
     kept = spark.read.parquet(path).filter(geo.geo_prefilter(stores(spark, [(40.0, -74.0)]), 100.0))

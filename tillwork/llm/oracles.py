@@ -20,6 +20,60 @@ def _rules(rules: list[tuple[str, str, str]], then) -> str:
     return f"CASE {' '.join(cases)} END"
 
 
+def license_scan(templates: list) -> str:
+    words = ", ".join(
+        f"({t}, {q}, '{w}', {x.key_from <= q < x.key_to})" for t, x in enumerate(templates) for q, w in enumerate(x.words)
+    )
+    kinds = ", ".join(f"({t}, '{x.label}', {len(x.words)}, {x.key_to - x.key_from}, {x.base})" for t, x in enumerate(templates))
+    lowered = _LOWER.format("coalesce(text, '')")
+    return f"""
+WITH template_words(t, q, word, is_key) AS (VALUES {words}), kinds(t, label, n, n_key, is_base) AS (VALUES {kinds}),
+split AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all({lowered}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents
+), placed AS (
+  SELECT row, unnest(words) AS word, unnest(range(len(words))) AS p FROM split
+), proposals AS (
+  SELECT row, t, p - q AS start, count(*) AS hits, count(*) FILTER (is_key) AS key_hits FROM placed JOIN template_words USING (word) GROUP BY ALL
+), found AS (
+  SELECT row, label, start, is_base, hits / n AS share FROM proposals JOIN kinds USING (t) WHERE key_hits = n_key
+), summed AS (
+  SELECT row, count(*) FILTER (is_base) AS n_base, min(start) FILTER (is_base) AS first_word, max(start) FILTER (is_base) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (is_base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+  FROM found GROUP BY row
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+  coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score
+FROM split LEFT JOIN summed USING (row)
+"""
+
+
+NGRAM_JOIN = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), nodes AS (
+  SELECT words, min(doc_id) AS node, count(*) AS copies FROM split WHERE len(words) > 0 GROUP BY words
+), grams AS (
+  SELECT DISTINCT node, hash(words[p:p + 4]) AS gram FROM (SELECT node, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS p FROM nodes)
+), sizes AS (
+  SELECT node, count(*) AS n FROM grams GROUP BY node
+), pairs AS (
+  SELECT a.node AS a, b.node AS b, count(*) AS shared FROM grams a JOIN grams b ON a.gram = b.gram AND a.node < b.node GROUP BY ALL
+), linked AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.node = a JOIN sizes y ON y.node = b WHERE shared / (x.n + y.n - shared) >= 0.8
+), both_ways AS (
+  SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked
+), reach(node, other) AS (
+  SELECT a, a FROM both_ways UNION SELECT r.node, e.b FROM reach r JOIN both_ways e ON e.a = r.other
+), classes AS (
+  SELECT node, min(other) AS class_id FROM reach GROUP BY node
+), counts AS (
+  SELECT a AS node, sum(copies)::BIGINT AS links FROM both_ways JOIN nodes ON nodes.node = b GROUP BY a
+)
+SELECT doc_id, coalesce(class_id, node, doc_id) AS class_id, coalesce(links, 0) + coalesce(copies, 1) - 1 AS links
+FROM split LEFT JOIN nodes USING (words) LEFT JOIN classes USING (node) LEFT JOIN counts USING (node)
+"""
+
+
 def url_filter(rules: list[tuple[str, str, str]]) -> str:
     split = "coalesce(" + _LOWER.format("regexp_extract({0}, '(?s)^.*?://([^/?#]*)', 1)") + ", '') AS host, coalesce(regexp_extract({0}, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path"
     verdict = _rules(rules, lambda h, p, w: w)

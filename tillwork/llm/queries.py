@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork.llm import oracles
+from tillwork.llm.license_scan import TEMPLATES, scan_licenses
 from tillwork.llm.mixing import mix
+from tillwork.llm.ngram_join import near_duplicates
 from tillwork.llm.sharding import hilbert_shards
 from tillwork.llm.url_filter import judge_urls
 from tillwork.session import tuned
@@ -31,6 +33,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(table(spark, folder, "documents")).drop("spans")
+
+
+@query
+def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 @query
 def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(table(spark, folder, "pages"), URL_RULES)
@@ -49,5 +61,7 @@ def op8_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+ORACLES["op1_license_scan"] = oracles.license_scan(TEMPLATES)
+ORACLES["op2_ngram_join"] = oracles.NGRAM_JOIN
 ORACLES["op4_url_filter"] = oracles.url_filter(URL_RULES)
 ORACLES["op6_mix"] = oracles.MIX

@@ -54,26 +54,28 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
 
 
 def mix(
-    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, seed: str = "mix"
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, seed: str = "mix",
+    carry: list[str] | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken (tokens) and copies taken.
 
-    docs: doc_id, text, source, and any other columns, which are not carried. A null text has size
+    docs: doc_id, text, source, and any other columns, of which `carry` names those to keep. A null text has size
     0, a null source is a source of its own, a null doc_id is shuffled like an empty one. Repeated rows are
     documents of their own. Copies are whole: the budget ends before the first copy that
     would pass it. The order is a digest of doc_id, so reruns agree. Empty in, empty out.
     """
+    carry = carry or []
     sized = saved(
-        narrow(docs, "doc_id", "source", "text").select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes"
+        narrow(docs, "doc_id", "source", "text", *carry).select("doc_id", "source", *carry, word_count(F.col("text")).alias("size")), "sizes"
     )
     per_source = targets(saved(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "sums"), weights, share, epochs)
     per_source = saved(running_total(per_source, ["rank"], ["source_size"]).drop("pid"), "targets")
     keyed = sized.join(per_source, sized["source"].eqNullSafe(per_source["source"]), "left").select(
-        "doc_id", sized["source"], "size", "source_size", "rank", "target", "before_source_size", shuffle_key(F.col("doc_id"), seed).alias("shuffled")
+        "doc_id", sized["source"], *carry, "size", "source_size", "rank", "target", "before_source_size", shuffle_key(F.col("doc_id"), seed).alias("shuffled")
     )
     queued = running_total(keyed, ["rank", "shuffled", "doc_id", "size"], ["size"])
     done = F.col("before_size") - F.col("before_source_size") + F.col("size")  # the source's tokens with this document
-    queued = saved(queued.select("doc_id", "source", "size", "source_size", "rank", "target", "shuffled", done.alias("done")), "queue")
+    queued = saved(queued.select("doc_id", "source", *carry, "size", "source_size", "rank", "target", "shuffled", done.alias("done")), "queue")
 
     def finish(epoch: Column) -> Column:
         return F.when(F.col("size") == 0, F.lit(0.0)).otherwise((F.col("done") + epoch * F.col("source_size")) / F.col("target"))
@@ -90,5 +92,5 @@ def mix(
         at = F.lit(True) if cut is None else now < F.struct(F.lit(cut[0]).alias("finish"), F.lit(cut[1]).alias("rank"), F.lit(cut[2]).alias("done"))
         taken = taken + at.cast("int")
     return queued.withColumn("copies", F.when(F.col("size") > 0, taken).otherwise(F.lit(1))).select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "copies"
+        "doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "copies", *carry
     )

@@ -51,6 +51,12 @@ def narrow(df: DataFrame, *names: str) -> DataFrame:
     return by_place.select(*[F.col(f"c{at[n]}").alias(n) for n in names])
 
 
+def plain_names(df: DataFrame, *names: str) -> DataFrame:
+    """All columns in place, these under their names and the others as column_<place>; toDF gives the names back."""
+    first = {name: df.columns.index(name) for name in names}
+    return df.toDF(*[c if first.get(c) == i else f"column_{i}" for i, c in enumerate(df.columns)])
+
+
 def running_total(df: DataFrame, order: list[str], amounts: list[str]) -> DataFrame:
     """Adds before_<a> and pid: the sum of each amount over all rows before this one in a global order.
 

@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -14,7 +15,8 @@ def spark():
     session = (
         SparkSession.builder.master("local[8]").appName("tillwork-tests")
         .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "6g").getOrCreate()
+        .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "6g")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tillwork-tests-")).getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield tuned(session)

@@ -1,8 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tillwork.operators import feeds
 from tillwork.sources.landing import ingest_landing
-from tillwork.sources.sinks import replace_partitions, write_partitioned
+from tillwork.sources.sinks import replace_partitions, replace_within, write_partitioned
 
 
 def test_market_lines(spark):
@@ -37,6 +38,10 @@ def test_attribute_rules_are_strict(spark):
     rejects = feeds.validate_codes(attributes(spark, "y", "1"), codes.filter("code = 'B'"), ["job"])
     with pytest.raises(ValueError):
         feeds.require_no_rejects(rejects)
+    many = spark.createDataFrame([("t", "y", "1", f"J{i % 300}") for i in range(600)], "person_id string, owner string, age string, job string")
+    found = feeds.validate_codes(many, codes, ["job"]).collect()
+    assert len(found) == 300 and {r.cells for r in found} == {2}
+    feeds.require_no_rejects(feeds.validate_codes(attributes(spark, "y", "1"), codes, ["job"]))
 
 
 def test_landing_and_partition_writes(spark, tmp_path):
@@ -50,3 +55,24 @@ def test_landing_and_partition_writes(spark, tmp_path):
         write_partitioned(df, path, ["d"], first=True)
     replace_partitions(spark.createDataFrame([(9, "y")], "a int, d string"), path, ["d"])
     assert sorted(tuple(r) for r in spark.read.parquet(path).select("a", "d").collect()) == [(1, "x"), (9, "y")]
+
+
+def test_replace_within_drops_emptied_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = [(1, "2024-01-01", "a"), (2, "2024-01-01", "b:c"), (3, "2024-01-02", "a"), (4, "2024-01-03", "a"), (5, None, "a")]
+    schema = "v int, day string, name string"
+    spark.createDataFrame(old, schema).write.partitionBy("day", "name").parquet(path)
+
+    def stored():
+        return sorted((tuple(r) for r in spark.read.schema(schema).parquet(path).select("v", "day", "name").collect()), key=str)
+
+    days = spark.createDataFrame([("2024-01-01",), ("2024-01-02",), (None,), ("2024-01-09",)], "day string")
+    new = spark.createDataFrame([(9, "2024-01-01", "b:c")], schema)
+    replace_within(new, path, ["day", "name"], days)
+    assert stored() == [(4, "2024-01-03", "a"), (9, "2024-01-01", "b:c")]
+    with pytest.raises(ValueError):
+        replace_within(new, path, ["day", "name"], days.filter("day = '2024-01-02'"))
+    broken = new.withColumn("v", F.when(F.col("v") > 0, F.raise_error(F.lit("broken")).cast("int")))
+    with pytest.raises(Exception):
+        replace_within(broken, path, ["day", "name"], spark.createDataFrame([("2024-01-01",), ("2024-01-03",)], "day string"))
+    assert stored() == [(4, "2024-01-03", "a"), (9, "2024-01-01", "b:c")]

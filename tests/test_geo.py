@@ -45,7 +45,7 @@ def test_prefilter_without_stores_keeps_all(spark):
     assert pings.filter(geo.geo_prefilter(stores(spark, []), 100.0)).count() == 1
 
 
-def test_overlap_equals_brute_force(spark, monkeypatch):
+def test_overlap_equals_brute_force(spark):
     rng = random.Random(7)
     points = [(40 + rng.uniform(0, 0.02), -74 + rng.uniform(0, 0.02)) for _ in range(12)]
     pings = [(str(1_600_000_000 + i), 40 + rng.uniform(-0.01, 0.03), -74 + rng.uniform(-0.01, 0.03), float(rng.randint(0, 60)), "MAID-AAID", f"d{i}", None) for i in range(600)]
@@ -58,12 +58,21 @@ def test_overlap_equals_brute_force(spark, monkeypatch):
         for i, s in enumerate(points)
         if math.dist(xy(p[1], p[2]), xy(*s)) <= p[3] * 2 + 300
     )
-    def found():
-        return rows(geo.geo_overlap(df, stores(spark, points), 50.0, 300.0, 2.0).select("location_id", "maid"))
+    for gaps in (5, 0, None):
+        found = geo.geo_overlap(df, stores(spark, points), 50.0, 300.0, 2.0, max_gaps=gaps)
+        assert rows(found.select("location_id", "maid")) == expected and len(expected) > 50
 
-    assert found() == expected and len(expected) > 50
-    monkeypatch.setattr("tillwork.operators.keyed.small_enough", lambda *_: False)
-    assert found() == expected
+
+def test_no_match_at_the_edge_of_the_box_is_lost(spark):
+    """A ping exactly as far as the largest threshold, straight along either axis."""
+    x, y = xy(40.0, -74.0)
+    limit = 50.0 * 2 + 300
+    pings = [degrees(x + dx * limit * 0.9999999, y + dy * limit * 0.9999999) for dx, dy in ((1, 0), (-1, 0), (0, 1), (0, -1))]
+    df = spark.createDataFrame(
+        [("1600000000", lat, lon, 50.0, "MAID-AAID", f"d{i}", None) for i, (lat, lon) in enumerate(pings)],
+        "utc_timestamp string, latitude double, longitude double, horizontal_accuracy double, id_type string, advertiser_id_AAID string, advertiser_id_IDFA string",
+    )
+    assert geo.geo_overlap(df, stores(spark, [(40.0, -74.0)]), 50.0, 300.0, 2.0).count() == 4
 
 
 def test_prefilter_reaches_the_parquet_scan(spark, tmp_path):

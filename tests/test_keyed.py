@@ -51,18 +51,44 @@ def test_group_totals_equal_the_window(spark):
     assert "Window" not in plan
 
 
-@pytest.mark.parametrize("may_broadcast", [True, False])
-def test_spread_join_equals_plain_join(spark, may_broadcast):
+@pytest.mark.parametrize("salts", [None, 5])
+def test_spread_join_equals_plain_join(spark, salts):
     rng = random.Random(2)
     big = table(spark, [(rng.choice(["hot"] * 8 + ["x", "y"]), i, i) for i in range(300)])
     small = spark.createDataFrame([("hot", "s1"), ("hot", "s2"), ("x", "s3"), ("z", "s4")], "k string, s string")
-    joined = keyed.spread_join(big, small, ["k"], may_broadcast=may_broadcast)
+    joined = keyed.spread_join(big, small, ["k"], salts=salts)
     assert rows(joined.select("k", "j", "v", "s")) == rows(big.join(small, "k").select("k", "j", "v", "s"))
 
 
-def test_small_enough_checks_rows_and_bytes(spark):
-    df = spark.range(100)
-    assert keyed.small_enough(df, 100) and not keyed.small_enough(df, 99) and not keyed.small_enough(df, 100, max_bytes=10)
+def test_group_totals_send_one_row_per_key_and_task(spark):
+    """A hot key is reduced before the shuffle, and no key is cut into pieces."""
+    df = spark.range(20_000).select((F.col("id") % 50).cast("string").alias("k"), F.col("id").alias("v")).repartition(4)
+    out = keyed.with_group_totals(df, ["k"], {"n": ("count", F.lit(1))})
+    assert out.groupBy("n").count().collect()[0].asDict() == {"n": 400, "count": 20_000}
+    assert "_salt" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_merges_refuse_a_key_that_comes_twice(spark):
+    target = table(spark, [("a", 1, 1), (None, 1, 2)])
+    for twice in ([("a", 1, 5), ("a", 1, 6)], [(None, 1, 5), (None, 1, 6)], [("z", 1, 5), ("z", 1, 6)]):
+        source = table(spark, twice)
+        for merged in (
+            keyed.merge_upsert(target, source, ["k", "j"]), keyed.merge_conditional(target, source, ["k", "j"], {}),
+            keyed.merge_partial_update(target, source, ["k", "j"], ["v"]),
+        ):
+            with pytest.raises(Exception, match="several rows"):
+                merged.collect()
+    with pytest.raises(Exception, match="several rows"):
+        keyed.merge_insert_only(target, table(spark, [("z", 1, 5), ("z", 1, 6)]), ["k", "j"]).collect()
+
+
+def test_conditional_merge_reads_each_side_once(spark, tmp_path):
+    for name in ("t", "s"):
+        table(spark, [("a", 1, 1)]).write.parquet(str(tmp_path / name))
+    sides = [spark.read.parquet(str(tmp_path / name)) for name in ("t", "s")]
+    merged = keyed.merge_conditional(*sides, ["k", "j"], {"v": F.col("s_v")}, keep=F.col("s_v") > 0)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and "FullOuter" in plan
 
 
 def test_overwrite_where(spark):

@@ -108,3 +108,9 @@ def offset_commit(tracker: DataFrame, processed: DataFrame, consumer: str) -> Da
         F.lit(consumer).alias("consumer_id"), "table_name", F.col("end_version").alias("latest_processed_version")
     )
     return merge_upsert(tracker, rows, ["consumer_id", "table_name"])
+
+
+def full_scan_source(table: DataFrame, version: str) -> DataFrame:
+    """All rows of the newest version of a table with a version column, which is the offset to commit."""
+    newest = table.agg(F.max(version).alias(version))
+    return table.join(newest, version).select(*table.columns)

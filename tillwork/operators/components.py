@@ -1,8 +1,8 @@
 """Connected components by alternating large-star and small-star steps (Kiveris et al., 2014).
 
-A node's smallest neighbour is found and handed back by with_group_totals, which splits a
-node with very many edges, so the centre of a giant component is never one task. Each round
-ends in a reliable checkpoint; the label of a component is its smallest identity.
+A node's smallest neighbour is aggregated before the shuffle and joined back, so the centre of a
+giant component is never one task. Each round is a table in the shared folder, deleted when the next
+is written; the label of a component is its smallest identity.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.operators.keyed import with_group_totals
-from tillwork.session import ensure_checkpoint_dir
+from tillwork.session import delete_folder, scratch_folder
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -33,24 +33,30 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return row[0], row[1]
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
-    """vertices (id) and edges (src, dst) to (id, component_id); lone vertices keep themselves."""
-    ensure_checkpoint_dir(vertices.sparkSession)
-    stars = (
-        edges.filter(F.col("src") != F.col("dst"))
-        .select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v"))
-        .distinct()
-        .checkpoint()
-    )
+def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+    """vertices (id) and edges (src, dst) to (id, component_id); lone vertices keep themselves.
+
+    The rounds end when one changes nothing; each at least halves the longest chain, so their number
+    grows with the logarithm of the largest component and needs no limit.
+    """
+    spark = vertices.sparkSession
+    folder = scratch_folder(spark, "edges")
+
+    def written(frame: DataFrame, number: int) -> DataFrame:
+        path = f"{folder}/round={number}"
+        frame.write.parquet(path)
+        return spark.read.schema(frame.schema).parquet(path)
+
+    first = edges.filter(F.col("src") != F.col("dst")).select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v"))
+    number, stars = 0, written(first.distinct(), 0)
     seen = _fingerprint(stars)
-    for _ in range(max_rounds):
-        stars = _small_star(_large_star(stars)).checkpoint()
+    while seen[0]:
+        number, stars = number + 1, written(_small_star(_large_star(stars)), number + 1)
         now = _fingerprint(stars)
+        delete_folder(spark, f"{folder}/round={number - 1}")
         if now == seen:
             break
         seen = now
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     labels = stars.select(F.col("u").alias("id"), F.col("v").alias("component_id"))
     ids = vertices.select("id").union(edges.select("src")).union(edges.select("dst")).distinct()
     return ids.join(labels, "id", "left").select("id", F.coalesce("component_id", "id").alias("component_id"))

@@ -140,18 +140,18 @@ def person_attributes_decode(
     )
 
 
-def validate_codes(raw: DataFrame, dictionary: DataFrame, coded: list[str], report: int = 100) -> DataFrame:
-    """The first `report` distinct (category, code) pairs that have no dictionary entry."""
+def validate_codes(raw: DataFrame, dictionary: DataFrame, coded: list[str]) -> DataFrame:
+    """Every (category, code) pair that has no dictionary entry, with the number of cells it stands in."""
     cells = F.array(*[F.struct(F.lit(c).alias("code_category"), F.col(c).cast("string").alias("code")) for c in coded])
-    used = raw.select(F.inline(cells)).filter(F.col("code").isNotNull()).distinct()
-    return used.join(dictionary, ["code_category", "code"], "left_anti").orderBy("code_category", "code").limit(report)
+    used = raw.select(F.inline(cells)).filter(F.col("code").isNotNull()).groupBy("code_category", "code").agg(F.count(F.lit(1)).alias("cells"))
+    return used.join(dictionary, ["code_category", "code"], "left_anti")
 
 
-def require_no_rejects(rejects: DataFrame) -> None:
-    """Fail with the rejected pairs, which validate_codes has bounded."""
-    bad = [tuple(r) for r in rejects.collect()]
+def require_no_rejects(rejects: DataFrame, named: int = 100) -> None:
+    """Fail if there is any rejected pair; the message names the first ones only."""
+    bad = rejects.orderBy("code_category", "code").limit(named).collect()
     if bad:
-        raise ValueError(f"codes missing from the dictionary: {bad}")
+        raise ValueError(f"codes missing from the dictionary, the first {named} at most: {[tuple(r) for r in bad]}")
 
 
 def person_attributes_merge(stored: DataFrame, decoded: DataFrame) -> DataFrame:

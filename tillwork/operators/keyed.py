@@ -1,18 +1,17 @@
 """Keyed building blocks: one row per key, group totals, spread joins and merges.
 
-None of them gathers a key's rows in one task: they aggregate before the shuffle or
-split a key by a salt that is a function of the row, so a retried task sees the same split.
+None of them gathers a key's rows in one task: they aggregate before the shuffle, join in a way that
+lets Spark split a hot key, or split it by a salt that is a function of the row, so a retried
+task sees the same split.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwork.session import salt_count
-
 
 def all_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
@@ -39,56 +38,31 @@ def _row_salt(df: DataFrame, salts: int) -> Column:
     return F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int")
 
 
-_AGGREGATES = {
-    "min": (F.min, F.min),
-    "max": (F.max, F.max),
-    "sum": (F.sum, F.sum),
-    "count": (F.count, F.sum),
-}
+_AGGREGATES = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.count}
 
 
 def with_group_totals(df: DataFrame, keys: list[str], totals: dict[str, tuple[str, Column]]) -> DataFrame:
     """Attach whole-group min/max/sum/count to every row without a window.
 
-    A group is aggregated per (key, salt), then per key; the result goes back only to the
-    salts the key really has, so a small key costs one row and a hot key is split.
+    The totals are aggregated before the shuffle, so a hot key costs a row per task; they are joined
+    back one row per key, and the rows of a hot key on the other side are split by AQE.
     """
-    salted = df.withColumn("_salt", _row_salt(df, salt_count(df.sparkSession)))
-    partial = salted.groupBy(*keys, "_salt").agg(
-        *[_AGGREGATES[fn][0](expr).alias(name) for name, (fn, expr) in totals.items()]
+    final = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
+        *[_AGGREGATES[fn](expr).alias(name) for name, (fn, expr) in totals.items()]
     )
-    final = partial.groupBy(*keys).agg(
-        *[_AGGREGATES[fn][1](name).alias(name) for name, (fn, _) in totals.items()],
-        F.collect_set("_salt").alias("_salts"),
-    ).select(*[F.col(k).alias(f"_k_{k}") for k in keys], *totals, F.explode("_salts").alias("_s"))
-    same = all_of([salted[k].eqNullSafe(final[f"_k_{k}"]) for k in keys])
-    return salted.join(final, same & (salted["_salt"] == final["_s"])).select(*df.columns, *totals)
-
-
-BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def small_enough(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether the frame stays within both bounds.
-
-    Only the widths of max_rows + 1 rows are fetched, partition after partition until there
-    are enough; a limit below an aggregate would first send every task's rows to one.
-    """
-    width = F.octet_length(F.to_json(F.struct(*df.columns)))
-    widths = [r[0] for r in df.select(width).limit(max_rows + 1).collect()]
-    return len(widths) <= max_rows and sum(widths) <= max_bytes
+    same = all_of([df[k].eqNullSafe(final[f"_k_{k}"]) for k in keys])
+    return df.join(final, same).select(*df.columns, *totals)
 
 
-def spread_join(big: DataFrame, small: DataFrame, keys: list[str], may_broadcast: bool = True) -> DataFrame:
+def spread_join(big: DataFrame, small: DataFrame, keys: list[str], salts: int | None = None) -> DataFrame:
     """Inner join on keys where one key may hold a large share of the big side.
 
-    A small side of checked size is broadcast; beyond that the big side is salted and the
-    small side is copied to exactly the salts each key has.
+    Spark broadcasts a small side by its size or splits the hot key (AQE). With `salts` the big side
+    is split by hand and the small side copied to exactly the salts each key has.
     """
-    if may_broadcast and small_enough(small):
-        return big.join(F.broadcast(small), keys)
-    salted = big.withColumn("_salt", _row_salt(big, salt_count(big.sparkSession)))
+    if not salts:
+        return big.join(small, keys)
+    salted = big.withColumn("_salt", _row_salt(big, salts))
     pieces = salted.select(*keys, "_salt").distinct()
     return salted.join(small.join(pieces, keys), [*keys, "_salt"]).drop("_salt")
 
@@ -115,15 +89,26 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
 
+def one_row_per_key(source: DataFrame, keys: list[str]) -> DataFrame:
+    """The source of a merge, which fails when a key (null-safe) comes twice.
+
+    The count shares the join's shuffle; a key with many rows is what the failure is about.
+    """
+    counted = source.withColumn("_copies", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    message = F.concat(F.lit("merge source has several rows of the key "), F.to_json(F.struct(*keys)))
+    return counted.filter(F.when(F.col("_copies") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))).drop("_copies")
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], full: bool = False) -> DataFrame:
-    """Matched rows are replaced by the source, other source rows inserted."""
+    """Matched rows are replaced by the source, other source rows inserted; a key twice in the source fails."""
     if full:
         return source
-    return without_matches(target, source, keys).unionByName(source)
+    return without_matches(target, source, keys).unionByName(one_row_per_key(source, keys))
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    return target.unionByName(without_matches(source, target, keys))
+    """Source rows of new keys are added; a key twice in the source fails."""
+    return target.unionByName(without_matches(one_row_per_key(source, keys), target, keys))
 
 
 def merge_delete(target: DataFrame, deleted: DataFrame, keys: list[str]) -> DataFrame:
@@ -141,24 +126,24 @@ def merge_conditional(
     """Matched rows take the update expressions and are deleted unless keep holds.
 
     Expressions name target columns plainly and source columns as s_<name>. Unmatched
-    source rows are inserted, with the given defaults for columns the source lacks.
+    source rows are inserted, with the given defaults for columns the source lacks. One
+    full outer join reads either side once; a key twice in the source fails.
     """
-    prefixed = source.select(*[F.col(c).alias(f"s_{c}") for c in source.columns])
-    on = all_of([target[k].eqNullSafe(prefixed[f"s_{k}"]) for k in keys])
-    hit = F.col("_hit").isNotNull()
-    merged = target.join(prefixed.withColumn("_hit", F.lit(True)), on, "left")
+    ready = one_row_per_key(source, keys)
+    fresh = {c: (insert or {}).get(c, F.col(c) if c in source.columns else None) for c in target.columns}
+    if lacking := [c for c, value in fresh.items() if value is None]:
+        raise ValueError(f"no value to insert for {lacking}")
+    prefixed = ready.select(
+        *[F.col(c).alias(f"s_{c}") for c in source.columns], *[value.alias(f"_new_{c}") for c, value in fresh.items()], F.lit(True).alias("_hit")
+    )
+    stored = target.withColumn("_there", F.lit(True))
+    both = stored.join(prefixed, all_of([stored[k].eqNullSafe(prefixed[f"s_{k}"]) for k in keys]), "full_outer")
+    there, hit = F.col("_there").isNotNull(), F.col("_hit").isNotNull()
     if keep is not None:
-        merged = merged.filter(~hit | keep)
-    updated = merged.select(
-        *[
-            F.when(hit, update[c]).otherwise(F.col(c)).alias(c) if c in update else F.col(c)
-            for c in target.columns
-        ]
+        both = both.filter(~(there & hit) | keep)
+    return both.select(
+        *[F.when(there & hit, update.get(c, F.col(c))).when(there, F.col(c)).otherwise(F.col(f"_new_{c}")).alias(c) for c in target.columns]
     )
-    new_rows = without_matches(source, target, keys)
-    if insert:
-        new_rows = new_rows.withColumns(insert)
-    return updated.unionByName(new_rows.select(*target.columns))
 
 
 def merge_partial_update(target: DataFrame, source: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:

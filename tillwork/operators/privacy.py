@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -51,113 +52,120 @@ def pseudonymise_columns(df: DataFrame, rules: list[Rule], salt: str) -> tuple[D
     return hashed, lookup
 
 
-def _rewrite(value: Column, path: tuple[str, ...], change: Callable[[Column], Column]) -> Column:
-    if not path:
-        return change(value)
-    head, rest = path[0], path[1:]
-    if head == "*":
-        return F.transform(value, lambda x: _rewrite(x, rest, change))
-    return value.withField(head, _rewrite(value[head], rest, change))
+def pseudonymise_json(df: DataFrame, rules: list[Rule], salt: str) -> tuple[DataFrame, DataFrame]:
+    """The same for values at paths inside JSON columns of any shape.
 
+    Only the text of the values at the paths changes; every other character stays, so numbers, nulls,
+    repeated names and blanks are what they were. A value that normalises to nothing becomes null
+    and gets no lookup row; null stays null. A malformed document fails the job. One Arrow step finds the
+    places of the values, all else is column expressions.
+    """
+    columns = list(dict.fromkeys(r.column for r in rules))
+    if len({(r.column, r.path) for r in rules}) < len(rules):
+        raise ValueError("two rules have the same path")
+    found = {}
+    for c in columns:
+        mine = [r for r in rules if r.column == c]
+        found[c] = F.transform(_places([r.path for r in mine])(F.col(c)), _judge(mine, salt))
+    # one row per document again: the explode keeps the optimizer from copying the parse into every use
+    parsed = df.select("*", F.explode(F.array(F.struct(*[v.alias(c) for c, v in found.items()]))).alias("_found"))
+    hashed = parsed.withColumns({c: _spliced(F.col(c), F.col("_found")[c]) for c in columns}).drop("_found")
+    hits = F.flatten(F.array_compact(F.array(*[F.col("_found")[c] for c in columns])))
+    lookup = parsed.select(F.inline(hits)).filter(F.col("original_value").isNotNull())
+    return hashed, lookup.select("original_value", "hashed_value", "identity_type")
+
+
+def _judge(rules: list[Rule], salt: str) -> Callable[[Column], Column]:
+    types = F.array(*[F.lit(r.identity_type).cast("string") for r in rules])
 
-def _values(value: Column, path: tuple[str, ...]) -> Column:
-    if not path:
-        return F.array(value)
-    head, rest = path[0], path[1:]
-    if head == "*":
-        return F.flatten(F.transform(value, lambda x: _values(x, rest)))
-    return _values(value[head], rest)
-
-
-def _hasher(rule: Rule, salt: str) -> Callable[[Column], Column]:
-    return lambda value: fields.salted_hash(rule.clean(value), salt)
-
+    def judged(hit: Column) -> Column:
+        value = F.lit(None).cast("string")
+        for i, rule in enumerate(rules):
+            value = F.when(hit["rule"] == i, rule.clean(hit["value"])).otherwise(value)
+        return F.struct(
+            value.alias("original_value"), fields.salted_hash(value, salt).alias("hashed_value"), F.get(types, hit["rule"]).alias("identity_type"),
+            hit["start"].alias("start"), hit["stop"].alias("stop"),
+        )
 
-def _hit_maker(rule: Rule, salt: str) -> Callable[[Column], Column]:
-    return lambda value: _hit(rule.clean(value), salt, rule.identity_type)
+    return judged
 
 
-def pseudonymise_json(df: DataFrame, rules: list[Rule], salt: str, schemas: dict[str, str]) -> tuple[DataFrame, DataFrame]:
-    """The same for values at paths inside JSON columns of a known schema.
+def _spliced(text: Column, hits: Column) -> Column:
+    """The text with the hash, quoted, or null in the place of every hit; hits are in the order of the text."""
+    start = F.struct(F.lit("").alias("done"), F.lit(0).alias("at"))
 
-    A value that normalises to nothing becomes null and gets no lookup row.
-    """
-    parsed = {c: F.from_json(c, ddl) for c, ddl in schemas.items()}
-    changed = dict(parsed)
-    hits = []
-    for rule in rules:
-        changed[rule.column] = _rewrite(changed[rule.column], rule.path, _hasher(rule, salt))
-        found = F.filter(_values(parsed[rule.column], rule.path), lambda v: v.isNotNull())
-        hits.append(F.transform(found, _hit_maker(rule, salt)))
-    hashed = df.withColumns({c: F.to_json(value) for c, value in changed.items()})
-    found = F.flatten(F.array_compact(F.array(*hits)))
-    lookup = df.select(F.inline(found)).filter(F.col("original_value").isNotNull())
-    return hashed, lookup
+    def add(state: Column, hit: Column) -> Column:
+        between = F.substring(text, state["at"] + 1, hit["start"] - state["at"])
+        new = F.coalesce(F.concat(F.lit('"'), hit["hashed_value"], F.lit('"')), F.lit("null"))
+        return F.struct(F.concat(state["done"], between, new).alias("done"), hit["stop"].alias("at"))
 
+    return F.aggregate(hits, start, add, lambda state: F.concat(state["done"], F.substring(text, state["at"] + 1, F.length(text))))
 
-def pseudonymise_json_text(df: DataFrame, column: str, rules: list[Rule], salt: str) -> tuple[DataFrame, DataFrame]:
-    """For documents without a known schema: every other field is kept as it is.
 
-    Values are normalised by the same column expressions, so the Arrow step only pulls out
-    the values at the paths and, after they are hashed, puts the hashes back.
-    """
-    paths = [r.path for r in rules]
+def _places(paths: list[tuple[str, ...]]):
+    @F.pandas_udf("array<struct<rule:int,value:string,start:int,stop:int>>")
+    def places(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda text: None if text is None else json_places(text, paths))
 
-    @F.pandas_udf("array<struct<rule:int,value:string>>")
-    def pull(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: [] if text is None else _pull(text, paths))
+    return places
 
-    @F.pandas_udf("string")
-    def put(texts: pd.Series, hashes: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None else _put(t, paths, list(h)) for t, h in zip(texts, hashes)])
 
-    def clean(hit: Column) -> Column:
-        value = F.lit(None).cast("string")
-        for i, rule in enumerate(rules):
-            value = F.when(hit["rule"] == i, rule.clean(hit["value"])).otherwise(value)
-        return value
+_BLANKS = re.compile(r"[ \t\n\r]*")
 
-    types = F.array(*[F.lit(r.identity_type).cast("string") for r in rules])
-    pulled = df.withColumn("_hits", pull(column)).withColumn(
-        "_found",
-        F.transform(
-            "_hits",
-            lambda h: F.struct(
-                clean(h).alias("original_value"),
-                fields.salted_hash(clean(h), salt).alias("hashed_value"),
-                F.get(types, h["rule"]).alias("identity_type"),
-            ),
-        ),
-    )
-    hashed = pulled.withColumn(column, put(column, F.col("_found.hashed_value"))).drop("_hits", "_found")
-    lookup = pulled.select(F.inline("_found")).filter(F.col("original_value").isNotNull())
-    return hashed, lookup
 
+def _refuse(word: str):
+    raise ValueError(f"not JSON: {word}")
 
-def _places(node, path):
-    """(container, key) of every value at the path, in document order."""
-    if not path:
-        return
-    head, rest = path[0], path[1:]
-    keys = range(len(node)) if head == "*" and isinstance(node, list) else [head] if isinstance(node, dict) and head in node else []
-    for key in keys:
-        if rest:
-            yield from _places(node[key], rest)
-        elif node[key] is not None:
-            yield node, key
 
+_DECODER = json.JSONDecoder(parse_constant=_refuse)
 
-def _pull(text: str, paths) -> list[dict]:
-    tree = json.loads(text)
-    return [{"rule": i, "value": str(box[key])} for i, path in enumerate(paths) for box, key in _places(tree, path)]
 
+def json_places(text: str, paths: list[tuple[str, ...]]) -> list[dict]:
+    """Rule number, value and place of every value but null at the paths, in the order of the text; ValueError if malformed.
 
-def _put(text: str, paths, hashes: list) -> str:
-    tree = json.loads(text)
-    places = [place for path in paths for place in _places(tree, path)]
-    for (box, key), value in zip(places, hashes):
-        box[key] = value
-    return json.dumps(tree, separators=(",", ":"), ensure_ascii=False)
+    A string's value is its content, any other value's its text.
+    """
+    found: list[dict] = []
+
+    def after_blanks(at: int) -> int:
+        return _BLANKS.match(text, at).end()
+
+    def expect(at: int, signs: str) -> str:
+        if at >= len(text) or text[at] not in signs:
+            raise ValueError(f"malformed JSON at {at}")
+        return text[at]
+
+    def value(at: int, wanted: list[tuple[int, tuple[str, ...]]]) -> int:
+        inner = [(rule, path) for rule, path in wanted if path]
+        opening = text[at : at + 1]
+        if not inner or opening not in ("{", "["):
+            node, stop = _DECODER.raw_decode(text, at)
+            if node is not None:
+                found.extend(
+                    {"rule": rule, "value": node if isinstance(node, str) else text[at:stop], "start": at, "stop": stop} for rule, path in wanted if not path
+                )
+            return stop
+        closing = "}" if opening == "{" else "]"
+        at = after_blanks(at + 1)
+        if text[at : at + 1] == closing:
+            return at + 1
+        while True:
+            name = "*"
+            if opening == "{":
+                expect(at, '"')
+                name, at = json.decoder.scanstring(text, at + 1, True)
+                at = after_blanks(at)
+                expect(at, ":")
+                at = after_blanks(at + 1)
+            at = after_blanks(value(at, [(rule, path[1:]) for rule, path in inner if path[0] == name]))
+            if expect(at, "," + closing) == closing:
+                return at + 1
+            at = after_blanks(at + 1)
+
+    end = after_blanks(value(after_blanks(0), list(enumerate(paths))))
+    if end != len(text):
+        raise ValueError(f"malformed JSON at {end}")
+    return found
 
 
 def privacy_lookup_upsert(table: DataFrame, lookup: DataFrame, source: str, feed_date: str, run_id: str) -> DataFrame:

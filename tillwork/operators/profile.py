@@ -13,7 +13,6 @@ GENERAL = "general_customer_signal"
 PARTNER_LOCATION = "specific_partner_location_signal"
 SIGNAL_COLUMNS = ["partner_id", "location_id", "date_option", "customer_360_id", "signal_domain", "signal_name", "signal_value"]
 PLACE = ["customer_360_id", "section", "partner_id", "location_id"]
-MAX_NAMES = 1000
 
 
 def active_signal_catalogue(catalogue: DataFrame, signal_type: str | None = None) -> DataFrame:
@@ -22,11 +21,15 @@ def active_signal_catalogue(catalogue: DataFrame, signal_type: str | None = None
     return rows if signal_type is None else rows.filter(F.col("signal_type") == signal_type)
 
 
-def catalogue_values(catalogue: DataFrame, column: str) -> list[str]:
-    """Distinct names of the catalogue (a configuration table), to fix pivot columns."""
-    names = [r[0] for r in catalogue.select(column).distinct().limit(MAX_NAMES + 1).collect()]
-    if len(names) > MAX_NAMES:
-        raise ValueError(f"more than {MAX_NAMES} different {column} in the signal catalogue")
+def catalogue_values(catalogue: DataFrame, column: str, most: int = 10_000) -> list[str]:
+    """Distinct names of the catalogue (a configuration table), to fix pivot columns.
+
+    They come to the driver and become columns; a catalogue with more than `most` of them is refused,
+    never cut.
+    """
+    names = [r[0] for r in catalogue.select(column).distinct().limit(most + 1).collect()]
+    if len(names) > most:
+        raise ValueError(f"more than {most} different {column} in the signal catalogue")
     return sorted(names)
 
 

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.operators import changes as chg
+from tillwork.operators import incremental as inc
 from tillwork.operators import keyed
 from tillwork.plans.bindings import Tables
 from tillwork.plans.registry import query
-from tillwork.session import ensure_checkpoint_dir
-from tillwork.sources import versions as ver
+from tillwork.session import scratch_folder
 
 
 def order_key():
@@ -26,7 +24,7 @@ def price_col():
 
 def scratch(t: Tables, name: str) -> str:
     """A new folder in the shared checkpoint area."""
-    return f"{ensure_checkpoint_dir(t.spark)}/tillwork-{name}-{uuid.uuid4().hex}"
+    return scratch_folder(t.spark, name)
 
 
 def snapshot(t: Tables, version: int) -> DataFrame:
@@ -102,22 +100,18 @@ def q_as_diff(t: Tables) -> DataFrame:
 
 @query(
     "union_change_sources",
-    "SELECT _change_type, CAST(_commit_version AS BIGINT) AS _commit_version, count(*) AS n, min(ord_id) AS first_ord, max(ord_id) AS last_ord FROM all_changes GROUP BY ALL",
+    "SELECT * EXCLUDE (ord_date, _commit_version), strftime(ord_date, '%Y-%m-%d') AS ord_date, CAST(_commit_version AS BIGINT) AS _commit_version FROM all_changes",
     SNAPSHOT_VIEWS,
 )
 def q_union(t: Tables) -> DataFrame:
-    return feed(t).groupBy("_change_type", "_commit_version").agg(
-        F.count(F.lit(1)).alias("n"), F.min("ord_id").alias("first_ord"), F.max("ord_id").alias("last_ord")
-    )
+    return feed(t)
 
 
 @query("full_scan_source", "SELECT ord_id, total, CAST(2 AS BIGINT) AS offset_version FROM v2", SNAPSHOT_VIEWS)
 def q_full_scan(t: Tables) -> DataFrame:
-    root = scratch(t, "versions")
-    for v in (1, 2):
-        ver.write_version(snapshot(t, v), root, v)
-    rows, offset = ver.full_scan_source(t.spark, root)
-    return rows.select("ord_id", "total", F.lit(offset).cast("bigint").alias("offset_version"))
+    """A table that holds the rows of two versions."""
+    history = snapshot(t, 1).withColumn("version", F.lit(1)).unionByName(snapshot(t, 2).withColumn("version", F.lit(2)))
+    return chg.full_scan_source(history, "version").select("ord_id", "total", F.col("version").cast("bigint").alias("offset_version"))
 
 
 @query("changed_keys", "SELECT DISTINCT strftime(ord_date, '%Y-%m-%d') AS ord_date FROM feed2", SNAPSHOT_VIEWS)
@@ -178,6 +172,30 @@ def q_offset_commit(t: Tables) -> DataFrame:
     return chg.offset_commit(tracker(t), todo, "insights")
 
 
+@query(
+    "incremental_run",
+    """SELECT strftime(ord_date, '%Y-%m-%d') AS day, count(*) AS orders, round(sum(total), 2) AS total, CAST(3 AS BIGINT) AS committed
+       FROM v3 WHERE day(ord_date) <> 13 GROUP BY ord_date""",
+    SNAPSHOT_VIEWS,
+)
+def q_incremental_run(t: Tables) -> DataFrame:
+    """Totals by day were made from version 1; versions 2 and 3 follow, and 3 empties the 13th of every month."""
+    last = snapshot(t, 3).filter(F.dayofmonth("ord_date") != 13)
+    changes = chg.union_change_sources([
+        chg.snapshot_changes(snapshot(t, 1), snapshot(t, 2), ["ord_id"], 2), chg.snapshot_changes(snapshot(t, 2), last, ["ord_id"], 3)
+    ])
+
+    def totals(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(F.col("ord_date").alias("day")).agg(F.count(F.lit(1)).alias("orders"), F.round(F.sum("total"), 2).alias("total"))
+
+    target, tracker = scratch(t, "totals"), scratch(t, "tracker")
+    totals(snapshot(t, 1)).write.partitionBy("day").parquet(target)
+    t.spark.createDataFrame([("totals", "orders", 1)], inc.TRACKER).write.parquet(tracker)
+    inc.run_incremental(changes, "orders", tracker, "totals", lambda days: totals(chg.restrict_to(last, days)), target, "ord_date", "day")
+    committed = inc.progress(t.spark.read.parquet(tracker)).first()["latest_processed_version"]
+    return t.spark.read.parquet(target).withColumn("committed", F.lit(committed))
+
+
 # ---- merges -------------------------------------------------------------------------
 
 

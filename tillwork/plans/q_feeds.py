@@ -14,7 +14,7 @@ from tillwork.plans.bindings import FEED_DATE, Tables
 from tillwork.plans.q_changes import scratch
 from tillwork.plans.q_fields import cust_key, cycle, cycle_sql, order_key
 from tillwork.plans.registry import query
-from tillwork.sources.sinks import replace_partitions
+from tillwork.sources.sinks import replace_partitions, replace_within
 
 # ---- market feed --------------------------------------------------------------------
 
@@ -252,9 +252,16 @@ def q_decode(t: Tables) -> DataFrame:
     return attributes(t)
 
 
-@query("validate_codes", "SELECT DISTINCT 'income' AS code_category, 'N' || c_nationkey AS code FROM customer WHERE c_nationkey >= 20")
+@query(
+    "validate_codes",
+    """SELECT 'income' AS code_category, 'N' || c_nationkey AS code, count(*) AS cells FROM customer WHERE c_nationkey >= 20 GROUP BY ALL
+       UNION ALL SELECT 'card', 'C' || c_custkey % 997, count(*) FROM customer WHERE c_custkey % 997 % 2 = 1 GROUP BY ALL""",
+)
 def q_validate(t: Tables) -> DataFrame:
-    return feeds.validate_codes(attributes_raw(t), dictionary(t, nations=20), ["occupation", "income"])
+    """The dictionary lacks the last nations and every odd card code."""
+    card = F.concat(F.lit("C"), F.substring("person_id", 4, 20).cast("bigint") % 997)
+    cards = t.spark.range(0, 997, 2).select(F.lit("card"), F.concat(F.lit("C"), "id"), F.lit("a card"))
+    return feeds.validate_codes(attributes_raw(t).withColumn("card", card), dictionary(t, nations=20).union(cards), ["occupation", "income", "card"])
 
 
 @query(
@@ -323,9 +330,11 @@ def q_geographic(t: Tables) -> DataFrame:
 
 @query("signal_partition_write", f"{signal_sql('cells')} UNION ALL {signal_sql('places')}", DEMO_VIEWS)
 def q_signal_write(t: Tables) -> DataFrame:
-    """Stale values of all signals are written first, then each partition is replaced."""
+    """Stale values and a signal that is gone are written first, then the day and domain are replaced."""
     path, by = scratch(t, "signals"), ["signal_generation_date", "signal_domain", "signal_name"]
-    replace_partitions(demographic(t).withColumn("signal_value", F.lit("stale")), path, by)
-    replace_partitions(geographic(t), path, by)
-    replace_partitions(demographic(t), path, by)
+    rows = demographic(t).unionByName(geographic(t))
+    stale = rows.withColumn("signal_value", F.lit("stale"))
+    gone = rows.filter("signal_name = 'age'").withColumn("signal_name", F.lit("shoe_size"))
+    replace_partitions(stale.unionByName(gone), path, by)
+    replace_within(rows, path, by, rows.select(*by[:2]).distinct())
     return t.spark.read.parquet(path)

@@ -312,40 +312,58 @@ def q_pseudonymise(t: Tables) -> DataFrame:
     return table.union(lookup.select(F.lit("lookup"), "identity_type", "original_value", "hashed_value", F.lit(None).cast("string")))
 
 
-JSON_SCHEMA = "id STRING, contact STRUCT<email: STRING>, others ARRAY<STRUCT<phone: STRING, kind: STRING>>"
+JSON_SCHEMA = "id STRING, rate STRING, contact STRUCT<email: STRING, note: STRING>, others ARRAY<STRUCT<phone: STRING, kind: STRING>>"
 JSON_RULES = [
     privacy.Rule("doc", codes.EMAIL, "email", ("contact", "email")),
     privacy.Rule("doc", codes.PHONE, "phone", ("others", "*", "phone")),
 ]
 JSON_SQL = f"""
     SELECT 'doc' AS part, CAST(c_custkey AS VARCHAR) AS k, sha256(email || '{SALT}') AS a, sha256(phone || '{SALT}') AS b FROM contacts_clean
-    UNION ALL SELECT 'lookup', identity_type, original_value, hashed_value FROM lookup_rows WHERE identity_type <> 'MAID-UNKNOWN'"""
+    UNION ALL SELECT 'lookup', identity_type, original_value, hashed_value FROM lookup_rows WHERE identity_type <> 'MAID-UNKNOWN'
+    UNION ALL SELECT 'rest', CAST(c_custkey AS VARCHAR), '1.' || c_custkey || '0', 'say "' || c_custkey || '" é' FROM customer
+    UNION ALL SELECT 'whole', CAST(c_custkey AS VARCHAR), '{{"id":"' || c_custkey || '", "none":null,"rate":1.' || c_custkey || '0,"rate2":12345678901234567890.12,"contact":{{"email":'
+        || coalesce('"' || sha256(email || '{SALT}') || '"', 'null') || ',"note":"say \\"' || c_custkey || '\\" é"}},"others":[{{"phone":'
+        || coalesce('"' || sha256(phone || '{SALT}') || '"', 'null') || ',"kind":"home"}},{{"kind":"none"}}]}}', NULL FROM contacts_clean"""
 
 
 def contact_documents(t: Tables) -> DataFrame:
-    doc = F.struct(
-        cust_key().cast("string").alias("id"),
-        F.struct("email").alias("contact"),
-        F.array(F.struct("phone", F.lit("home").alias("kind"))).alias("others"),
+    """Documents with fields that no rule names: exact numbers, a null, escapes, blanks."""
+    key = cust_key().cast("string")
+    text = F.concat(
+        F.lit('{"id":"'), key, F.lit('", "none":null,"rate":1.'), key, F.lit('0,"rate2":12345678901234567890.12,"contact":{"email":"'), F.col("email"),
+        F.lit('","note":"say \\"'), key, F.lit('\\" é"},"others":[{"phone":"'), F.col("phone"), F.lit('","kind":"home"},{"kind":"none"}]}'),
     )
-    return contacts(t).select("c_custkey", F.to_json(doc).alias("doc"))
+    return contacts(t).select("c_custkey", text.alias("doc"))
 
 
 def _json_result(hashed: DataFrame, lookup: DataFrame) -> DataFrame:
-    doc = hashed.select("c_custkey", F.from_json("doc", JSON_SCHEMA).alias("d")).select(
-        F.lit("doc").alias("part"), cust_key().cast("string").alias("k"), F.col("d.contact.email").alias("a"), F.get(F.col("d.others.phone"), F.lit(0)).alias("b")
-    )
-    return doc.union(lookup.select(F.lit("lookup"), "identity_type", "original_value", "hashed_value"))
+    key, none = cust_key().cast("string"), F.lit(None).cast("string")
+    values = [
+        ("doc", F.col("d.contact.email"), F.get(F.col("d.others.phone"), F.lit(0))),
+        ("rest", F.regexp_extract("doc", '"rate":([0-9.]+)', 1), F.col("d.contact.note")),
+        ("whole", F.col("doc"), none),
+    ]
+    parts = F.array(*[F.struct(F.lit(part).alias("part"), key.alias("k"), a.alias("a"), b.alias("b")) for part, a, b in values])
+    docs = hashed.select("c_custkey", "doc", F.from_json("doc", JSON_SCHEMA).alias("d")).select(F.inline(parts))
+    return docs.union(lookup.select(F.lit("lookup"), "identity_type", "original_value", "hashed_value"))
 
 
 @query("pseudonymise_json", JSON_SQL, CONTACT_VIEWS)
 def q_pseudonymise_json(t: Tables) -> DataFrame:
-    return _json_result(*privacy.pseudonymise_json(contact_documents(t), JSON_RULES, SALT, {"doc": JSON_SCHEMA}))
+    return _json_result(*privacy.pseudonymise_json(contact_documents(t), JSON_RULES, SALT))
 
 
-@query("pseudonymise_json_text", JSON_SQL, CONTACT_VIEWS)
+JSON_TEXT_SQL = f"""
+    SELECT 'doc' AS part, CAST(c_custkey AS VARCHAR) AS k, sha256(email || '{SALT}') AS a, sha256(phone || '{SALT}') AS b FROM contacts_clean
+    UNION ALL SELECT 'lookup', identity_type, original_value, hashed_value FROM lookup_rows WHERE identity_type <> 'MAID-UNKNOWN'"""
+
+
+@query("pseudonymise_json_text", JSON_TEXT_SQL, CONTACT_VIEWS)
 def q_pseudonymise_json_text(t: Tables) -> DataFrame:
-    return _json_result(*privacy.pseudonymise_json_text(contact_documents(t), "doc", JSON_RULES, SALT))
+    """Documents written from rows, which leave out what is null."""
+    doc = F.struct(cust_key().cast("string").alias("id"), F.struct("email").alias("contact"), F.array(F.struct("phone", F.lit("home").alias("kind"))).alias("others"))
+    documents = contacts(t).select("c_custkey", F.to_json(doc).alias("doc"))
+    return _json_result(*privacy.pseudonymise_json(documents, JSON_RULES, SALT)).filter("part IN ('doc', 'lookup')")
 
 
 LOOKUP_COLUMNS = ["original_value", "hashed_value", "identity_type", "feed_date", "run_id", "source_id"]
@@ -389,9 +407,12 @@ def q_lookup_dedup(t: Tables) -> DataFrame:
         stamped_lookup(t, "run0", "2023-12-31").filter("identity_type = 'phone'")
         .withColumn("original_value", F.lit("kept")).select(*columns).distinct()
     )
-    intermediate = stamped_lookup(t, "run1").unionByName(stamped_lookup(t, "run2", "2024-01-02"))
-    changes = intermediate.filter("run_id = 'run1'")
-    return privacy.privacy_lookup_dedup(final, intermediate, changes)
+    runs = t.read("region").filter("r_regionkey < 2").select(
+        F.concat(F.lit("run"), F.col("r_regionkey") + 1).alias("run_id"), F.date_add(F.lit(FEED_DATE).cast("date"), F.col("r_regionkey").cast("int")).alias("feed_date")
+    )
+    stamped = stamped_lookup(t, "run1").withColumn("both", F.explode(F.array(F.lit("run1"), F.lit("run2")))).drop("run_id", "feed_date")
+    intermediate = stamped.join(runs, F.col("both") == F.col("run_id")).drop("both")
+    return privacy.privacy_lookup_dedup(final, intermediate, runs.filter("run_id = 'run1'"))
 
 
 @query(

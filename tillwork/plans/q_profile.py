@@ -15,7 +15,7 @@ from tillwork.plans.q_fields import cycle, cycle_sql, order_key
 from tillwork.plans.q_signals import FEED, METRIC_VIEWS, daily_signals, sig
 from tillwork.plans.registry import query
 from tillwork.sources.mapping import import_documents, map_columns, underscore_names
-from tillwork.sources.sinks import export_documents, export_search_profile, replace_partitions
+from tillwork.sources.sinks import export_documents, export_search_profile, replace_partitions, replace_within
 
 PERIOD_NAMES = list(codes.PERIODS)
 
@@ -267,9 +267,10 @@ PERIOD_WRITE_SQL = " UNION ALL ".join(
 
 @query("period_signals_write", PERIOD_WRITE_SQL, METRIC_VIEWS)
 def q_period_write(t: Tables) -> DataFrame:
-    """Stale partitions of the same day are written first and replaced."""
+    """Stale values and a signal that is gone are written first, then the whole day is replaced."""
     rows = sig.period_signals(daily_signals(t), FEED).withColumn("signal_generation_date", F.lit(FEED).cast("date"))
     path, by = scratch(t, "periods"), ["signal_generation_date", "signal_domain", "signal_name"]
-    replace_partitions(rows.withColumn("signal_value", F.lit(-1).cast("bigint")), path, by)
-    replace_partitions(rows, path, by)
+    stale = rows.withColumn("signal_value", F.lit(-1).cast("bigint"))
+    replace_partitions(stale.unionByName(stale.withColumn("signal_name", F.lit("gone"))), path, by)
+    replace_within(rows, path, by, t.spark.range(1).select(F.lit(FEED).cast("date").alias("signal_generation_date")))
     return t.spark.read.parquet(path)

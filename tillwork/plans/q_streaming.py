@@ -35,6 +35,32 @@ def q_stream_market(t: Tables) -> DataFrame:
     return t.spark.read.parquet(target)
 
 
+@query(
+    "stream_emptied_days",
+    """SELECT strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS date, count(*) AS orders FROM orders
+       WHERE o_orderkey % 40 <> 0 AND dayofyear(o_orderdate) % 50 <> 0 GROUP BY ALL""",
+)
+def q_stream_emptied(t: Tables) -> DataFrame:
+    """Orders are deleted, on some days all of them; the target was written before."""
+    changes, target = scratch(t, "changes"), scratch(t, "days")
+    orders = t.retail_orders().select("ord_id", "ord_date")
+    gone = (F.col("ord_id").cast("bigint") % 40 == 0) | (F.dayofyear("ord_date") % 50 == 0)
+
+    def by_day(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(F.col("ord_date").alias("date")).agg(F.count(F.lit(1)).alias("orders"))
+
+    by_day(orders).write.partitionBy("date").parquet(target)
+    changed = orders.filter(gone)
+    changed.repartition(3).write.parquet(changes)
+
+    def recompute(days: DataFrame) -> DataFrame:
+        return by_day(chg.restrict_to(orders.filter(~gone), days))
+
+    stream = read_changes(t.spark, changes, changed.schema, max_files=2)
+    recompute_changed_days(stream, recompute, target, scratch(t, "offsets")).awaitTermination()
+    return t.spark.read.parquet(target)
+
+
 @query(
     "stream_collapse_changes",
     """SELECT k.ord_id, v1.total AS previous_total, v2.total AS current_total

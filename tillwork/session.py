@@ -1,8 +1,8 @@
-"""Session settings the library relies on, and the checkpoint folder."""
+"""Session settings the library relies on, and the folder for intermediate tables."""
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -13,7 +13,6 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # let AQE split a hot join partition even when that costs one more shuffle above the join
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -25,20 +24,21 @@ def tuned(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a folder of our own only in local mode."""
+    """The shared folder of spark.checkpoint.dir; where that is unset, one below the session's warehouse."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="tillwork-checkpoint-")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tillwork"
     sc.setCheckpointDir(folder)
     return folder
 
 
-def salt_count(spark: SparkSession) -> int:
-    """How many ways a hot key is split: one piece per shuffle partition."""
-    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder, shared by the driver and all executors."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tillwork-{name}-{uuid.uuid4().hex}"
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

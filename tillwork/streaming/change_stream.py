@@ -1,7 +1,7 @@
 """Structured Streaming variant of the incremental flows.
 
 Change rows arrive as files; every micro-batch collapses them and recomputes the days they
-touch, replacing those partitions. The checkpoint takes the place of the offset tracker, a
+touch, replacing those partitions, also those that are left without rows. The checkpoint takes the place of the offset tracker, a
 late row just reopens its day, and a replayed batch writes the same partitions again.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tillwork.operators.changes import changed_keys, collapse_changes
-from tillwork.sources.sinks import replace_partitions
+from tillwork.sources.sinks import replace_within
 
 
 def read_changes(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None) -> DataFrame:
@@ -37,7 +37,8 @@ def recompute_changed_days(
     """
 
     def apply(batch: DataFrame, _: int) -> None:
-        replace_partitions(recompute(changed_keys(batch, day_column)), target, [partition])
+        days = changed_keys(batch, day_column)
+        replace_within(recompute(days), target, [partition], days)
 
     return changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -112,7 +112,8 @@ def item_sales_enrich(lines: DataFrame, locations: DataFrame, items: DataFrame,
     sold = done.join(food, ["partner_id", "item_id"]).select(
         "ord_id", "ord_date", "partner_id", "location_id", "item_nm", "item_quantity", "item_total"
     )
-    buyers = customer_of_order(done, customer_identities(customer_360, NON_POS_TYPES), unmatched=True)
+    # an order's lines repeat its identities: once per order before they are unnested
+    buyers = customer_of_order(done.select(*ORDER_KEY, "identity_ids").distinct(), customer_identities(customer_360, NON_POS_TYPES), unmatched=True)
     once = first_per_key(sold, ["ord_id", "ord_date", "partner_id", "location_id", "item_nm"])
     places = locations.select("partner_id", "location_id", "region", "state_code", "city", "location_nm")
     return once.join(buyers, ORDER_KEY).join(places, ["partner_id", "location_id"], "left")
@@ -123,7 +124,7 @@ def partner_item_insights(sales: DataFrame) -> DataFrame:
         "ord_date", "partner_id", "region", "state_code", "city", "location_id", "location_nm",
         F.col("item_nm").alias("pos_item_nm"),
     ).agg(
-        F.count_distinct("ord_id").alias("transaction_quantity"),
+        F.count("ord_id").alias("transaction_quantity"),  # an order comes once per item name
         F.sum("item_quantity").alias("item_quantity"),
         F.sum("item_total").alias("item_total"),
         F.array_sort(F.collect_set("customer_360_id")).alias("customer_360_ids"),

@@ -127,26 +127,34 @@ def regular_customers(days: DataFrame, others: DataFrame, ends: list[str], lengt
 
 
 def loyalty_at(days: DataFrame, ends: list[str], config: LoyaltyConfig) -> DataFrame:
-    """The four loyalty types as of each date; a customer may be both NEW and LOYAL."""
+    """The four loyalty types as of each date; a customer may be both NEW and LOYAL.
+
+    Loyal rows carry the role they play (now, or before) for a date, and one aggregation per date and
+    customer brings them together with the first order and the recent activity.
+    """
     back = config.at_risk_days - 1
-    earlier = {e: _shift(e, -back) for e in ends}
-    wanted = sorted({*ends, *earlier.values()})
-    loyal = loyal_customers(days, wanted, config.loyal_days, config.rfm_threshold)
-    now = loyal.filter(F.col("as_of").isin([dt.date.fromisoformat(e) for e in ends]))
-    before = loyal.filter(F.col("as_of").isin([dt.date.fromisoformat(e) for e in earlier.values()])).withColumn(
-        "as_of", F.date_add("as_of", back)
+    roles: dict[str, list[Column]] = {}
+    for e in ends:
+        for day, role in ((e, "now"), (_shift(e, -back), "before")):
+            roles.setdefault(day, []).append(F.struct(_date(e).alias("as_of"), F.lit(role == "now").alias("now"), F.lit(role == "before").alias("before")))
+    plays = F.create_map(*[x for day, r in sorted(roles.items()) for x in (_date(day), F.array(*r))])
+    loyal = loyal_customers(days, sorted(roles), config.loyal_days, config.rfm_threshold)
+    loyal = loyal.select(*CUSTOMER, F.inline(plays[F.col("as_of")]))
+
+    until = F.filter(F.array(*[_date(e) for e in ends]), lambda e: F.col("ord_date") <= e)
+    recent = F.date_diff("as_of", "ord_date") < config.regular_days
+    seen = days.select(*CUSTOMER, "ord_date", F.explode(until).alias("as_of")).groupBy("as_of", *CUSTOMER).agg(
+        (F.date_diff(F.max("as_of"), F.min("ord_date")) < config.new_days).alias("new"), F.max(recent).alias("active")
+    )
+    no = F.lit(False)
+    flags = seen.withColumns({"now": no, "before": no}).unionByName(loyal.withColumns({"new": no, "active": no}))
+    status = flags.groupBy("as_of", *CUSTOMER).agg(*[F.max(f).alias(f) for f in ("new", "active", "now", "before")])
+    at_risk = F.col("before") & ~F.col("now")
+    types = F.array(
+        F.when(F.col("new"), F.lit("NEW")), F.when(F.col("now"), F.lit("LOYAL")), F.when(at_risk, F.lit("AT_RISK")),
+        F.when(F.col("active") & ~F.col("new") & ~F.col("now") & ~at_risk, F.lit("REGULAR")),
     )
-    parts = {
-        "NEW": new_customers(days, ends, config.new_days),
-        "LOYAL": now,
-        "AT_RISK": at_risk_customers(now, before),
-    }
-    tagged = None
-    for label, part in parts.items():
-        rows = part.withColumn("loyalty_type", F.lit(label))
-        tagged = rows if tagged is None else tagged.unionByName(rows)
-    regular = regular_customers(days, tagged.drop("loyalty_type"), ends, config.regular_days)
-    return tagged.unionByName(regular.withColumn("loyalty_type", F.lit("REGULAR")))
+    return status.select("as_of", *CUSTOMER, F.explode(F.array_compact(types)).alias("loyalty_type"))
 
 
 def loyalty_types(customer_orders: DataFrame, feed_date: str, config: LoyaltyConfig) -> DataFrame:

@@ -149,12 +149,11 @@ def signals_grouping_sets(
     )
     buyers = customer_of_order(orders_with_metrics if orders is None else orders, identities)
     rows = once.join(buyers, ORDER_KEY)
-    keys = [F.col(c) for c in ("customer_360_id", "partner_id", "ord_date", "location_id")]
-    grouped = rows.groupingSets([keys, keys[:3]], *keys).agg(
-        F.grouping("location_id").alias("_all"), *[F.sum(n).alias(n) for n in names]
-    )
-    location = F.when(F.col("_all") == 1, F.lit(codes.ALL_LOCATIONS)).otherwise(F.col("location_id"))
-    return grouped.select("customer_360_id", "partner_id", "ord_date", location.alias("location_id"), *names)
+    keys = ["customer_360_id", "partner_id", "ord_date"]
+    sums = [F.sum(n).alias(n) for n in names]
+    stores = rows.groupBy(*keys, "location_id").agg(*sums)  # the sums add up, so only these rows are doubled for _ALL
+    scopes = F.explode(F.array("location_id", F.lit(codes.ALL_LOCATIONS)))
+    return stores.withColumn("location_id", scopes).groupBy(*keys, "location_id").agg(*sums).select(*keys, "location_id", *names)
 
 
 def signals_unpivot(wide: DataFrame, *domains: str) -> DataFrame:

@@ -11,6 +11,9 @@ from tillwork.plans.bindings import FEED_DATE, Tables
 from tillwork.plans.q_fields import SOURCES, TYPES, cycle
 
 
+PAGE_KEYS = 2500  # keys per document that lists entities
+
+
 def raw_records(df: DataFrame, record_type: str, value: Column, feed_date: str = FEED_DATE, **extra: Column) -> DataFrame:
     """Records as a raw table holds them; the one-element explode builds a record's text once."""
     return df.select(
@@ -188,13 +191,13 @@ def toast_references(t: Tables) -> DataFrame:
     part = t.read("part")
     item = obj(guid=text("i", p), name=F.col("p_name"), plu=text("plu", p), optionGroups=maybe(p % 2 == 0, F.array(obj(guid=text("o", p % 10)))))
     option = obj(guid=text("o", p), name=text("Option ", p))
-    groups = part.groupBy("p_type").agg(F.collect_set(obj(guid=text("i", p))).alias("items"))
+    groups = part.groupBy("p_type", F.floor(p / PAGE_KEYS)).agg(F.collect_set(obj(guid=text("i", p))).alias("items"))
     group = obj(name=F.col("p_type"), items=F.col("items"), optionGroups=F.array(obj(guid=text("g-", F.col("p_type")))), subgroups=F.array(obj(guid=text("s-", F.col("p_type")))))
     options = nations(t).filter("n < 5")
     dining = obj(guid=text("opt", F.col("n")), behavior=cycle(F.col("n"), "DINE_IN", "take_out", "DELIVERY", "catering", None))
     return together(
         raw_records(part, "menu-items", item, location_id=none),
-        raw_records(part.filter(p % 20 == 0), "menu-option-groups", option, location_id=none),
+        raw_records(part, "menu-option-groups", option, location_id=none),
         raw_records(groups, "menu-groups", group, location_id=none),
         twice(raw_records(options, "dining-options", dining, location_id=none)),
     )
@@ -202,9 +205,10 @@ def toast_references(t: Tables) -> DataFrame:
 
 def toast_menus(t: Tables) -> DataFrame:
     part = t.read("part").withColumn("store", F.col("p_partkey") % 25)
-    menus = part.groupBy("store", "p_brand").agg(
+    page = F.floor(F.col("p_partkey") / PAGE_KEYS).alias("page")  # a menu's size does not grow with the table
+    menus = part.groupBy("store", "p_brand", page).agg(
         F.collect_list(obj(salesCategory=obj(guid=F.col("p_type"), name=F.initcap("p_type")))).alias("menuItems")
-    ).groupBy("store").agg(F.collect_list(obj(menuItems=F.col("menuItems"))).alias("menuGroups"))
+    ).groupBy("store", "page").agg(F.collect_list(obj(menuItems=F.col("menuItems"))).alias("menuGroups"))
     value = obj(restaurantGuid=text("loc", F.col("store")), menus=F.array(obj(menuGroups=F.col("menuGroups"))))
     return raw_records(menus, "menus", value, location_id=F.lit(None).cast("string"))
 
@@ -299,7 +303,7 @@ def parbrink_items(t: Tables) -> DataFrame:
     part = t.read("part").select("*", F.explode(F.array((p % 5), (p % 5) + 5)).alias("store"))
     item = obj(Id=p, Name=F.col("p_name"), ItemType=(p % 8).cast("int"), PLU=text("plu", p), IsDeleted=p % 10 == 9, IncludedModifiers=maybe(p % 2 == 0, F.array(obj(ItemId=p + 1))))
     store = text("loc", F.col("store"))
-    groups = part.groupBy("store", "p_type").agg(F.collect_set(obj(ItemId=p)).alias("Items"))
+    groups = part.groupBy("store", "p_type", F.floor(p / PAGE_KEYS)).agg(F.collect_set(obj(ItemId=p)).alias("Items"))
     group = obj(Id=F.col("p_type"), Name=F.initcap("p_type"), IsDeleted=(F.col("p_type") == "PROMO"), Items=F.col("Items"))
     return together(raw_records(part, "items", item, location_id=store), raw_records(groups, "itemGroups", group, location_id=store))
 
@@ -333,10 +337,10 @@ def parbrink_house_accounts(t: Tables) -> DataFrame:
         EnforceLimit=F.lit(True), FirstName=text("Ann", c), LastName=F.lit("Lee"), Limit=F.lit(100), Name=F.col("c_name"), PhoneNumber=maybe(c % 4 != 0, text("hphone", c)),
         State=F.lit("ST"), Zip=cycle(c, "12345", "12345-0001", "1"),
     )
-    charge = obj(AccountId=c, OrderId=c * 2)
+    charge = obj(AccountId=c, OrderId=maybe(c % 2 == 0, c * 2))
     return together(
         twice(raw_records(t.read("customer"), "houseAccounts", account, location_id=store)),
-        raw_records(t.read("customer").filter(c % 2 == 0), "houseAccountsCharges", charge, location_id=store),
+        raw_records(t.read("customer"), "houseAccountsCharges", charge, location_id=store),
     )
 
 

@@ -56,14 +56,22 @@ def q_write(t: Tables) -> DataFrame:
 # ---- documents with many entities ---------------------------------------------------
 
 
+PAGE_KEYS = 2500  # keys per document, about 100 records of a nation: a document's size does not grow with the table
+
+
+def page(key: str):
+    return F.floor(F.col(key) / PAGE_KEYS)
+
+
 def wide_documents(t: Tables) -> DataFrame:
-    """One document per nation: its customers and suppliers, either list may be missing."""
-    customers = t.read("customer").groupBy(F.col("c_nationkey").alias("n")).agg(
+    """Pages of a nation's customers and suppliers, either list may be missing; the first has the header."""
+    customers = t.read("customer").groupBy(F.col("c_nationkey").alias("n"), page("c_custkey").alias("page")).agg(
         F.collect_list(obj(id=F.col("c_custkey"), name=F.col("c_name"))).alias("customers")
     )
-    suppliers = t.read("supplier").groupBy(F.col("s_nationkey").alias("n")).agg(F.collect_list("s_name").alias("suppliers"))
-    return t.read("nation").withColumnRenamed("n_nationkey", "n").join(customers, "n", "left").join(suppliers, "n", "left").select(
-        "n", "customers", "suppliers", obj(title=F.col("n_name")).alias("header"),
+    suppliers = t.read("supplier").groupBy(F.col("s_nationkey").alias("n"), page("s_suppkey").alias("page")).agg(F.collect_list("s_name").alias("suppliers"))
+    headers = t.read("nation").select(F.col("n_nationkey").alias("n"), F.lit(0).cast("long").alias("page"), obj(title=F.col("n_name")).alias("header"))
+    return headers.join(customers, ["n", "page"], "full").join(suppliers, ["n", "page"], "full").select(
+        "n", "customers", "suppliers", "header",
         F.lit(FEED_DATE).alias("feed_date"), text("file", F.col("n")).alias("file_name"), F.lit("s1").alias("source_id"),
     )
 
@@ -112,8 +120,8 @@ def q_embedded(t: Tables) -> DataFrame:
 
 
 def payloads(t: Tables) -> DataFrame:
-    """Per nation the JSON array of its customers, and the nation itself as one object."""
-    customers = t.read("customer").groupBy(F.col("c_nationkey").alias("n")).agg(
+    """Per nation the JSON arrays of its customers, page by page, and the nation itself as one object."""
+    customers = t.read("customer").groupBy(F.col("c_nationkey").alias("n"), page("c_custkey")).agg(
         F.to_json(F.collect_list(obj(id=F.col("c_custkey"), tags=F.array(F.col("c_mktsegment"))))).alias("value")
     ).select("n", F.lit("many").alias("kind"), "value")
     nation = t.read("nation").select(F.col("n_nationkey").alias("n"), F.lit("one").alias("kind"), F.to_json(obj(title=F.col("n_name"))).alias("value"))
@@ -141,12 +149,12 @@ def q_parbrink(t: Tables) -> DataFrame:
     "route_text_toast",
     f"""SELECT 'orders' AS record_type, {MANY} AS record_value, 'loc' || c_nationkey AS location_id FROM customer
         UNION ALL SELECT 'restaurants', {ONE}, NULL FROM nation
-        UNION ALL SELECT 'menus', '[' || string_agg({MANY}, ',' ORDER BY c_custkey) || ']', NULL FROM customer GROUP BY c_nationkey""",
+        UNION ALL SELECT 'menus', '[' || string_agg({MANY}, ',' ORDER BY c_custkey) || ']', NULL FROM customer GROUP BY c_nationkey, c_custkey // {PAGE_KEYS}""",
 )
 def q_toast(t: Tables) -> DataFrame:
-    whole = t.read("customer").groupBy(F.col("c_nationkey").alias("n")).agg(
+    whole = t.read("customer").groupBy(F.col("c_nationkey").alias("n"), page("c_custkey")).agg(
         F.to_json(F.array_sort(F.collect_list(obj(id=F.col("c_custkey"), tags=F.array(F.col("c_mktsegment")))))).alias("value")
-    )
+    ).select("n", "value")
     kind = F.when(F.col("kind") == "many", "orders").otherwise("restaurants")
     rows = payloads(t).select("n", kind.alias("kind"), "value").unionByName(whole.withColumn("kind", F.lit("menus")))
     files = rows.select(

@@ -13,11 +13,14 @@ Candidates come from equi-joins that lose no match (limit 82.5 before rounding):
   space-padded names have (S + 2) letter pairs together, each deletion destroys at most two
   and each insertion one, so at least S/2 + 1 - 1.5 d >= 0.2375 S + 1 pairs are common; and
   as the lengths differ by at most d, S >= 1.702 L for either length L. Taken rarest first,
-  the leading L + 1 - ceil(0.4042 L) pairs of both names therefore share one.
+  the leading L + 1 - ceil(0.4042 L) pairs of both names therefore share one. As the longer
+  name is at most 117.5 / 82.5 times as long, only neighbouring classes of length are joined.
 """
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +31,7 @@ _MIN_RATIO = THRESHOLD + 0.5
 _UNCOVERED = 1 - _MIN_RATIO / (200 - _MIN_RATIO)
 _MAX_INDEL = 1 - _MIN_RATIO / 100
 _SHARED_PAIRS = (0.5 - 1.5 * _MAX_INDEL) * (1 + _MIN_RATIO / (200 - _MIN_RATIO))
+_LONGER = (200 - _MIN_RATIO) / _MIN_RATIO
 _SLACK = 1e-9
 
 
@@ -128,10 +132,16 @@ def matching_names(left: DataFrame, right: DataFrame) -> DataFrame:
     pair_counts = _counts(left, right, pairs)
     left_pairs = side(_rarest_first(left, pairs, pair_counts), "left_name", _pair_prefix(F.col("parts")))
     right_pairs = side(_rarest_first(right, pairs, pair_counts), "right_name", _pair_prefix(F.col("parts")))
+    length = F.length(F.array_join(name_tokens(F.col("name")), " "))
+    size_class = F.floor(F.log(length.cast("double")) / math.log(_LONGER * (1 + _SLACK)) + _SLACK)
+    lengths = left.select(F.col("name").alias("left_name"), length.alias("left_length"), F.explode(F.array(size_class - 1, size_class, size_class + 1)).alias("size"))
+    left_pairs = left_pairs.join(lengths, "left_name")
+    right_pairs = right_pairs.join(right.select(F.col("name").alias("right_name"), length.alias("right_length"), size_class.alias("size")), "right_name")
+    near = F.greatest("left_length", "right_length") <= F.least("left_length", "right_length") * _LONGER * (1 + _SLACK)
     found = [
         left_cover.join(side(right, "right_name", tokens), "part"),
         side(left, "left_name", tokens).join(right_cover, "part"),
-        left_pairs.join(right_pairs, "part"),
+        left_pairs.join(right_pairs, ["part", "size"]).filter(near),
     ]
     columns = ["left_name", "right_name"]
     candidates = found[0].select(columns).union(found[1].select(columns)).union(found[2].select(columns)).distinct()

@@ -158,7 +158,35 @@ def taxonomy(t: Tables) -> DataFrame:
     return named.groupBy("item_nm").agg(F.array_sort(F.collect_set("p_type")).alias("item_categories"))
 
 
-@query("item_category_match")
+TOKENS_SQL = "list_sort(list_distinct(list_filter(string_split(regexp_replace(lower({0}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '), lambda w: w <> '')))"
+# the longest common subsequence of a and b by bit operations: bit i of a letter's mask is a's place i
+LCS_SQL = """length(a) - bit_count(list_reduce(
+    list_prepend((1::HUGEINT << length(a)) - 1, list_transform(string_split(b, ''),
+        lambda c: list_sum(list_transform(range(length(a)), lambda i: CASE WHEN a[i + 1] = c THEN 1::HUGEINT << i ELSE 0::HUGEINT END)))),
+    lambda r, m: ((r + (r & m)) | (r - (r & m))) & ((1::HUGEINT << length(a)) - 1)))"""
+MATCH_VIEWS = {
+    "taxonomy": f"""SELECT CASE WHEN p_partkey % {TAXONOMY_MODULUS} = 0 THEN upper(p_brand) || '-' || array_to_string(list_transform(string_split(p_name, ' '),
+                           lambda w: upper(w[1]) || lower(w[2:])), ' ') ELSE p_name || 's' END AS right_name, p_type FROM part""",
+    "left_names": f"SELECT DISTINCT item_nm AS left_name, {TOKENS_SQL.format('item_nm')} AS l FROM food_items",
+    "right_names": f"SELECT DISTINCT right_name, {TOKENS_SQL.format('right_name')} AS r FROM taxonomy",
+    "name_pairs": """SELECT left_name, right_name, array_to_string(common, ' ') AS base, array_to_string(common || list_filter(l, lambda t: NOT list_contains(r, t)), ' ') AS a,
+                            array_to_string(common || list_filter(r, lambda t: NOT list_contains(l, t)), ' ') AS b
+                     FROM (SELECT *, list_filter(l, lambda t: list_contains(r, t)) AS common FROM left_names, right_names WHERE len(l) > 0 AND len(r) > 0)""",
+    "scored_pairs": f"""SELECT left_name, right_name, greatest(
+                            CASE WHEN base = '' THEN 0 ELSE floor(200.0::DOUBLE * length(base) / (length(base) + length(a)) + 0.5) END,
+                            CASE WHEN base = '' THEN 0 ELSE floor(200.0::DOUBLE * length(base) / (length(base) + length(b)) + 0.5) END,
+                            CASE WHEN 200.0 * least(length(a), length(b)) / (length(a) + length(b)) < 82 THEN 0
+                                 ELSE floor(200.0::DOUBLE * ({LCS_SQL}) / (length(a) + length(b)) + 0.5) END) AS score FROM name_pairs""",
+}
+
+
+@query(
+    "item_category_match",
+    """SELECT DISTINCT partner_id, coalesce(p_type, 'Unknown') AS item_category, item_nm AS pos_item_nm
+       FROM (SELECT DISTINCT partner_id, item_nm FROM food_items) LEFT JOIN (
+            SELECT left_name, p_type FROM scored_pairs JOIN taxonomy USING (right_name) WHERE score > 82) m ON m.left_name = item_nm""",
+    MATCH_VIEWS,
+)
 def q_item_category(t: Tables) -> DataFrame:
     return ins.item_category_match(t.items(), taxonomy(t))
 

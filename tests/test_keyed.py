@@ -38,6 +38,14 @@ def test_first_per_key_is_the_smallest_row_nulls_first(spark):
     assert rows(keyed.first_per_key(df, ["k"], ["v"])) == sorted([("a", 1, 4), ("b", 3, 1), (None, 1, 1)], key=repr)
 
 
+def test_few_copies_sort_once(spark):
+    df = table(spark, [("a", 2, 9), ("a", 1, 5), ("b", None, 7), ("b", 3, 1), (None, 1, 1)] * 3)
+    for order in (None, ["v"]):
+        assert rows(keyed.first_per_key(df, ["k"], order, few_copies=True)) == rows(keyed.first_per_key(df, ["k"], order))
+    plan = keyed.first_per_key(df, ["k"], few_copies=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
+
+
 def test_group_totals_equal_the_window(spark):
     rng = random.Random(1)
     data = [(rng.choice(["hot"] * 8 + ["x", "y", None]), i, rng.randint(0, 50)) for i in range(500)]

@@ -114,7 +114,7 @@ def item_sales_enrich(lines: DataFrame, locations: DataFrame, items: DataFrame,
     )
     # an order's lines repeat its identities: once per order before they are unnested
     buyers = customer_of_order(done.select(*ORDER_KEY, "identity_ids").distinct(), customer_identities(customer_360, NON_POS_TYPES), unmatched=True)
-    once = first_per_key(sold, ["ord_id", "ord_date", "partner_id", "location_id", "item_nm"])
+    once = first_per_key(sold, ["ord_id", "ord_date", "partner_id", "location_id", "item_nm"], few_copies=True)
     places = locations.select("partner_id", "location_id", "region", "state_code", "city", "location_nm")
     return once.join(buyers, ORDER_KEY).join(places, ["partner_id", "location_id"], "left")
 

@@ -17,8 +17,15 @@ def all_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
-def first_per_key(df: DataFrame, keys: list[str], order_by: list[str] | None = None) -> DataFrame:
-    """The smallest row of each key (nulls first), by partial aggregation and no window."""
+def first_per_key(df: DataFrame, keys: list[str], order_by: list[str] | None = None, few_copies: bool = False) -> DataFrame:
+    """The smallest row of each key (nulls first), by partial aggregation and no window.
+
+    A struct's minimum needs sorted rows: before the shuffle, which reduces a hot key there, and after it.
+    With few_copies, for keys that nearly every row has for itself (order lines), the rows are shuffled
+    first and sorted once; such keys cannot be hot.
+    """
+    if few_copies:
+        df = df.repartition(*keys)
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.dropDuplicates(keys)

@@ -141,7 +141,7 @@ def orders(raw: DataFrame, by_order: DataFrame, partner_id: str, feed_date: str)
         feed_date,
     )
     key = ["partner_id", "location_id", "ord_id", "ord_date", "item_id"]
-    return c.with_identities(first_per_key(lines, key, ["item_total", "item_quantity"]), by_order)
+    return c.with_identities(first_per_key(lines, key, ["item_total", "item_quantity"], few_copies=True), by_order)
 
 
 def identities(raw: DataFrame, feed_date: str, salt: str) -> tuple[DataFrame, DataFrame]:

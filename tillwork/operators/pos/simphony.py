@@ -118,4 +118,4 @@ def orders(raw: DataFrame, partner_id: str, feed_date: str) -> DataFrame:
     )
     check = ["ord_id", "ord_date", "ord_timestamp", "partner_id", "location_id"]
     tendered = with_group_totals(lines, check, {"tender_id": ("max", F.col("_tender"))}).drop("_tender")
-    return first_per_key(tendered, ["partner_id", "location_id", "ord_id", "ord_date", "line_id"], ["item_id", "item_total"])
+    return first_per_key(tendered, ["partner_id", "location_id", "ord_id", "ord_date", "line_id"], ["item_id", "item_total"], few_copies=True)

@@ -185,7 +185,7 @@ def orders(raw: DataFrame, by_order: DataFrame, partner_id: str, feed_date: str)
     charges = F.col("total_taxes_amount") + F.col("total_tip_amount") + F.col("service_charge_amount")
     lines = lines.withColumn("ord_sub_total", (F.col("ord_total") - charges).cast("decimal(12,2)"))
     key = ["partner_id", "location_id", "ord_id", "ord_date", "item_id"]
-    return c.with_identities(first_per_key(lines, key, ["item_total", "item_quantity", "guest_check_line_item_id"]), by_order)
+    return c.with_identities(first_per_key(lines, key, ["item_total", "item_quantity", "guest_check_line_item_id"], few_copies=True), by_order)
 
 
 def identities(raw: DataFrame, known_customers: DataFrame, payments: DataFrame, feed_date: str, salt: str) -> tuple[DataFrame, DataFrame]:

@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tests.llm.conftest import plain
+from tests.llm.hard_rows import documents, plain  # noqa: F401
 from tillwork.llm import language_id as lid
 
 

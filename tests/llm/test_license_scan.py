@@ -1,7 +1,7 @@
 import re
 
 from check_oracle import compare, connect
-from tests.llm.conftest import plain
+from tests.llm.hard_rows import documents, plain  # noqa: F401
 from tillwork.llm import queries
 from tillwork.llm.license_scan import TEMPLATES, Template, document_frequency, rare_positions, scan_licenses
 

@@ -1,6 +1,6 @@
 import pytest
 
-from tests.llm.conftest import plain
+from tests.llm.hard_rows import documents, plain  # noqa: F401
 from tillwork.llm.mixing import mix, targets
 
 

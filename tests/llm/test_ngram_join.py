@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from check_oracle import compare, connect
-from tests.llm.conftest import plain
+from tests.llm.hard_rows import documents, plain  # noqa: F401
 from tests.llm.test_license_scan import words_of
 from tillwork.llm import ngram_join, queries
 from tillwork.llm.ngram_join import near_duplicates, plan_bands

@@ -1,5 +1,5 @@
 import corpus_pipeline
-from tests.llm.conftest import plain
+from tests.llm.hard_rows import documents, plain  # noqa: F401
 from tillwork.llm import language_id, mixing, ngram_join, packing
 from tillwork.llm.tokens import default_vocabulary
 

@@ -3,7 +3,7 @@ import zlib
 
 import numpy as np
 
-from tests.llm.conftest import plain
+from tests.llm.hard_rows import documents, plain  # noqa: F401
 from tillwork.llm.oracles import hilbert_shards as shard_sql
 from tillwork.llm.sharding import hilbert_index, hilbert_shards, write_shards
 

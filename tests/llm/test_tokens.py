@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tests.llm.conftest import plain
+from tests.llm.hard_rows import documents, plain  # noqa: F401
 from tillwork.llm import token_codec
 from tillwork.llm.packing import fullest, pack, pack_documents
 from tillwork.llm.token_codec import decode_block, encode_block, file_starts, read_tokens, write_tokens

@@ -1,6 +1,6 @@
 import pytest
 
-from tests.llm.conftest import plain
+from tests.llm.hard_rows import plain
 from tillwork.llm.url_filter import host_and_path, judge_urls, page_links
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]

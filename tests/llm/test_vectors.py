@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from check_oracle import compare, connect
-from tests.llm.conftest import plain
+from tests.llm.hard_rows import plain
 from tillwork.llm import queries
 from tillwork.llm.bit_codes import bounds, encode, nearest, rotation
 from tillwork.llm.vectors import first_k

@@ -64,35 +64,42 @@ MENU_ITEM_TYPE = {
     0: "Normal", 1: "Pizza", 2: "Chicken", 3: "GiftCard", 4: "Composite", 5: "LoyaltyItem",
     6: "Prepaid",
 }
-# zone codes 1..139 in order
-TIMEZONES = """
-Pacific/Honolulu America/Anchorage America/Los_Angeles America/Phoenix America/Denver
-America/Chicago America/Cancun America/Halifax America/Winnipeg America/Adak Pacific/Easter
-America/Bogota America/Port-au-Prince America/New_York America/St_Johns America/Miquelon
-America/Noronha Pacific/Guam Etc/GMT+12 Pacific/Pago_Pago Pacific/Marquesas Pacific/Gambier
-America/Tijuana Pacific/Pitcairn America/Hermosillo America/Guatemala America/Mexico_City
-America/Cancun America/Havana America/Grand_Turk America/Asuncion America/Caracas
-America/Cuiaba America/La_Paz America/Santiago America/Araguaina America/Sao_Paulo
-America/Cayenne America/Argentina/Buenos_Aires America/Nuuk America/Montevideo
-America/Punta_Arenas America/Bahia America/Noronha Atlantic/Azores Atlantic/Cape_Verde UTC
-Europe/London Etc/Greenwich Africa/Sao_Tome Africa/Casablanca WET Europe/Budapest Europe/Paris
-Europe/Warsaw Africa/Lagos Asia/Amman Europe/Bucharest Asia/Beirut Africa/Cairo
-Europe/Chisinau Asia/Damascus Asia/Hebron Africa/Johannesburg Europe/Kiev Asia/Jerusalem
-Europe/Kaliningrad Africa/Khartoum Africa/Tripoli Africa/Windhoek Asia/Baghdad
-Europe/Istanbul Asia/Riyadh Europe/Minsk Europe/Moscow Africa/Nairobi Asia/Tehran Asia/Dubai
-Europe/Astrakhan Asia/Baku Europe/Samara Indian/Mauritius Europe/Saratov Asia/Tbilisi
-Europe/Volgograd Asia/Yerevan Asia/Kabul Asia/Tashkent Asia/Yekaterinburg Asia/Karachi
-Asia/Qyzylorda Asia/Kolkata Asia/Colombo Asia/Kathmandu Asia/Novosibirsk Asia/Dhaka Asia/Omsk
-Asia/Yangon Asia/Bangkok Asia/Barnaul Asia/Hovd Asia/Krasnoyarsk Asia/Novosibirsk Asia/Tomsk
-Asia/Shanghai Asia/Irkutsk Asia/Singapore Australia/Perth Asia/Taipei Asia/Ulaanbaatar
-Australia/Eucla Asia/Chita Asia/Tokyo Asia/Pyongyang Asia/Seoul Asia/Yakutsk
-Australia/Adelaide Australia/Darwin Australia/Brisbane Australia/Sydney Australia/Hobart
-Asia/Vladivostok Australia/Lord_Howe Pacific/Bougainville Asia/Srednekolymsk Asia/Magadan
-Pacific/Norfolk Asia/Sakhalin Pacific/Guadalcanal Asia/Kamchatka Pacific/Auckland
-Pacific/Tarawa Pacific/Fiji Asia/Kamchatka Pacific/Chatham Etc/GMT-13 Pacific/Tongatapu
-Pacific/Apia Pacific/Kiritimati
-"""
-TIMEZONE = dict(enumerate(TIMEZONES.split(), start=1))
+# fixed values: the zone of every zone code
+TIMEZONE = {
+    1: "Pacific/Honolulu", 2: "America/Anchorage", 3: "America/Los_Angeles", 4: "America/Phoenix",
+    5: "America/Denver", 6: "America/Chicago", 7: "America/Cancun", 8: "America/Halifax",
+    9: "America/Winnipeg", 10: "America/Adak", 11: "Pacific/Easter", 12: "America/Bogota",
+    13: "America/Port-au-Prince", 14: "America/New_York", 15: "America/St_Johns", 16: "America/Miquelon",
+    17: "America/Noronha", 18: "Pacific/Guam", 19: "Etc/GMT+12", 20: "Pacific/Pago_Pago",
+    21: "Pacific/Marquesas", 22: "Pacific/Gambier", 23: "America/Tijuana", 24: "Pacific/Pitcairn",
+    25: "America/Hermosillo", 26: "America/Guatemala", 27: "America/Mexico_City", 28: "America/Cancun",
+    29: "America/Havana", 30: "America/Grand_Turk", 31: "America/Asuncion", 32: "America/Caracas",
+    33: "America/Cuiaba", 34: "America/La_Paz", 35: "America/Santiago", 36: "America/Araguaina",
+    37: "America/Sao_Paulo", 38: "America/Cayenne", 39: "America/Argentina/Buenos_Aires",
+    40: "America/Nuuk", 41: "America/Montevideo", 42: "America/Punta_Arenas", 43: "America/Bahia",
+    44: "America/Noronha", 45: "Atlantic/Azores", 46: "Atlantic/Cape_Verde", 47: "UTC", 48: "Europe/London",
+    49: "Etc/Greenwich", 50: "Africa/Sao_Tome", 51: "Africa/Casablanca", 52: "WET", 53: "Europe/Budapest",
+    54: "Europe/Paris", 55: "Europe/Warsaw", 56: "Africa/Lagos", 57: "Asia/Amman", 58: "Europe/Bucharest",
+    59: "Asia/Beirut", 60: "Africa/Cairo", 61: "Europe/Chisinau", 62: "Asia/Damascus", 63: "Asia/Hebron",
+    64: "Africa/Johannesburg", 65: "Europe/Kiev", 66: "Asia/Jerusalem", 67: "Europe/Kaliningrad",
+    68: "Africa/Khartoum", 69: "Africa/Tripoli", 70: "Africa/Windhoek", 71: "Asia/Baghdad",
+    72: "Europe/Istanbul", 73: "Asia/Riyadh", 74: "Europe/Minsk", 75: "Europe/Moscow", 76: "Africa/Nairobi",
+    77: "Asia/Tehran", 78: "Asia/Dubai", 79: "Europe/Astrakhan", 80: "Asia/Baku", 81: "Europe/Samara",
+    82: "Indian/Mauritius", 83: "Europe/Saratov", 84: "Asia/Tbilisi", 85: "Europe/Volgograd",
+    86: "Asia/Yerevan", 87: "Asia/Kabul", 88: "Asia/Tashkent", 89: "Asia/Yekaterinburg", 90: "Asia/Karachi",
+    91: "Asia/Qyzylorda", 92: "Asia/Kolkata", 93: "Asia/Colombo", 94: "Asia/Kathmandu",
+    95: "Asia/Novosibirsk", 96: "Asia/Dhaka", 97: "Asia/Omsk", 98: "Asia/Yangon", 99: "Asia/Bangkok",
+    100: "Asia/Barnaul", 101: "Asia/Hovd", 102: "Asia/Krasnoyarsk", 103: "Asia/Novosibirsk",
+    104: "Asia/Tomsk", 105: "Asia/Shanghai", 106: "Asia/Irkutsk", 107: "Asia/Singapore",
+    108: "Australia/Perth", 109: "Asia/Taipei", 110: "Asia/Ulaanbaatar", 111: "Australia/Eucla",
+    112: "Asia/Chita", 113: "Asia/Tokyo", 114: "Asia/Pyongyang", 115: "Asia/Seoul", 116: "Asia/Yakutsk",
+    117: "Australia/Adelaide", 118: "Australia/Darwin", 119: "Australia/Brisbane", 120: "Australia/Sydney",
+    121: "Australia/Hobart", 122: "Asia/Vladivostok", 123: "Australia/Lord_Howe",
+    124: "Pacific/Bougainville", 125: "Asia/Srednekolymsk", 126: "Asia/Magadan", 127: "Pacific/Norfolk",
+    128: "Asia/Sakhalin", 129: "Pacific/Guadalcanal", 130: "Asia/Kamchatka", 131: "Pacific/Auckland",
+    132: "Pacific/Tarawa", 133: "Pacific/Fiji", 134: "Asia/Kamchatka", 135: "Pacific/Chatham",
+    136: "Etc/GMT-13", 137: "Pacific/Tongatapu", 138: "Pacific/Apia", 139: "Pacific/Kiritimati",
+}
 
 SQUARE_WEB_SOURCES = ["Popmenu", "Square Online"]
 SQUARE_APP_SOURCES = ["Doordash", "Ubereats", "Grubhubweb"]

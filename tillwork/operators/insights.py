@@ -13,8 +13,10 @@ from tillwork.operators.keyed import first_per_key, merge_conditional
 
 ORDER_KEY = ["ord_id", "partner_id", "location_id"]
 NON_POS_TYPES = [codes.PERSON_ID, codes.MAID_AAID, codes.MAID_IDFA]
+# fixed values: item names and a pattern of item names that are no food of their own, and the types of food
 EXCLUDED_NAMES = ["Small", "Large", "Medium", "Spicy", "Plain", "null", ""]
-EXCLUDED_PATTERN = r"^(?i:add|no|not|side|sub|extra|light) |^[0-9]+ (?i:oz)$"
+EXCLUDED_PATTERN = "^([Aa][Dd][Dd]|[Nn][Oo][Tt]?|[Ss][Ii][Dd][Ee]|[Ss][Uu][Bb]|[Ee][Xx][Tt][Rr][Aa]|[Ll][Ii][Gg][Hh][Tt]) |^[0-9]+ [Oo][Zz]$"
+FOOD_TYPES = "[Ff][Oo][Oo][Dd]|Normal"
 
 
 def completed_orders_by_location(orders: DataFrame, locations: DataFrame, dates: DataFrame | None = None) -> DataFrame:
@@ -70,7 +72,7 @@ def food_items(items: DataFrame) -> DataFrame:
     """Sellable food: not a variation, a size word, an add-on phrase or a bare volume."""
     name = F.col("item_nm")
     return items.filter(
-        F.col("item_type").rlike("[Ff][Oo][Oo][Dd]|Normal")
+        F.col("item_type").rlike(FOOD_TYPES)
         & name.isNotNull()
         & ~name.isin(EXCLUDED_NAMES)
         & ~name.rlike(EXCLUDED_PATTERN)

@@ -44,7 +44,7 @@ VIEWS = {
         SELECT DISTINCT item_id, partner_id, item_nm FROM items
         WHERE regexp_matches(item_type, '[Ff][Oo][Oo][Dd]|Normal') AND item_nm IS NOT NULL
           AND item_nm NOT IN ('Small', 'Large', 'Medium', 'Spicy', 'Plain', 'null', '')
-          AND NOT regexp_matches(item_nm, '^(?i:add|no|not|side|sub|extra|light) |^[0-9]+ (?i:oz)$')""",
+          AND NOT regexp_matches(item_nm, '^([Aa][Dd][Dd]|[Nn][Oo][Tt]?|[Ss][Ii][Dd][Ee]|[Ss][Uu][Bb]|[Ee][Xx][Tt][Rr][Aa]|[Ll][Ii][Gg][Hh][Tt]) |^[0-9]+ [Oo][Zz]$')""",
     "tenders": """
         SELECT 't' || o_orderkey AS tender_id,
                CASE o_orderpriority WHEN '1-URGENT' THEN 2 WHEN '2-HIGH' THEN 1 WHEN '3-MEDIUM' THEN 3

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.llm.graph import components
-from tillwork.llm.shared import mix64, narrow, saved
+from tillwork.llm.shared import mix64, narrow, partitions, saved
 from tillwork.llm.words import find_words, shingle_hashes, text_slices, word_hashes
 
 WIDTH = 5
@@ -169,6 +169,8 @@ def near_duplicates(
     paired = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "component", "node", "copies", "text", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two")
     )
+    # many small tasks: the work of a block pair is in its pairs, not its bytes
+    paired = paired.repartition(partitions(docs.sparkSession), "component", "one", "two")
     verified = saved(
         paired.groupBy("component", "one", "two").applyInArrow(_verify(width, threshold), "node long, root long, links long"), "verified"
     )

@@ -4,8 +4,8 @@ A block holds whole documents. Its ids are laid out in lanes, contiguous runs co
 that one numpy operation serves all lanes; the lanes share the block's model. Three orders predict an
 id: order 2 and order 1 each name the id last seen after their context, with a confidence;
 order 0 counts all ids. A mixing context made of the two confidences and whether the predictions agree
-learns how much of the probability each order gets; the id is coded in its order's share, and what
-falls to order 0 by its counts. Every block starts from an empty model and carries checksums of its bytes
+learns how much of the probability each order gets; an id's interval is its order's share, divided by
+the counts where it falls to order 0. Every block starts from an empty model and carries checksums of its bytes
 and of its ids, so a block can be read alone and damage is found.
 """
 
@@ -29,25 +29,28 @@ LANES = 4096
 MIN_STEPS = 64  # a short block has fewer lanes
 _MAGIC = b"TWCM"
 _HEADER = struct.Struct("<4sBIQQIIII")  # magic, version, documents, ids, ids before, lanes, vocabulary, checksum of ids, checksum of the rest
-_VERSION = 1
+_VERSION = 1  # of the layout and of the model; either changing makes a new version
 
 _CONTEXT_BITS = 18  # of the order-2 table
-_MIX_BITS, _ORDER0_BITS = 12, 22
-_MOST_SURE = 7
-_RENEW = 4  # steps between renewals of the order-0 intervals
-_TOP, _BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
+_MIX_BITS, _ORDER0_BITS = 12, 19
+_SURE_BITS = 3
+_MOST_SURE = (1 << _SURE_BITS) - 1
+_RENEW = 8  # steps between renewals of the order-0 intervals
+_GAIN = 24  # what an occurrence adds to an id's count
+_TOP, _BOTTOM = np.uint64(1 << 48), np.uint64(1 << 40)
 _MISS = 2  # outcomes: 0 as order 2 said, 1 as order 1 said, 2 neither
 
 
 class _Model:
-    """What a block has learned; the encoder and the decoder keep equal copies."""
-
-    def __init__(self, vocabulary: int, lanes: int):
-        self.vocabulary = vocabulary
-        self.said2 = np.zeros(1 << _CONTEXT_BITS, np.int32)
-        self.sure2 = np.zeros(1 << _CONTEXT_BITS, np.int8)
-        self.said1 = np.zeros(vocabulary + 1, np.int32)
-        self.sure1 = np.zeros(vocabulary + 1, np.int8)
+    """What a block has learned; the encoder and the decoder keep equal copies.
+
+    A prediction is an id and, in its low bits, how sure it is.
+    """
+
+    def __init__(self, vocabulary: int, lanes: int, decoding: bool):
+        self.vocabulary, self.decoding = vocabulary, decoding
+        self.bits0 = max(_ORDER0_BITS, vocabulary.bit_length() + 2)
+        self.said = [np.zeros(1 << _CONTEXT_BITS, np.int32), np.zeros(vocabulary + 1, np.int32)]  # by order 2, order 1
         contexts = (_MOST_SURE + 1) ** 2 * 2
         self.outcomes = np.tile(np.array([1, 1, 2], np.int64), (contexts, 1))
         self.counts = np.ones(vocabulary, np.int64)
@@ -57,43 +60,68 @@ class _Model:
         self.renew()
 
     def renew(self) -> None:
-        """Intervals of all ids and of all outcomes from the counts so far."""
-        if self.step % _RENEW == 0 or self.step < 2 * _RENEW:
+        """Intervals of all outcomes, and now and then of all ids, from the counts so far."""
+        if self.step % _RENEW == 0 or self.step < _RENEW:
             if self.pending:
-                self.counts += 24 * np.bincount(np.concatenate(self.pending), minlength=self.vocabulary)
+                self.counts += _GAIN * np.bincount(np.concatenate(self.pending), minlength=self.vocabulary)
                 self.pending = []
             until = np.cumsum(self.counts)
-            spare = (1 << _ORDER0_BITS) - self.vocabulary
+            spare = ((1 << self.bits0) - self.vocabulary) / float(until[-1])
             self.low0 = np.zeros(self.vocabulary + 1, np.int64)
-            self.low0[1:] = until * spare // until[-1] + np.arange(1, self.vocabulary + 1)  # no interval is empty
+            self.low0[1:] = (until * spare).astype(np.int64) + np.arange(1, self.vocabulary + 1)  # no interval is empty
+            self.low0[-1] = 1 << self.bits0
+            if self.decoding:
+                self.id_at = np.repeat(np.arange(self.vocabulary, dtype=np.int32), np.diff(self.low0))
         total = self.outcomes.sum(axis=1, keepdims=True)
         share = self.outcomes * ((1 << _MIX_BITS) - 3) // total + 1
         share[:, _MISS] += (1 << _MIX_BITS) - share.sum(axis=1)
-        self.share = share
-        self.low = np.cumsum(share, axis=1) - share
+        self.share, self.low = share.ravel(), (np.cumsum(share, axis=1) - share).ravel()
 
     def predict(self, lanes: int) -> None:
         """Both predictions and the mixing context of the first `lanes` lanes."""
         one, two = self.before[0, :lanes], self.before[1, :lanes]
-        self.at2 = ((two * 0x9E3779B1 + one * 0x85EBCA77) >> 7) & ((1 << _CONTEXT_BITS) - 1)
-        self.at1 = one
-        self.guess2, self.guess1 = self.said2[self.at2], self.said1[one]
-        self.trust2, self.trust1 = self.sure2[self.at2], self.sure1[one]
-        self.mix = (self.trust2.astype(np.int64) * (_MOST_SURE + 1) + self.trust1) * 2 + (self.guess2 == self.guess1)
-
-    def outcome(self, ids: np.ndarray) -> np.ndarray:
-        return np.where(ids == self.guess2, 0, np.where(ids == self.guess1, 1, _MISS))
-
-    def learn(self, ids: np.ndarray, outcome: np.ndarray) -> None:
-        seen = np.bincount(self.mix * 3 + outcome, minlength=self.outcomes.size).reshape(self.outcomes.shape)
+        self.at = [((two * 0x9E3779B1 + one * 0x85EBCA77) >> 7) & ((1 << _CONTEXT_BITS) - 1), one]
+        self.guess = [said[at] for said, at in zip(self.said, self.at, strict=True)]
+        self.id2, self.id1 = self.guess[0] >> _SURE_BITS, self.guess[1] >> _SURE_BITS
+        self.trust = [guess & _MOST_SURE for guess in self.guess]
+        mix = (self.trust[0] << _SURE_BITS | self.trust[1]) << 1 | (self.id2 == self.id1)
+        self.mix = mix.astype(np.int64) * 3
+
+    def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and length of the ids' intervals of 2 ** (_MIX_BITS + bits0), after predict."""
+        self.outcome = np.where(ids == self.id2, 0, np.where(ids == self.id1, 1, _MISS))
+        return self._interval(ids, np.flatnonzero(self.outcome == _MISS))
+
+    def _interval(self, ids: np.ndarray, miss: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = self.mix + self.outcome
+        share = self.share[at]
+        low, length = self.low[at] << self.bits0, share << self.bits0
+        missed, part = ids[miss], share[miss]
+        start = self.low0[missed]
+        low[miss] += part * start
+        length[miss] = part * (self.low0[missed + 1] - start)
+        return low, length
+
+    def id_at_place(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids whose intervals hold these places, and the intervals, after predict."""
+        first = place >> self.bits0
+        self.outcome = (first >= self.low[self.mix + 1]).astype(np.int64) + (first >= self.low[self.mix + _MISS])
+        miss = np.flatnonzero(self.outcome == _MISS)
+        ids = np.where(self.outcome == 0, self.id2, self.id1)
+        at = self.mix[miss] + _MISS
+        ids[miss] = self.id_at[(place[miss] - (self.low[at] << self.bits0)) // self.share[at]]
+        return ids, *self._interval(ids, miss)
+
+    def learn(self, ids: np.ndarray) -> None:
+        seen = np.bincount(self.mix + self.outcome, minlength=self.outcomes.size).reshape(self.outcomes.shape)
         self.outcomes += seen
         heavy = self.outcomes.sum(axis=1) > 4096
         self.outcomes[heavy] = self.outcomes[heavy] + 1 >> 1
-        for said, sure, at, guess, trust in ((self.said2, self.sure2, self.at2, self.guess2, self.trust2), (self.said1, self.sure1, self.at1, self.guess1, self.trust1)):
-            right = guess == ids
-            gone = ~right & (trust == 0)
-            sure[at] = np.where(right, np.minimum(trust + 1, _MOST_SURE), np.where(gone, 0, trust >> 1))
-            said[at[gone]] = ids[gone]  # of lanes with one context the last counts, for reader and writer alike
+        new = ids << _SURE_BITS
+        for said, at, guess, trust in zip(self.said, self.at, self.guess, self.trust, strict=True):
+            name = guess - trust
+            # of lanes with one context the last counts, for reader and writer alike
+            said[at] = np.where(name == new, guess + (trust < _MOST_SURE), np.where(trust == 0, new, name + (trust >> 1)))
         self.pending.append(ids)
         lanes = len(ids)
         self.before[1, :lanes] = self.before[0, :lanes]
@@ -110,20 +138,17 @@ class _Coder:
         self.range = np.full(lanes, np.iinfo(np.uint64).max, np.uint64)
         self.place = np.zeros(lanes, np.int64)
 
-    def narrowed(self, lane, low: np.ndarray, share: np.ndarray, unit: np.ndarray) -> None:
-        self.low[lane] += low.astype(np.uint64) * unit
-        self.range[lane] = share.astype(np.uint64) * unit
-        low, size = self.low[lane], self.range[lane]
-        ready = ((low ^ (low + size)) < _TOP) | (size < _BOTTOM)
-        todo = np.flatnonzero(ready)
-        if not isinstance(lane, slice):
-            todo = lane[todo]
+    def narrowed(self, lanes: int, low: np.ndarray, length: np.ndarray, unit: np.ndarray) -> None:
+        """Narrow the first lanes' ranges and shift out the words that are settled."""
+        base, size = self.low[:lanes], self.range[:lanes]
+        base += low.view(np.uint64) * unit
+        np.multiply(length.view(np.uint64), unit, out=size)
+        todo = np.flatnonzero(((base ^ (base + size)) < _TOP) | (size < _BOTTOM))
         while len(todo):
             low, size = self.low[todo], self.range[todo]
             same = (low ^ (low + size)) < _TOP
             size = np.where(same, size, (np.uint64(0) - low) & (_BOTTOM - np.uint64(1)))
             self.shift(todo, low >> np.uint64(48))
-            self.place[todo] += 1
             low, size = low << np.uint64(16), size << np.uint64(16)
             self.low[todo], self.range[todo] = low, size
             todo = todo[((low ^ (low + size)) < _TOP) | (size < _BOTTOM)]
@@ -135,23 +160,22 @@ class _Coder:
 class _Writer(_Coder):
     def __init__(self, lanes: int, steps: int):
         super().__init__(lanes)
-        self.words = np.zeros((lanes, 2 * steps + 8), np.uint16)  # a step writes 34 bits at most on average
+        self.words = np.zeros((lanes, steps + 8), np.uint16)
 
     def shift(self, lanes: np.ndarray, word: np.ndarray) -> None:
-        if self.place[lanes].max() + 3 >= self.words.shape[1]:
+        place = self.place[lanes]
+        if place.max() + 3 >= self.words.shape[1]:
             self.words = np.concatenate([self.words, np.zeros_like(self.words)], axis=1)
-        self.words[lanes, self.place[lanes]] = word
-
-    def code(self, lane, low: np.ndarray, share: np.ndarray, bits: int) -> None:
-        self.narrowed(lane, low, share, self.range[lane] >> np.uint64(bits))
+        self.words[lanes, place] = word
+        self.place[lanes] = place + 1
 
     def finish(self) -> tuple[np.ndarray, np.ndarray]:
         """Two more words each name a number inside the lane's range; what follows reads as zeros."""
-        value = (self.low + (_BOTTOM - np.uint64(1))) & ~(_BOTTOM - np.uint64(1))
+        low = np.uint64((1 << 32) - 1)
+        value = (self.low + low) & ~low
         every = np.arange(len(self.place))
         for shift in (48, 32):
             self.shift(every, (value >> np.uint64(shift)) & np.uint64(0xFFFF))
-            self.place += 1
         kept = np.arange(self.words.shape[1]) < self.place[:, None]
         return self.words[kept], self.place
 
@@ -160,23 +184,18 @@ class _Reader(_Coder):
     def __init__(self, words: np.ndarray, count: np.ndarray):
         super().__init__(len(count))
         self.words = np.append(words, np.zeros(8, np.uint16))
-        self.start = np.cumsum(count) - count
-        self.stop = self.start + count
+        self.stop = np.cumsum(count)
+        self.place = self.stop - count
         self.value = np.zeros(len(count), np.uint64)
-        self.read = np.zeros(len(count), np.int64)
         every = np.arange(len(count))
         for _ in range(4):
             self.shift(every, None)
 
     def shift(self, lanes: np.ndarray, word: np.ndarray | None) -> None:
-        at = self.start[lanes] + self.read[lanes]
-        taken = np.where(at < self.stop[lanes], self.words[np.minimum(at, len(self.words) - 1)], 0).astype(np.uint64)
+        at = self.place[lanes]
+        taken = np.where(at < self.stop[lanes], self.words[np.minimum(at, len(self.words) - 1)], np.uint16(0))
         self.value[lanes] = (self.value[lanes] << np.uint64(16)) | taken
-        self.read[lanes] += 1
-
-    def target(self, lane, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        unit = self.range[lane] >> np.uint64(bits)
-        return np.minimum((self.value[lane] - self.low[lane]) // unit, np.uint64((1 << bits) - 1)).astype(np.int64), unit
+        self.place[lanes] = at + 1
 
 
 def _shape(n: int) -> tuple[int, int, int]:
@@ -189,21 +208,18 @@ def _shape(n: int) -> tuple[int, int, int]:
 def _compress(ids: np.ndarray) -> bytes:
     lanes, steps, last = _shape(len(ids))
     vocabulary = int(ids.max()) + 1
-    grid = np.zeros(lanes * steps, np.int64)
+    grid = np.zeros(lanes * steps, np.int32)
     grid[: len(ids)] = ids
     grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
-    model, coder = _Model(vocabulary, lanes), _Writer(lanes, steps)
+    model, coder = _Model(vocabulary, lanes, decoding=False), _Writer(lanes, steps)
+    bits = np.uint64(_MIX_BITS + model.bits0)
     for step in range(steps):
         active = lanes if step < last else lanes - 1
         now = grid[step, :active]
         model.predict(active)
-        outcome = model.outcome(now)
-        coder.code(slice(0, active), model.low[model.mix, outcome], model.share[model.mix, outcome], _MIX_BITS)
-        lane = np.flatnonzero(outcome == _MISS)
-        if len(lane):
-            low = model.low0[now[lane]]
-            coder.code(lane, low, model.low0[now[lane] + 1] - low, _ORDER0_BITS)
-        model.learn(now, outcome)
+        low, length = model.interval(now)
+        coder.narrowed(active, low, length, coder.range[:active] >> bits)
+        model.learn(now)
     words, count = coder.finish()
     return struct.pack("<II", lanes, vocabulary) + count.astype("<u4").tobytes() + words.astype("<u2").tobytes()
 
@@ -214,23 +230,17 @@ def _expand(data: memoryview, n: int) -> np.ndarray:
     words = np.frombuffer(data, "<u2", int(count.sum()), 8 + 4 * lanes)
     _, steps, last = _shape(n)
     grid = np.zeros((steps, lanes), np.uint32)
-    model, coder = _Model(vocabulary, lanes), _Reader(words, count)
+    model, coder = _Model(vocabulary, lanes, decoding=True), _Reader(words, count)
+    bits = np.uint64(_MIX_BITS + model.bits0)
+    most = np.uint64((1 << int(bits)) - 1)
     for step in range(steps):
         active = lanes if step < last else lanes - 1
         model.predict(active)
-        every = slice(0, active)
-        value, unit = coder.target(every, _MIX_BITS)
-        low = model.low[model.mix]
-        outcome = (value >= low[:, 1]).astype(np.int64) + (value >= low[:, 2])
-        coder.narrowed(every, model.low[model.mix, outcome], model.share[model.mix, outcome], unit)
-        now = np.where(outcome == 0, model.guess2, model.guess1).astype(np.int64)
-        lane = np.flatnonzero(outcome == _MISS)
-        if len(lane):
-            value, unit = coder.target(lane, _ORDER0_BITS)
-            found = np.searchsorted(model.low0, value, "right") - 1
-            coder.narrowed(lane, model.low0[found], model.low0[found + 1] - model.low0[found], unit)
-            now[lane] = found
-        model.learn(now, outcome)
+        unit = coder.range[:active] >> bits
+        place = np.minimum((coder.value[:active] - coder.low[:active]) // unit, most).view(np.int64)
+        now, low, length = model.id_at_place(place)
+        coder.narrowed(active, low, length, unit)
+        model.learn(now)
         grid[step, :active] = now
     return np.ascontiguousarray(grid.T).ravel()[:n]
 

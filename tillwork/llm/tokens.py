@@ -1,7 +1,7 @@
 """Token ids of whole batches of texts, by the tokenizers library.
 
-Texts repeat their words, so a word goes through the tokenizer once per worker and the ids of a text are put together
-with numpy. That gives the tokenizer's own ids for a tokenizer that never joins across blanks,
+Texts repeat their words, so a piece of a word goes through the tokenizer once per worker and the ids of a
+text are put together with numpy. That gives the tokenizer's own ids for a tokenizer that never joins across blanks,
 such as word_bpe_49k.json, whose pre-tokenizer drops them; texts are cut at ASCII blanks only.
 """
 
@@ -20,15 +20,26 @@ from tokenizers import Tokenizer
 
 from tillwork.llm.words import text_slices
 
-WORDS_KEPT = 300_000  # words and pieces a worker remembers; beyond that it starts anew
+PIECES_KEPT = 400_000  # pieces a worker remembers, about 100 MB; beyond that it starts anew
+SLICE_BYTES = 2 << 20  # texts tokenized together
+
 _SOLID = np.ones(256, bool)
 _SOLID[[9, 10, 11, 12, 13, 32]] = False  # the ASCII blanks
-_LETTERS = "a-zß-öø-ÿ"
-# words of Latin letters, digits and ASCII signs fall apart into letters, single digits and runs of signs;
-# an apostrophe may bind letters and <| may begin a special token, so such words stay whole
-_SIMPLE = re.compile(r"(?:(?!<\|)[A-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-/:-@\[-`{-~])+")
-_PIECE = re.compile(rf"[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
-_LETTERS_ONLY = re.compile(rf"[{_LETTERS}]+")
+_LETTER, _DIGIT, _SIGN = 1, 2, 3
+_CLASS = np.full(256, _SIGN, np.uint8)
+_CLASS[48:58] = _DIGIT
+_CLASS[65:91] = _CLASS[97:123] = _CLASS[128:192] = _CLASS[0xC3] = _LETTER
+# an apostrophe may bind letters, < may begin a special token, and of the other characters only the
+# Latin letters from U+00C0 to U+00FF (lead byte C3) are sure to be letters that do not combine
+_ODD = np.zeros(256, bool)
+_ODD[192:] = True
+_ODD[0xC3] = False
+_ODD[[ord("'"), ord("<")]] = True
+_SMALL = np.arange(256, dtype=np.uint8)
+_SMALL[65:91] += 32
+_SMALL_AFTER_C3 = np.arange(256, dtype=np.uint8)
+_SMALL_AFTER_C3[0x80:0x9F] += 32  # without the sign of multiplication, which is odd
+_LETTERS_ONLY = re.compile(r"[a-zß-öø-ÿ]+")
 
 
 def default_vocabulary() -> str:
@@ -51,70 +62,78 @@ class Encoder:
         self.end_id = end_id
         size = self.tokenizer.get_vocab_size()
         self.ends_word = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn_pieces(self, pieces: set[str]) -> None:
+    def _learn(self, pieces: list[str]) -> None:
+        """Runs of letters go through the tokenizer in one text, the rest one by one."""
         letters = [p for p in pieces if _LETTERS_ONLY.fullmatch(p)]
         ids = np.array(self.tokenizer.encode(" ".join(letters), add_special_tokens=False).ids, "<u4")
         stops = np.flatnonzero(self.ends_word[ids]) + 1 if len(ids) else np.zeros(0, int)
-        if len(stops) == len(letters):  # each word ends in exactly one token with the end mark
-            starts = np.concatenate([[0], stops[:-1]]) if len(stops) else stops
-            self.pieces.update({p: ids[a:b].tobytes() for p, a, b in zip(letters, starts, stops, strict=True)})
-            rest = list(pieces.difference(letters))
-        else:
-            rest = list(pieces)
-        self.pieces.update(zip(rest, self._encoded(rest), strict=True))
-
-    def _learn(self, words: list[str]) -> None:
-        split = {}
-        for w in words:
-            if w.isascii() and w.isalpha():
-                split[w] = (w.lower(),)
-            elif _SIMPLE.fullmatch(w):
-                split[w] = _PIECE.findall(w.lower())
-        if len(self.pieces) > WORDS_KEPT:
-            self.pieces.clear()
-        self._learn_pieces({p for ps in split.values() for p in ps}.difference(self.pieces))
-        self.words.update({w: b"".join([self.pieces[p] for p in ps]) for w, ps in split.items()})
-        whole = [w for w in words if w not in split]
-        self.words.update(zip(whole, self._encoded(whole), strict=True))
+        if len(stops) == len(letters):  # each run ends in exactly one token with the end mark
+            raw, at = ids.tobytes(), 0
+            for piece, stop in zip(letters, (4 * stops).tolist(), strict=True):
+                self.pieces[piece] = raw[at:stop]
+                at = stop
+            pieces = list(set(pieces).difference(letters))
+        encoded = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        self.pieces.update({p: np.array(e.ids, "<u4").tobytes() for p, e in zip(pieces, encoded, strict=True)})
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts given as bytes and offsets: all ids (uint32) and the texts' offsets in them."""
-        solid = _SOLID[data]
-        begins, ends = solid.copy(), solid.copy()
-        begins[1:] &= ~solid[:-1]
-        ends[:-1] &= ~solid[1:]
-        edges = offsets[(offsets > 0) & (offsets < len(data))]
-        begins[edges], ends[edges - 1] = solid[edges], solid[edges - 1]
-        start = np.flatnonzero(begins)
-        bounds = np.zeros(len(start) + 1, np.int64)
-        np.cumsum(np.flatnonzero(ends) + 1 - start, out=bounds[1:])
-        words = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(bounds), pa.py_buffer(np.compress(solid, data)))
-        coded = pc.dictionary_encode(words)
-        distinct = coded.dictionary.to_pylist()
-        if len(self.words) > WORDS_KEPT:
-            self.words.clear()
-        if missing := [w for w in distinct if w not in self.words]:
+        strings, first = _pieces(data, offsets)
+        coded = pc.dictionary_encode(strings)
+        distinct, piece = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+        if len(self.pieces) > PIECES_KEPT:
+            self.pieces.clear()
+        if missing := [p for p in distinct if p not in self.pieces]:
             self._learn(missing)
-        blobs = [self.words[w] for w in distinct]
+        blobs = [self.pieces[p] for p in distinct]
         known = np.frombuffer(b"".join(blobs), "<u4")
-        length = np.array([len(b) // 4 for b in blobs], np.int64)
-        place = np.concatenate([[0], np.cumsum(length)])
-        word = coded.indices.to_numpy(zero_copy_only=False)
-        first_word = np.searchsorted(start, offsets)
-        if self.end_id is not None:  # one more word at the end of each text
-            word = np.insert(word, first_word[1:], len(distinct))
-            known, length = np.append(known, np.uint32(self.end_id)), np.append(length, 1)
-            first_word = first_word + np.arange(len(first_word))
-        count = length[word]
+        length = np.array([len(b) // 4 for b in blobs], np.int32)
+        place = np.cumsum(length) - length
+        if self.end_id is not None:  # one more piece at the end of each text
+            piece = np.insert(piece, first[1:], len(distinct))
+            known, length, place = np.append(known, np.uint32(self.end_id)), np.append(length, 1), np.append(place, len(known))
+            first = first + np.arange(len(first))
+        count = length[piece]
         until = np.concatenate([[0], np.cumsum(count)])
-        take = np.arange(until[-1]) + np.repeat(place[word] - until[:-1], count)
-        return known[take], until[first_word]
+        take = np.arange(until[-1]) + np.repeat(place[piece] - until[:-1], count)
+        return known[take], until[first]
+
+
+def _pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """The pieces of texts that the tokenizer never joins, and the number of pieces before each text.
+
+    Words between ASCII blanks fall apart into runs of letters, single digits and runs of signs, in lower
+    case; a word with an odd character stays whole and as it is.
+    """
+    solid = _SOLID[data]
+    begins, ends = solid.copy(), solid.copy()
+    begins[1:] &= ~solid[:-1]
+    ends[:-1] &= ~solid[1:]
+    edges = offsets[(offsets > 0) & (offsets < len(data))]
+    begins[edges], ends[edges - 1] = solid[edges], solid[edges - 1]
+    start = np.flatnonzero(begins)
+    length = np.flatnonzero(ends) + 1 - start
+    word = np.cumsum(length) - length  # starts of the words without the blanks
+    packed = data[solid]
+    text, new = _SMALL[packed], np.zeros(len(packed), bool)
+    if len(packed):
+        kind, odd = _CLASS[packed], _ODD[packed]
+        after_c3 = np.flatnonzero(packed[:-1] == 0xC3) + 1
+        text[after_c3] = _SMALL_AFTER_C3[packed[after_c3]]
+        odd[after_c3] |= (packed[after_c3] == 0x97) | (packed[after_c3] == 0xB7)
+        new[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+        odd_word = np.logical_or.reduceat(odd, word)
+        if odd_word.any():
+            whole = np.repeat(odd_word, length)
+            new &= ~whole
+            text[whole] = packed[whole]
+        new[word] = True
+    at = np.flatnonzero(new)
+    bounds = np.append(at, len(packed)).astype(np.int64)
+    strings = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(bounds), pa.py_buffer(text))
+    return strings, np.searchsorted(at, np.append(word, len(packed))[np.searchsorted(start, offsets)])
 
 
 _ENCODERS: dict[tuple[int, int | None], Encoder] = {}
@@ -130,7 +149,7 @@ def worker_encoder(vocabulary: str, end_id: int | None) -> Encoder:
 
 def tokenized(batch: pa.RecordBatch, encoder: Encoder):
     """Slices of the batch with the ids of their texts and the texts' offsets in them."""
-    for part, data, offsets in text_slices(batch, "text"):
+    for part, data, offsets in text_slices(batch, "text", SLICE_BYTES):
         yield part, *encoder.ids(data, offsets)
 
 

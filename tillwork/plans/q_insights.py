@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.operators import insights as ins
-from tillwork.operators.changes import changed_keys
+
 from tillwork.operators.keyed import merge_upsert
 from tillwork.plans.bindings import Tables
 from tillwork.plans.registry import query

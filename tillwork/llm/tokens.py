@@ -20,8 +20,7 @@ from tokenizers import Tokenizer
 
 from tillwork.llm.words import text_slices
 
-PIECES_KEPT = 400_000  # pieces a worker remembers, about 100 MB; beyond that it starts anew
-SLICE_BYTES = 2 << 20  # texts tokenized together
+PIECES_KEPT = 150_000  # pieces of a generation; a worker remembers two, about 75 MB, and forgets the older
 
 _SOLID = np.ones(256, bool)
 _SOLID[[9, 10, 11, 12, 13, 32]] = False  # the ASCII blanks
@@ -63,6 +62,7 @@ class Encoder:
         size = self.tokenizer.get_vocab_size()
         self.ends_word = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _learn(self, pieces: list[str]) -> None:
         """Runs of letters go through the tokenizer in one text, the rest one by one."""
@@ -82,23 +82,46 @@ class Encoder:
         """Ids of texts given as bytes and offsets: all ids (uint32) and the texts' offsets in them."""
         strings, first = _pieces(data, offsets)
         coded = pc.dictionary_encode(strings)
-        distinct, piece = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.pieces) > PIECES_KEPT:
-            self.pieces.clear()
-        if missing := [p for p in distinct if p not in self.pieces]:
+            self.pieces, self.older = {}, self.pieces
+        blobs = list(map(self.pieces.get, distinct))
+        unseen = [i for i, blob in enumerate(blobs) if blob is None]
+        missing = []
+        for i in unseen:
+            piece = distinct[i]
+            blob = self.older.get(piece)
+            if blob is None:
+                missing.append(piece)
+            else:
+                self.pieces[piece] = blob
+        if missing:
             self._learn(missing)
-        blobs = [self.pieces[p] for p in distinct]
-        known = np.frombuffer(b"".join(blobs), "<u4")
-        length = np.array([len(b) // 4 for b in blobs], np.int32)
-        place = np.cumsum(length) - length
+        for i in unseen:
+            blobs[i] = self.pieces[distinct[i]]
+        piece = coded.indices.to_numpy(zero_copy_only=False)
         if self.end_id is not None:  # one more piece at the end of each text
             piece = np.insert(piece, first[1:], len(distinct))
-            known, length, place = np.append(known, np.uint32(self.end_id)), np.append(length, 1), np.append(place, len(known))
+            blobs.append(np.uint32(self.end_id).astype("<u4").tobytes())
             first = first + np.arange(len(first))
+        length = np.fromiter(map(len, blobs), np.int32, len(blobs)) // 4
+        known = np.frombuffer(b"".join(blobs), "<u4")
         count = length[piece]
-        until = np.concatenate([[0], np.cumsum(count)])
-        take = np.arange(until[-1]) + np.repeat(place[piece] - until[:-1], count)
-        return known[take], until[first]
+        until = np.concatenate([[0], np.cumsum(count, dtype=np.int64)])
+        return _gathered(known, (np.cumsum(length) - length)[piece], count), until[first]
+
+
+def _gathered(known: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """known[start[0] : start[0] + count[0]], then the next run, and so on, by one running sum of steps."""
+    if not count.all():
+        start, count = start[count > 0], count[count > 0]
+    if not len(count):
+        return known[:0]
+    at = np.cumsum(count, dtype=np.int64)
+    step = np.ones(at[-1], np.int32)
+    step[0] = start[0]
+    step[at[:-1]] = start[1:] - (start[:-1] + count[:-1] - 1)
+    return known.take(np.cumsum(step, dtype=np.int32), mode="clip")
 
 
 def _pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.LargeStringArray, np.ndarray]:
@@ -149,7 +172,7 @@ def worker_encoder(vocabulary: str, end_id: int | None) -> Encoder:
 
 def tokenized(batch: pa.RecordBatch, encoder: Encoder):
     """Slices of the batch with the ids of their texts and the texts' offsets in them."""
-    for part, data, offsets in text_slices(batch, "text", SLICE_BYTES):
+    for part, data, offsets in text_slices(batch, "text"):
         yield part, *encoder.ids(data, offsets)
 
 

@@ -25,7 +25,7 @@ WINDOWS = 4  # runs taken of each
 WINDOW = 96  # characters
 STEPS, BATCH, RATE = 260, 128, 0.02
 UNKNOWN = "und"
-_ROWS = 4096  # runs worked on together
+_ROWS = 2048  # runs worked on together
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = _LETTER[128:] = True
 

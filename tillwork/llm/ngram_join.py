@@ -26,8 +26,8 @@ THRESHOLD = 0.8
 RECALL = 0.9999  # of pairs exactly at the threshold; more alike pairs are missed less often
 MAX_HASHES = 200
 BLOCK = 256  # nodes of a group verified against each other in one step
-BLOCK_BYTES = 8 << 20  # and the texts of a block, on average
-_CELLS = 1 << 21  # entries of the dense block matrix held at a time
+BLOCK_BYTES = 4 << 20  # and the texts of a block, on average
+_CELLS = 1 << 20  # entries of the dense block matrix held at a time
 
 
 def plan_bands(threshold: float, recall: float = RECALL, max_hashes: int = MAX_HASHES) -> tuple[int, int]:

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 
 from tillwork.llm.shared import mix64
 
-BATCH_BYTES = 4 << 20  # texts are worked on in slices of about this size (a longer text alone)
+BATCH_BYTES = 2 << 20  # texts are worked on in slices of about this size (a longer text alone)
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.hard_rows import plain
 from tillwork.llm.url_filter import host_and_path, judge_urls, page_links
@@ -50,7 +51,7 @@ def test_block_spreads_to_aliases_and_allow_takes_precedence(spark):
 def test_links(spark):
     rows = [("http://a.com/x/y?q", canonical("z&amp;w")), ("http://a.com", '<link rel="stylesheet" href="s.css">' + canonical("HTTP://B.com/#f")), (None, canonical("http://c.com/"))]
     links = page_links(spark.createDataFrame(rows, "url string, html string"))
-    assert plain(links) == [{"src": "http://a.com", "dst": "http://B.com/".replace("B", "b")}, {"src": "http://a.com/x/y?q", "dst": "http://a.com/x/z&w"}] or plain(links)
+    assert {(r["src"], r["dst"]) for r in links.collect()} == {("http://a.com", "http://b.com/"), ("http://a.com/x/y?q", "http://a.com/x/z&w")}
 
 
 def test_redirects_in_a_long_chain(spark):
@@ -62,8 +63,8 @@ def test_redirects_in_a_long_chain(spark):
 
 def test_empty(spark):
     assert judged(spark, []) == {}
-    host, path = host_and_path(spark.range(1).select("id").id.cast("string"))
-    assert spark.range(1).select(host, path).first()[0] == ""
+    host, path = host_and_path(F.lit(None).cast("string"))
+    assert tuple(spark.range(1).select(host, path).first()) == ("", "")
 
 
 @pytest.mark.parametrize("name", ["op4_url_filter", "op6_mix"])

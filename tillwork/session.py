@@ -14,7 +14,7 @@ SQL_SETTINGS = {
     # let AQE split a hot join partition even when that costs one more shuffle above the join
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # what a Python worker holds of its input at a time, whatever the length of the rows (one row at least)
-    "spark.sql.execution.arrow.maxBytesPerBatch": "16777216b",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4194304b",
 }
 
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -55,6 +56,27 @@ def test_equals_brute_force(spark, monkeypatch, block):
     assert {r["doc_id"]: (r["class_id"], r["links"]) for r in rows} == want and len(rows) == len(docs)
 
 
+def test_empty_blocks_add_no_links(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_BYTES", 900)  # about a text: as many blocks as nodes, some empty
+    rng = random.Random(6)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=5)) for _ in range(3000)]
+    docs = []
+    for size in (2, 2, 2, 3, 3, 5):
+        words = rng.choices(vocabulary, k=150)
+        docs += [edited(rng, words, 1) for _ in range(size)]
+    docs = list(enumerate(docs + docs[:2]))
+    rows = plain(near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert {r["doc_id"]: (r["class_id"], r["links"]) for r in rows} == brute(docs)
+
+
+def test_a_block_pair_with_one_block_empty_is_skipped():
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = {"node": [1, 2], "copies": [1, 1], "text": [text, text + " more"], "block": [0, 0]}
+    for two, links in ((0, [1, 1]), (1, [])):
+        table = pa.table(rows | {"one": [0, 0], "two": [two, two]})
+        assert ngram_join._verify(5, 0.8)(table)["links"].to_pylist() == links
+
+
 def test_hard_rows(spark, documents):
     rows = plain(near_duplicates(documents))
     got = sorted(((r["doc_id"], r["class_id"], r["links"]) for r in rows), key=str)

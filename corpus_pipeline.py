@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tillwork.llm import language_id
 from tillwork.llm.mixing import mix
-from tillwork.llm.ngram_join import near_duplicates
+from tillwork.llm.ngram_join import first_of_classes, text_mark
+from tillwork.llm.words import has_word
 from tillwork.llm.packing import pack_documents
 from tillwork.llm.shared import plain_names, saved
 from tillwork.llm.tokens import default_vocabulary
@@ -33,12 +34,20 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest doc_id of each group, once; rows with a null doc_id are not compared and stay."""
+    """One document of each group of near copies, the one of the smallest doc_id, nulls last.
+
+    Every text is compared, also several of one doc_id and those of a null doc_id. Texts without words are
+    alike to none and stay; of repeats of such a text under one doc_id one stays.
+    """
     tuned(spark)
     rows = plain_names(docs, "doc_id", "text")
-    kept = near_duplicates(rows).filter("doc_id = class_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    first = rows.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    return first.union(rows.filter("doc_id IS NULL")).toDF(*docs.columns)
+    kept = first_of_classes(rows).select(F.col("doc_id").alias("kept_id"), F.col("mark").alias("kept_mark"))
+    marked = rows.withColumn("text_mark", text_mark(F.col("text")))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")) & (F.col("text_mark") == F.col("kept_mark"))
+    first = marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text_mark"])
+    wordless = marked.filter(~has_word(F.col("text")))
+    once = wordless.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text_mark"])
+    return first.union(once).union(wordless.filter("doc_id IS NULL")).drop("text_mark").toDF(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

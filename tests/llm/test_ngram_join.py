@@ -85,6 +85,13 @@ def test_hard_rows(spark, documents):
     assert near_duplicates(documents.limit(0)).count() == 0
 
 
+def test_texts_of_one_doc_id_have_classes_of_their_own(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    docs = spark.createDataFrame([(1, a), (1, b), (2, b + " z"), (3, a + " z"), (0, a + " y")], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["class_id"], r["links"]) for r in near_duplicates(docs).collect())
+    assert got == [(0, 0, 2), (1, 0, 2), (1, 1, 1), (2, 1, 1), (3, 0, 2)]
+
+
 def test_bands_reach_the_recall():
     for threshold, recall in ((0.8, 0.9999), (0.5, 0.99), (0.9, 0.999)):
         bands, rows = plan_bands(threshold, recall)

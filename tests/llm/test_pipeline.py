@@ -41,6 +41,17 @@ def test_hard_rows(spark, documents, tmp_path):
     assert sorted(str(r["doc_id"]) for r in unique.collect()) == ["1", "3", "4", "5", "7", "None", "None"]
 
 
+def test_every_text_is_compared_whatever_its_doc_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (2, b), (3, a + " z"), (None, c), (None, c + " z"), (None, a), (5, "!"), (5, "!"), (5, "?"), (None, "!"), (None, "!"), (7, "Ä"), (8, "ä")]
+    unique = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    got = [(r["doc_id"], r["text"]) for r in unique.collect()]
+    of_c = [x for x in got if x[0] is None and x[1].startswith("c0")]
+    assert len(of_c) == 1
+    want = [(1, a), (1, b), (5, "!"), (5, "?"), (None, "!"), (None, "!"), (7, "Ä"), (8, "ä")]
+    assert sorted(map(str, got)) == sorted(map(str, want + of_c))
+
+
 def test_repeated_rows_mix_as_often_as_they_are_taken(spark, documents):
     out = plain(corpus_pipeline.mix_sources(spark, documents, ""))
     taken = mixing.mix(documents).agg({"copies": "sum"}).first()[0]

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.llm.graph import components
@@ -74,11 +74,11 @@ def _signatures(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame
                     s[full] = value.view(np.int64)
                 listed = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(out.view(np.int64).ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), *map(pa.array, spread), listed],
-                    names=["doc_id", "n", "key1", "key2", "buckets"],
+                    [part.column("doc_id").cast(pa.int64()), part.column("mark"), pa.array(n, pa.int64()), *map(pa.array, spread), listed],
+                    names=["doc_id", "mark", "n", "key1", "key2", "buckets"],
                 )
 
-    return docs.mapInArrow(sign, "doc_id long, n long, key1 long, key2 long, buckets array<long>")
+    return docs.mapInArrow(sign, "doc_id long, mark long, n long, key1 long, key2 long, buckets array<long>")
 
 
 def _shared_counts(doc: np.ndarray, gram: np.ndarray, docs: int) -> np.ndarray:
@@ -140,31 +140,37 @@ def _verify(width: int, threshold: float):
     return verify
 
 
-def near_duplicates(
-    docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, recall: float = RECALL, max_hashes: int = MAX_HASHES,
-) -> DataFrame:
-    """doc_id, class_id and links of every document.
+def text_mark(text: Column) -> Column:
+    """With the doc_id, what tells a text from others of that doc_id."""
+    return F.xxhash64(text)
 
-    links counts the other documents whose sets of word n-grams have a Jaccard similarity of at least
-    `threshold` with its own, copies included; class_id is the smallest doc_id reachable over such
-    links. A text of fewer than `width` words has one n-gram, all its words; a text without words
-    (also null) is alike to none. Repeated rows are copies. A row with a null doc_id has no
-    class and no links. Rows of one doc_id must have one text. Empty in, empty out.
+
+def _classes(docs: DataFrame, threshold: float, width: int, recall: float, max_hashes: int, null_ids: bool) -> DataFrame:
+    """doc_id, mark and n of every document, with node, class (the smallest node reachable), least (the class's
+    smallest doc_id) and links; these four are null for a text without words.
+
+    A node is all texts of equal words and has a number of its own, so a doc_id may come with several texts.
+    With null_ids rows with a null doc_id are compared too; else they count for nothing.
     """
     bands, rows = plan_bands(threshold, recall, max_hashes)
-    texts = narrow(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = narrow(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_mark(F.col("text")).alias("mark"))
     signed = saved(_signatures(texts, width, bands, rows), "signatures")
-    keyed = signed.filter("n > 0 AND doc_id IS NOT NULL")
-    # one node for all texts of equal words
-    nodes = saved(keyed.groupBy("key1", "key2", "n").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")), "nodes")
-    of_node = keyed.withColumnRenamed("doc_id", "node").join(nodes, ["node", "key1", "key2", "n"], "left_semi").dropDuplicates(["node"])
+    keyed = signed.filter("n > 0" if null_ids else "n > 0 AND doc_id IS NOT NULL")
+    key = ["key1", "key2", "n"]
+    # one node for all texts of equal words; the row of its first document stands for it
+    nodes = keyed.groupBy(*key).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("first"), F.count("*").alias("copies"))
+    nodes = nodes.select(F.monotonically_increasing_id().alias("node"), *key, F.col("first.doc_id").alias("doc_id"), F.col("first.mark").alias("mark"), "copies")
+    nodes = saved(nodes, "nodes")
+    names = nodes.select("node", *key, F.col("doc_id").alias("node_doc_id"), F.col("mark").alias("node_mark"))
+    stands = F.col("doc_id").eqNullSafe(F.col("node_doc_id")) & (F.col("mark") == F.col("node_mark"))
+    of_node = keyed.join(names.drop(*key), stands).dropDuplicates(["node"])
     in_bucket = of_node.select("node", F.explode("buckets").alias("bucket"))
     met = in_bucket.groupBy("bucket").agg(F.min("node").alias("least"), F.count("*").alias("nodes")).filter("nodes > 1")
     proposed = in_bucket.join(met, "bucket").filter("node <> least").select(F.col("node").alias("src"), F.col("least").alias("dst"))
     groups = saved(components(proposed), "groups")
 
-    members = groups.withColumnRenamed("id", "node").join(nodes.select("node", "copies"), "node")
-    members = members.join(texts.withColumnRenamed("doc_id", "node").dropDuplicates(["node"]), "node")
+    members = groups.withColumnRenamed("id", "node").join(names.drop(*key), "node").join(nodes.select("node", "copies"), "node")
+    members = members.join(texts, stands).dropDuplicates(["node"]).select("component", "node", "copies", "text")
     members = saved(members, "members")
     blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.octet_length("text")) / BLOCK_BYTES)).cast("int")
     members = members.join(members.groupBy("component").agg(blocks.alias("blocks")), "component")
@@ -178,11 +184,40 @@ def near_duplicates(
         paired.groupBy("component", "one", "two").applyInArrow(_verify(width, threshold), "node long, root long, links long"), "verified"
     )
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
-    classes = components(verified.select(F.col("node").alias("src"), F.col("root").alias("dst"))).withColumnRenamed("id", "node")
-    judged = nodes.join(links, "node", "left").join(classes, "node", "left").select(
-        "key1", "key2", "n", F.coalesce("component", "node").alias("class"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")
+    linked = components(verified.select(F.col("node").alias("src"), F.col("root").alias("dst"))).withColumnRenamed("id", "node")
+    least = linked.join(nodes.select("node", "doc_id"), "node").groupBy("component").agg(F.min("doc_id").alias("least"))
+    judged = nodes.join(links, "node", "left").join(linked.join(least, "component"), "node", "left").select(
+        *key, "node", F.coalesce("component", "node").alias("class"), F.coalesce("least", "doc_id").alias("least"),
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
     )
+    return signed.drop("buckets").join(judged, key, "left")
+
+
+def near_duplicates(
+    docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, recall: float = RECALL, max_hashes: int = MAX_HASHES,
+) -> DataFrame:
+    """doc_id, class_id and links of every document.
+
+    links counts the other documents whose sets of word n-grams have a Jaccard similarity of at least
+    `threshold` with its own, copies included; class_id is the smallest doc_id reachable over such
+    links. A text of fewer than `width` words has one n-gram, all its words; a text without words
+    (also null) is alike to none. Repeated rows are copies. A row with a null doc_id has no
+    class and no links. Every text of a doc_id is compared and has a class of its own. Empty in, empty out.
+    """
+    found = _classes(docs, threshold, width, recall, max_hashes, null_ids=False)
     known = F.col("doc_id").isNotNull()
-    return signed.drop("buckets").join(judged, ["key1", "key2", "n"], "left").select(
-        "doc_id", F.when(known, F.coalesce("class", "doc_id")).alias("class_id"), F.when(known, F.coalesce("links", F.lit(0))).otherwise(0).alias("links")
+    return found.select(
+        "doc_id", F.when(known, F.coalesce("least", "doc_id")).alias("class_id"), F.when(known, F.coalesce("links", F.lit(0))).otherwise(0).alias("links")
     )
+
+
+def first_of_classes(
+    docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, recall: float = RECALL, max_hashes: int = MAX_HASHES,
+) -> DataFrame:
+    """doc_id and mark (text_mark of its text) of one document of each class of near copies, the smallest doc_id, nulls last.
+
+    Documents with a null doc_id are compared like others. Texts without words have no class and are not listed.
+    """
+    found = _classes(docs, threshold, width, recall, max_hashes, null_ids=True).filter("n > 0")
+    first = found.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("first"))
+    return first.select("first.doc_id", "first.mark")

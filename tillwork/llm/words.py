@@ -12,6 +12,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 from tillwork.llm.shared import mix64
 
@@ -64,6 +66,11 @@ def find_words(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(low, start, end, np.searchsorted(start, offsets))
 
 
+def has_word(text: Column) -> Column:
+    """Whether a text has a word; false for null."""
+    return F.coalesce(text.rlike(r"[0-9A-Za-z]|[^\x00-\x7F]"), F.lit(False))
+
+
 def word_hashes(words: Words) -> np.ndarray:
     """A 64-bit hash of every word, a polynomial over its bytes."""
     out = np.empty(len(words.start), np.uint64)

@@ -7,7 +7,7 @@ from tests.llm.hard_rows import plain
 from tillwork.llm import queries
 from tillwork.llm.bit_codes import bounds, encode, nearest, rotation
 from tillwork.llm.vectors import first_k
-from tillwork.llm.voronoi import exact_scores, sure_scores, top_products
+from tillwork.llm.voronoi import drawn, exact_scores, sure_scores, top_products
 
 SCHEMA = "vec_id long, embedding array<float>, label int, dim int, vector string"
 NAN, INF = float("nan"), float("inf")
@@ -55,6 +55,15 @@ def test_clustered_vectors_prune_and_stay_exact(spark):
     assert 75 < sure[0] <= 10 * 10 - 10 - 11 and 100 > sure[0] > pivot[0] @ pivot[1] + 20  # the other cell can be left out
 
 
+def test_pivots_are_drawn_without_one_sort_of_the_table(spark):
+    rows = spark.range(3000).select(F.col("id").alias("vec_id"), (F.col("id") % 2).cast("int").alias("dim"), F.array(F.col("id").cast("double")).alias("vector"))
+    pivots = drawn(rows, 1, 1024)
+    plan = pivots._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "Window" not in plan and "Exchange" not in plan
+    want = sorted((r["h"], r["vec_id"]) for r in rows.filter("dim = 1").select("vec_id", F.xxhash64("vec_id").alias("h")).collect())[:1024]
+    assert [r["vec_id"] for r in pivots.collect()] == [v for _, v in want]
+
+
 def test_scores_beyond_doubles():
     a, b = np.array([[2.0**40, 1.0]]), np.array([[2.0**20, 1.0], [2.0**30, 3.0]])
     assert exact_scores(a, b)[0].tolist() == [2**60 + 1, 2**63 - 1]

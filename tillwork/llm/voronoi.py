@@ -31,6 +31,11 @@ def exact_scores(queries: np.ndarray, data: np.ndarray) -> np.ndarray:
     return np.clip(whole(queries) @ whole(data).T, -(2**63), 2**63 - 1)
 
 
+def drawn(rows: DataFrame, dim: int, n: int) -> DataFrame:
+    """The n vectors of this length that come first by a hash of vec_id; each task keeps its first n only."""
+    return rows.filter(F.col("dim") == dim).orderBy(F.xxhash64("vec_id"), "vec_id").limit(n)
+
+
 def _assign(rows: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,11 +82,7 @@ def top_products(vectors: DataFrame, is_query: Column, k: int = 10, scale: float
         return rows.limit(0).select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0).cast("long").alias("score"))
     wanted = {dim: min(MOST_PIVOTS, max(LEAST_PIVOTS, blocks(n, query_block))) for dim, n in queries_of.items()}
     rows = rows.filter(F.col("dim").isin(list(queries_of)))
-    drawn = Window.partitionBy("dim").orderBy(F.xxhash64("vec_id"), "vec_id")
-    pivots: dict[int, list] = {}
-    for r in rows.withColumn("n", F.row_number().over(drawn)).filter(F.col("n") <= max(wanted.values())).orderBy("dim", "n").collect():
-        if r["n"] <= wanted[r["dim"]]:
-            pivots.setdefault(r["dim"], []).append(r["vector"])
+    pivots = {dim: [r["vector"] for r in drawn(rows, dim, n).collect()] for dim, n in wanted.items()}
     pivot = {dim: np.array(v, float).reshape(len(v), dim) for dim, v in pivots.items()}
     placed = saved(_assign(rows, pivot), "cells")
 

@@ -48,6 +48,19 @@ def test_block_spreads_to_aliases_and_allow_takes_precedence(spark):
     ]
 
 
+def test_block_spreads_across_http_and_https(spark):
+    rows = [
+        (1, "http://a.com/1", None, "h", 1), (2, "https://b.com/2", canonical("https://a.com/1"), "h", 1),  # 1 is the canonical address of 2
+        (3, "http://b.com/2", refresh("https://bad.net/x"), "h", 1), (4, "https://a.com/1#f", None, "h", 1),
+        (5, "http://c.com/5", canonical("https://c.com/5"), "h", 1), (6, "http://d.com/6", None, "h", 1), (7, "https://d.com/6", None, "h", 1),
+        (8, "ftp://a.com/1", None, "h", 1),
+    ]
+    got = judged(spark, rows)
+    assert {i: r["verdict"] for i, r in got.items()} == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow", 6: "allow", 7: "allow", 8: "allow"}
+    assert {got[i]["resource"] for i in (1, 2, 3, 4)} == {"http://b.com/2"}
+    assert [got[i]["resource"] for i in (5, 6, 7)] == ["http://c.com/5", "http://d.com/6", "https://d.com/6"]
+
+
 def test_links(spark):
     rows = [("http://a.com/x/y?q", canonical("z&amp;w")), ("http://a.com", '<link rel="stylesheet" href="s.css">' + canonical("HTTP://B.com/#f")), (None, canonical("http://c.com/"))]
     links = page_links(spark.createDataFrame(rows, "url string, html string"))

@@ -54,6 +54,11 @@ def node(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.concat(scheme, F.lit("://"), host, rest)).otherwise(bare)
 
 
+def _any_scheme(address: Column) -> Column:
+    """An address (node) with https as http: the two are one resource."""
+    return F.regexp_replace(address, "^https://", "http://")
+
+
 def _absolute(target: Column, base: Column) -> Column:
     """An address in a page, also //host/x and /x; other relative forms follow the page's folder."""
     target = F.replace(target, F.lit("&amp;"), F.lit("&"))
@@ -87,6 +92,8 @@ def page_links(pages: DataFrame) -> DataFrame:
 def judge_urls(pages: DataFrame, rules: list[Rule], redirects: DataFrame | None = None) -> DataFrame:
     """Every page with host, path, rule and verdict, and its resource (the component's smallest address).
 
+    Addresses that differ in http and https only are one where links meet them; a page that no link
+    touches is its own resource, scheme and all.
     pages: page_id, url, html; more columns are not carried. redirects (src, dst urls) adds
     redirects known from a crawl. A rule of the page's own url decides; else allow if some address
     of the resource is explicitly allowed, else block if some is blocked, else allow. Repeated
@@ -96,21 +103,27 @@ def judge_urls(pages: DataFrame, rules: list[Rule], redirects: DataFrame | None
     links = page_links(pages)
     if redirects is not None:
         links = links.union(redirects.select(node(F.col("src")), node(F.col("dst"))))
-    member = saved(components(links), "resources")
+    links = saved(links.filter("src <> dst"), "links")
+    ends = links.select(F.explode(F.array("src", "dst")).alias("address")).distinct()
+    # links within one address but for the scheme have no component of two
+    member = components(links.select(_any_scheme(F.col("src")).alias("src"), _any_scheme(F.col("dst")).alias("dst")))
+    placed = ends.withColumn("id", _any_scheme(F.col("address"))).join(member, "id", "left")
+    member = saved(placed.select("address", "id", F.coalesce("component", "id").alias("component")), "resources")
     _, decided = fitting_rule(*host_and_path(F.col("id")), rules)
     spread = member.withColumn("decided", decided).groupBy("component").agg(
-        F.max(F.col("decided") == "allow").alias("allowed"), F.max(F.col("decided") == "block").alias("blocked")
+        F.min("address").alias("resource"),
+        F.max(F.col("decided") == "allow").alias("allowed"), F.max(F.col("decided") == "block").alias("blocked"),
     )
-    resource = member.join(spread, "component").select(
-        F.col("id").alias("node"),
-        F.col("component").alias("resource"),
+    resource = member.select("id", "component").distinct().join(spread, "component").select(
+        F.col("id").alias("alias"),
+        "resource",
         F.when(F.coalesce("allowed", F.lit(False)), "allow").when(F.coalesce("blocked", F.lit(False)), "block").alias("shared"),
     )
     page_host, page_path = host_and_path(F.col("url"))
     rule, decided = fitting_rule(F.col("host"), F.col("path"), rules)
     judged = narrow(pages, "page_id", "url").select("page_id", "url", page_host.alias("host"), page_path.alias("path"))
     judged = judged.select("*", node(F.col("url")).alias("node"), rule.alias("rule"), decided.alias("decided"))
-    joined = judged.join(resource, "node", "left")
+    joined = judged.withColumn("alias", _any_scheme(F.col("node"))).join(resource, "alias", "left")
     return joined.select(
         "page_id", "host", "path", "rule", F.coalesce("decided", "shared", F.lit("allow")).alias("verdict"),
         F.coalesce("resource", "node").alias("resource"),

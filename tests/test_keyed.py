@@ -5,6 +5,7 @@ from conftest import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from tillwork.operators import keyed
 
 
@@ -46,6 +47,13 @@ def test_few_copies_sort_once(spark):
     assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
 
 
+@pytest.mark.parametrize("name", ["item_sales_enrich", "orders_square", "orders_toast", "orders_omnivore", "orders_parbrink", "orders_simphony"])
+def test_order_lines_are_reduced_before_the_shuffle(spark, name):
+    """A line that is repeated many times, or has null keys, does not go whole into one task."""
+    plan = queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" not in plan
+
+
 def test_group_totals_equal_the_window(spark):
     rng = random.Random(1)
     data = [(rng.choice(["hot"] * 8 + ["x", "y", None]), i, rng.randint(0, 50)) for i in range(500)]

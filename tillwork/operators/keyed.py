@@ -21,8 +21,8 @@ def first_per_key(df: DataFrame, keys: list[str], order_by: list[str] | None = N
     """The smallest row of each key (nulls first), by partial aggregation and no window.
 
     A struct's minimum needs sorted rows: before the shuffle, which reduces a hot key there, and after it.
-    With few_copies, for keys that nearly every row has for itself (order lines), the rows are shuffled
-    first and sorted once; such keys cannot be hot.
+    With few_copies the rows are shuffled first and sorted once, so all rows of a key go whole into one
+    task: only for keys that cannot be hot, not for landing data with replayed records or null keys.
     """
     if few_copies:
         df = df.repartition(*keys)

@@ -33,13 +33,14 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return row[0], row[1]
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """vertices (id) and edges (src, dst) to (id, component_id); lone vertices keep themselves.
+def star_components(edges: DataFrame) -> DataFrame:
+    """Edges (src, dst) to (id, component_id): every linked id with the smallest id it is connected to.
 
-    The rounds end when one changes nothing; each at least halves the longest chain, so their number
-    grows with the logarithm of the largest component and needs no limit.
+    Null ends and self-links count for nothing; an id without links is not in the result. The rounds end when
+    one changes nothing; each at least halves the longest chain, so their number grows with the logarithm of
+    the largest component and needs no limit.
     """
-    spark = vertices.sparkSession
+    spark = edges.sparkSession
     folder = scratch_folder(spark, "edges")
 
     def written(frame: DataFrame, number: int) -> DataFrame:
@@ -57,6 +58,12 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
         if now == seen:
             break
         seen = now
-    labels = stars.select(F.col("u").alias("id"), F.col("v").alias("component_id"))
+    centre = F.col("v").alias("component_id")
+    return stars.select(F.col("u").alias("id"), centre).union(stars.select(F.col("v").alias("id"), centre).distinct())
+
+
+def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+    """vertices (id) and edges (src, dst) to (id, component_id); lone vertices keep themselves."""
+    labels = star_components(edges)
     ids = vertices.select("id").union(edges.select("src")).union(edges.select("dst")).distinct()
     return ids.join(labels, "id", "left").select("id", F.coalesce("component_id", "id").alias("component_id"))

@@ -1,55 +1,16 @@
-"""Connected components with DataFrame operations only: alternating large-star and small-star.
-
-Node ids may be of any ordered type. A neighbourhood is only ever aggregated or joined on its
-node, both shuffled by it, so Spark splits a hub; no list of neighbours is built.
-"""
+"""Connected components of links between nodes of any ordered type, by the library's star rounds."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from tillwork.llm.shared import discard, saved
-
-
-def _with_least(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    return edges.join(least, "u")
-
-
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
-    return _with_least(both).filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
-
-
-def _small_star(edges: DataFrame) -> DataFrame:
-    links = _with_least(edges).select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
-    return links.filter("u <> v").distinct()
-
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+from tillwork.operators.components import star_components
 
 
 def components(edges: DataFrame) -> DataFrame:
     """Edges (src, dst) to (id, component): every linked id with the smallest id it is connected to.
 
-    Null ends and self-links count for nothing; an id without links is not in the result.
-    Each round is a table in the shared folder; the rounds grow with the logarithm of the
-    largest component and end when a round changes nothing.
+    Null ends and self-links count for nothing; an id without links is not in the result. DataFrame operations
+    only; a hub's rows are split by Spark (see star_components).
     """
-    stars = saved(
-        edges.filter("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct(), "edges"
-    )
-    seen = _mark(stars)
-    while seen[0]:
-        after = saved(_small_star(_large_star(stars)), "edges")
-        now = _mark(after)
-        discard(stars)
-        stars = after
-        if now == seen:
-            break
-        seen = now
-    return stars.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
-        stars.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-    )
+    return star_components(edges).withColumnRenamed("component_id", "component")

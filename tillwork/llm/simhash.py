@@ -30,7 +30,7 @@ SEED = 42
 REFERENCES = 32
 SAMPLE = 1024  # fingerprints on the driver from which references are chosen
 CELL = 2048  # fingerprints compared in one step
-SPLITS = 8  # splits of a cell in a round
+SPLITS = 32  # of a cell in a round, at most
 WORTH = 0.85  # a split must leave less than this share of a cell's pairs
 TEXT_BYTES = 1 << 20  # of a long text worked on at a time
 _CELLS = 1 << 20  # entries of a block of pairs

@@ -80,7 +80,7 @@ def test_splits_keep_near_pairs_together():
             assert (~close | (near[a] & near) | (far[a] & far)).all()
 
 
-@pytest.mark.parametrize("cell", [2048, 16])
+@pytest.mark.parametrize("cell", [2048, 4])
 def test_links_connect_what_chains_connect(spark, cell):
     rng = random.Random(6)
     marks = clustered(rng, 25, 30, 5)
@@ -107,7 +107,7 @@ def test_cells_no_reference_splits(spark):
     centre = 0x0F0F123456789ABC
     marks = {centre} | {centre ^ (1 << a) for a in range(64)} | {centre ^ (1 << a) ^ (1 << b) for a in range(64) for b in range(a)}
     rows = [(int(np.uint64(m).astype(np.int64)),) for m in marks]
-    found = near_links(spark.createDataFrame(rows, "fingerprint long"), cell=100).collect()
+    found = near_links(spark.createDataFrame(rows, "fingerprint long"), cell=25).collect()
     reach, todo, near = set(), [rows[0][0]], {}
     for r in found:
         near.setdefault(r["src"], []).append(r["dst"])
@@ -147,7 +147,7 @@ def test_equals_brute_force(spark):
         rows += [edited(rng, words, rng.randrange(0, 3)) for _ in range(rng.choice([1, 2, 8, 15]))]
     rows = list(enumerate(rows + rows[:30] + ["one", "ONE", "", " ", None, "two words"]))
     rng.shuffle(rows)
-    got = near_fingerprints(spark.createDataFrame(rows, "doc_id long, text string"), cell=20).collect()
+    got = near_fingerprints(spark.createDataFrame(rows, "doc_id long, text string"), cell=5).collect()
     want = brute(rows)
     assert sorted(map(tuple, got), key=repr) == want
     assert any(d != c for d, _, c in want)

@@ -29,7 +29,8 @@ MOST = 2  # differing bits of linked fingerprints
 SEED = 42
 REFERENCES = 32
 SAMPLE = 1024  # fingerprints on the driver from which references are chosen
-CELL = 2048  # fingerprints compared in one step
+CELL = 2048  # fingerprints of a cell that splits aim at
+OVERFULL = 4  # times as many are split again, or else compared in blocks
 SPLITS = 32  # of a cell in a round, at most
 WORTH = 0.85  # a split must leave less than this share of a cell's pairs
 TEXT_BYTES = 1 << 20  # of a long text worked on at a time
@@ -259,7 +260,7 @@ def near_links(marks: DataFrame, most: int = MOST, references: int = REFERENCES,
     open_, done = saved(marks.select("fingerprint", F.lit(0).cast("long").alias("cell")), "cells"), []
     while True:
         sizes = open_.groupBy("cell").agg(F.count("*").alias("held"))
-        large = saved(sizes.filter(F.col("held") > cell).select("cell"), "large")
+        large = saved(sizes.filter(F.col("held") > OVERFULL * cell).select("cell"), "large")
         splits = saved(_splits(open_.join(large, "cell", "left_semi"), pivots, most, cell), "splits")
         if splits.isEmpty():
             done.append(open_)
@@ -269,7 +270,7 @@ def near_links(marks: DataFrame, most: int = MOST, references: int = REFERENCES,
     placed = done[0]
     for part in done[1:]:
         placed = placed.unionByName(part)
-    blocks = F.ceil(F.count("*") / cell).cast("int").alias("blocks")
+    blocks = F.ceil(F.count("*") / (OVERFULL * cell)).cast("int").alias("blocks")
     placed = placed.join(placed.groupBy("cell").agg(blocks, F.count("*").alias("held")).filter("held > 1"), "cell")
     block = F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("fingerprint"), "blocks")).otherwise(0).cast("int")
     paired = placed.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

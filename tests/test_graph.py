@@ -3,8 +3,10 @@ import random
 import pytest
 from conftest import rows
 
+from tillwork.operators import component_updates, components
 from tillwork.operators import identity_graph as ig
-from tillwork.operators.components import connected_components
+from tillwork.operators.component_updates import plain_edges, update_components, update_edges
+from tillwork.operators.components import connected_components, star_components
 
 
 def union_find(nodes, edges):
@@ -101,3 +103,79 @@ def test_edges_drop_when_frequency_falls_to_zero(spark):
 
     assert ig.identity_edges_merge(edges(2), edges(-1)).first().frequency == 1
     assert ig.identity_edges_merge(edges(1), edges(-1)).count() == 0
+
+
+def batches():
+    rng = random.Random(11)
+    nodes = [f"n{i:03d}" for i in range(90)]
+    stored = [(rng.choice(nodes), rng.choice(nodes)) for _ in range(70)]
+    yield "random", nodes, stored, [(rng.choice(nodes), rng.choice(nodes)) for _ in range(15)] + [("z1", "n005"), ("z2", "z3"), ("z4", "z4")], rng.sample(stored, 12) + [("n000", "n089"), ("x", "y")]
+    chain = list(zip(nodes, nodes[1:]))
+    yield "cut and tied again", nodes, chain, [("n010", "n070"), chain[40]], [chain[30], chain[40]]
+    yield "merged chain", nodes, [e for i, e in enumerate(chain) if i % 3], [e for i, e in enumerate(chain) if i % 3 == 0], []
+    yield "star loses its hub", nodes, [("n050", n) for n in nodes if n != "n050"], [("n001", "n002")], [("n050", n) for n in nodes[:45]]
+    yield "nulls", nodes[:9], chain[:4], [(None, "n001"), ("n008", None), ("n007", "n008")], [(None, None), ("n001", None)]
+
+
+@pytest.mark.parametrize("name, nodes, stored, inserted, deleted", list(batches()), ids=lambda v: v if isinstance(v, str) else "")
+def test_updated_components_equal_a_full_run(spark, name, nodes, stored, inserted, deleted):
+    def links(pairs):
+        return spark.createDataFrame(pairs, "src string, dst string")
+
+    vertices = spark.createDataFrame([(n,) for n in nodes], "id string")
+    edges = plain_edges(links(stored))
+    labels = connected_components(vertices, edges)
+    found = update_components(labels, edges, links(inserted), links(deleted))
+    after = update_edges(edges, links(inserted), links(deleted))
+    assert rows(found) == rows(connected_components(vertices, after))
+    whole = {tuple(sorted(e)) for e in inserted if None not in e and e[0] != e[1]}
+    kept = {tuple(sorted(e)) for e in stored if e[0] != e[1]} - {tuple(sorted(e)) for e in deleted if None not in e}
+    assert rows(after) == sorted(kept | whole)
+
+
+def test_batches_one_after_the_other(spark):
+    """Random batches on stored labels give at every step what a full run gives."""
+    rng = random.Random(12)
+    nodes = list(range(60))
+    edges = plain_edges(spark.createDataFrame([(rng.choice(nodes), rng.choice(nodes)) for _ in range(40)], "src int, dst int"))
+    labels = connected_components(spark.createDataFrame([(n,) for n in nodes], "id int"), edges)
+    for step in range(2):
+        now = rows(edges)
+        inserted = [(rng.choice(nodes), rng.choice([*nodes, 100 + step])) for _ in range(rng.randrange(6))]
+        deleted = rng.sample(now, min(len(now), rng.randrange(8)))
+        new, gone = (spark.createDataFrame(pairs, "src int, dst int") for pairs in (inserted, deleted))
+        labels, edges = update_components(labels, edges, new, gone), update_edges(edges, new, gone)
+        labels, edges = (spark.createDataFrame(rows(df), df.schema) for df in (labels, edges))
+        assert rows(labels) == rows(connected_components(labels.select("id"), edges))
+
+
+def test_rounds_read_the_reopened_component_only(spark, monkeypatch):
+    """Of a long list of components, the star rounds see the one that lost an edge and the labels that an edge ties."""
+    edges = plain_edges(spark.createDataFrame([(10 * c + i, 10 * c + i + 1) for c in range(200) for i in range(5)], "src int, dst int"))
+    labels = connected_components(spark.createDataFrame([], "id int"), edges)
+    seen = []
+    monkeypatch.setattr(component_updates, "star_components", lambda e: seen.append(rows(e)) or star_components(e))
+    found = update_components(labels, edges, spark.createDataFrame([(33, 79)], "src int, dst int"), spark.createDataFrame([(1002, 1003)], "src int, dst int"))
+    assert seen == [[(1000, 1001), (1001, 1002), (1003, 1004), (1004, 1005)], [(30, 79)]]
+    after = {r["id"]: r["component_id"] for r in found.collect()}
+    assert after[1005] == 1003 and after[35] == after[79] == 30 and after[31] == 30 and len(after) == 1201
+
+
+def test_a_hub_is_split(spark):
+    """Half of all edges at one node: the join that gives each its smallest neighbour reads the hub in parts."""
+    conf = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "24",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        links = spark.range(40000).selectExpr("if(id % 2 = 0, 0, id) AS u", "id + 100000 AS v").repartition(6)
+        stars = components._large_star(links)
+        stars.collect()
+        assert "skew=true" in stars._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

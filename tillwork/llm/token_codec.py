@@ -25,11 +25,11 @@ from tillwork.llm.shared import narrow, partitions
 from tillwork.llm.tokens import sent, tokenized, worker_encoder
 
 BLOCK_TOKENS = 1 << 21  # a block ends with the document that reaches this
-LANES = 4096
+LANES = 8192
 MIN_STEPS = 64  # a short block has fewer lanes
 _MAGIC = b"TWCM"
 _HEADER = struct.Struct("<4sBIQQIIII")  # magic, version, documents, ids, ids before, lanes, vocabulary, checksum of ids, checksum of the rest
-_VERSION = 1  # of the layout and of the model; either changing makes a new version
+_VERSION = 2  # of the layout and of the model; either changing makes a new version
 
 _CONTEXT_BITS = 18  # of the order-2 table
 _MIX_BITS, _ORDER0_BITS = 12, 19
@@ -314,7 +314,7 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary_path: str, end_id: int
             yield block()
 
     texts = narrow(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    order = [F.col("doc_id").asc_nulls_last(), F.crc32(F.coalesce("text", F.lit("")).cast("binary"))]
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]  # rows of one doc_id, in any order that reruns keep
     ranged = texts.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
     ranged.mapInArrow(encode, "file int, block long, ids long, docs long, data binary").write.parquet(folder)
 

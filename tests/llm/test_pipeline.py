@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tests.llm.hard_rows import documents, plain  # noqa: F401
 from tillwork.llm import language_id, mixing, ngram_join, packing
@@ -58,6 +60,13 @@ def test_repeated_rows_mix_as_often_as_they_are_taken(spark, documents):
     assert len(out) == taken
 
 
+def test_map_columns_are_mixed_like_others(spark, documents):
+    plain_rows = corpus_pipeline.mix_sources(spark, documents, "").count()
+    mapped = documents.withColumn("tags", F.when(F.col("doc_id") < 5, F.create_map(F.lit("a"), F.col("n_chars")))).withColumn("deep", F.array(F.create_map(F.lit("b"), F.lit(1))))
+    out = corpus_pipeline.mix_sources(spark, mapped, "")
+    assert out.columns == mapped.columns and out.count() == plain_rows
+
+
 def test_accepted_keeps_whole_rows(spark, documents):
     model = language_id.learn(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), steps=20)
     kept = language_id.accepted(documents, model, 0.0)

@@ -39,9 +39,17 @@ def test_hard_rows(spark, documents):
 
 def test_shards_prune_and_keep_every_document(spark, tmp_path):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    placed = hilbert_shards(docs, 8)
-    write_shards(docs, placed, str(tmp_path / "out"))
-    back = spark.read.parquet(str(tmp_path / "out"))
+    back = write_shards(docs, str(tmp_path / "out"), 8)
     assert back.count() == docs.count() and set(docs.columns) < set(back.columns)
     touched = back.select("shard", "source").distinct().count()
     assert touched < 0.8 * 8 * docs.select("source").distinct().count()  # a filter on a source skips shards
+
+
+def test_shards_of_hard_rows(spark, documents, tmp_path):
+    """Null and repeated doc_ids, a column called shard, names that clash with those used inside."""
+    docs = documents.drop("n.x").withColumnRenamed("pid", "row_number")
+    back = write_shards(docs, str(tmp_path / "out"), 3)
+    assert back.columns == [*docs.columns, "shard_"]
+    assert plain(back.drop("shard_")) == plain(docs)
+    sizes = [r["count"] for r in back.groupBy("shard_").count().collect()]
+    assert len(sizes) == 3 and max(sizes) - min(sizes) <= 1

@@ -6,7 +6,7 @@ from check_oracle import compare, connect
 from tests.llm.hard_rows import plain
 from tillwork.llm import queries
 from tillwork.llm.bit_codes import bounds, encode, nearest, rotation
-from tillwork.llm.vectors import first_k
+from tillwork.llm.vectors import first_k, valid_vectors
 from tillwork.llm.voronoi import drawn, exact_scores, sure_scores, top_products
 
 SCHEMA = "vec_id long, embedding array<float>, label int, dim int, vector string"
@@ -114,3 +114,15 @@ def test_empty(spark):
 def test_sql(spark):
     folder = "/root/testdata/sf0.001"
     assert compare(spark, connect(folder), folder, "op5", queries.QUERIES["op5_voronoi_top_products"], queries.ORACLES["op5_voronoi_top_products"])[0] == "same"
+
+
+def test_two_vectors_of_one_id_give_the_same_answer_however_they_are_dealt_out(spark):
+    rows = [(5, [9.0, 9.0]), (5, [0.5, 1.0]), (0, [1.0, 1.0]), (100, [1.0, 0.25]), (100, [1.0, 3.0]), (7, [2.0, 2.0, 2.0]), (7, [2.0, 2.0])]
+    seen = set()
+    for parts in (1, 2, 5):
+        for ordered in (rows, rows[::-1]):
+            frame = spark.createDataFrame(ordered, "vec_id long, embedding array<double>").repartition(parts)
+            seen.add(str([plain(f(frame, F.col("vec_id") % 100 == 0)) for f in (nearest, top_products)]))
+    assert len(seen) == 1
+    found = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert {(r["vec_id"], tuple(r["vector"])) for r in valid_vectors(found, False).collect()} == {(5, (0.5, 1.0)), (0, (1.0, 1.0)), (100, (1.0, 0.25)), (7, (2.0, 2.0))}

@@ -71,15 +71,17 @@ def _cell(column: Column, starts: list) -> Column:
     return F.coalesce(F.size(F.filter(F.array(*[F.lit(s) for s in starts]), lambda s: s <= column)) - 1, F.lit(0))
 
 
-def hilbert_shards(docs: DataFrame, shards: int, dimensions: tuple[str, ...] = DIMENSIONS, bits: int = BITS) -> DataFrame:
-    """doc_id, size, text_crc32, shard, slot (gapless from 0 in a shard) and the curve index of every document.
+def hilbert_shards(
+    docs: DataFrame, shards: int, dimensions: tuple[str, ...] = DIMENSIONS, bits: int = BITS, carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """doc_id, size, text_crc32, shard, slot (gapless from 0 in a shard), the curve index and the columns `carry` of every document.
 
     docs: doc_id, text and the dimensions; size (UTF-8 bytes plus 1; null text: 1) may be a
     dimension. Shard counts differ by one row at most. Nulls of a dimension share its lowest cell;
     rows of one cell follow doc_id (nulls last), size and checksum, so reruns agree. Fewer rows than shards
     leave shards empty; an empty table gives no rows.
     """
-    given = [c for c in dimensions if c not in ("size", "doc_id")]
+    given = [*(c for c in dimensions if c not in ("size", "doc_id")), *carry]
     text = F.col("text")
     rows = saved(
         narrow(docs, "doc_id", "text", *given).select(
@@ -95,17 +97,32 @@ def hilbert_shards(docs: DataFrame, shards: int, dimensions: tuple[str, ...] = D
         return pd.Series(hilbert_index(cells.to_numpy(np.int64), bits))
 
     cells = [_cell(F.col(c), range_starts(rows, c, bits)).cast("int").alias(c) for c in dimensions]
-    placed = rows.select("doc_id", "size", "text_crc32", curve(F.struct(*cells)).alias("curve"), F.lit(1).cast("long").alias("one"))
+    placed = rows.select("doc_id", "size", "text_crc32", *carry, curve(F.struct(*cells)).alias("curve"), F.lit(1).cast("long").alias("one"))
     ordered = running_total(placed, ["curve", "doc_id", "size", "text_crc32"], ["one"])
     total = rows.count()
     shard = F.expr(f"before_one * {shards} div {max(1, total)}")
     first = F.expr(f"(shard * {total} + {shards - 1}) div {shards}")
     return ordered.withColumn("shard", shard.cast("int")).select(
-        "doc_id", "size", "text_crc32", "shard", (F.col("before_one") - first).alias("slot"), "curve"
+        "doc_id", "size", "text_crc32", "shard", (F.col("before_one") - first).alias("slot"), "curve", *carry
     )
 
 
-def write_shards(docs: DataFrame, placed: DataFrame, folder: str) -> None:
-    """Write the documents as one folder per shard, in curve order. doc_id must be unique and not null."""
-    where = placed.select("doc_id", "shard", "slot")
-    docs.join(where, "doc_id").repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").drop("slot").write.partitionBy("shard").parquet(folder)
+def write_shards(docs: DataFrame, folder: str, shards: int, dimensions: tuple[str, ...] = DIMENSIONS, bits: int = BITS) -> DataFrame:
+    """Write every document once, as one folder per shard (shard=<n>), in curve order; the frame that reads them.
+
+    Rows are told apart by a number of their own, so null and repeated doc_ids lose and multiply nothing. The documents'
+    columns keep their names; where one of them is called shard, the shard's is shard_ (or with more underscores).
+    """
+    taken = {c.lower() for c in docs.columns}
+    name = "shard"
+    while name in taken:
+        name += "_"
+    places = [f"column_{i}" for i in range(len(docs.columns))]
+    rows = saved(docs.toDF(*places).withColumn("row_number", F.monotonically_increasing_id()), "documents")
+    by_name = rows.toDF(*docs.columns, "row_number" if "row_number" not in taken else "row_number_of_shards")
+    placed = hilbert_shards(by_name, shards, dimensions, bits, carry=(by_name.columns[-1],))
+    where = placed.select(F.col(by_name.columns[-1]).alias("row_number"), F.col("shard").alias("to_shard"), "slot")
+    sorted_rows = rows.join(where, "row_number").repartitionByRange("to_shard", "slot").sortWithinPartitions("to_shard", "slot")
+    out = sorted_rows.select(*places, "to_shard").toDF(*docs.columns, name)
+    out.write.partitionBy(name).parquet(folder)
+    return docs.sparkSession.read.parquet(folder)

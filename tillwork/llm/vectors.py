@@ -15,7 +15,8 @@ def valid_vectors(df: DataFrame, zeros: bool) -> DataFrame:
     """vec_id, dim and the vector as doubles of the rows that take part, one per vec_id.
 
     Null vectors, those with null or non-finite components and rows without a vec_id do not, nor zero vectors
-    unless `zeros`. Rows of one vec_id count once.
+    unless `zeros`. Of rows of one vec_id the smallest vector takes part (component by component, then the shorter), however the
+    rows are dealt out.
     """
     vector = F.col("embedding").cast("array<double>")
     fine = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -23,7 +24,7 @@ def valid_vectors(df: DataFrame, zeros: bool) -> DataFrame:
     rows = rows.filter(F.col("vec_id").isNotNull() & F.col("vector").isNotNull()).filter(fine)
     if not zeros:
         rows = rows.filter(F.exists("vector", lambda x: x != 0))
-    return rows.dropDuplicates(["vec_id"]).select("vec_id", F.size("vector").alias("dim"), "vector")
+    return rows.groupBy("vec_id").agg(F.min("vector").alias("vector")).select("vec_id", F.size("vector").alias("dim"), "vector")
 
 
 def matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:

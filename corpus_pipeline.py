@@ -59,7 +59,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     tuned(spark)
     rows = plain_names(docs, "doc_id", "text", "source")
     keys = ["row_key", "row_check"]
-    keyed = rows.withColumns({keys[0]: F.xxhash64(*rows.columns), keys[1]: F.hash(*rows.columns)})
+    # maps have no hash of their own
+    values = [F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in rows.schema.fields]
+    keyed = rows.withColumns({keys[0]: F.xxhash64(*values), keys[1]: F.hash(*values)})
     times = mix(keyed, carry=keys).groupBy(*keys).agg(F.sum("copies").cast("int").alias("copies")).filter("copies > 0")
     chosen = keyed.dropDuplicates(keys).join(times, keys)
     return chosen.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(rows.columns).toDF(*docs.columns)

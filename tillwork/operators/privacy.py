@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import json
-import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.functions import fields
+from tillwork.functions.json_index import json_places
 from tillwork.operators.keyed import first_per_key, merge_insert_only, merge_upsert
 
 NORMALISERS: dict[str, Callable[[Column], Column]] = {
@@ -103,71 +102,13 @@ def _spliced(text: Column, hits: Column) -> Column:
 
 
 def _places(paths: list[tuple[str, ...]]):
-    @F.pandas_udf("array<struct<rule:int,value:string,start:int,stop:int>>")
-    def places(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: None if text is None else json_places(text, paths))
+    @F.arrow_udf("array<struct<rule:int,value:string,start:int,stop:int>>")
+    def places(texts: pa.Array) -> pa.Array:
+        return json_places(texts, paths)
 
     return places
 
 
-_BLANKS = re.compile(r"[ \t\n\r]*")
-
-
-def _refuse(word: str):
-    raise ValueError(f"not JSON: {word}")
-
-
-_DECODER = json.JSONDecoder(parse_constant=_refuse)
-
-
-def json_places(text: str, paths: list[tuple[str, ...]]) -> list[dict]:
-    """Rule number, value and place of every value but null at the paths, in the order of the text; ValueError if malformed.
-
-    A string's value is its content, any other value's its text.
-    """
-    found: list[dict] = []
-
-    def after_blanks(at: int) -> int:
-        return _BLANKS.match(text, at).end()
-
-    def expect(at: int, signs: str) -> str:
-        if at >= len(text) or text[at] not in signs:
-            raise ValueError(f"malformed JSON at {at}")
-        return text[at]
-
-    def value(at: int, wanted: list[tuple[int, tuple[str, ...]]]) -> int:
-        inner = [(rule, path) for rule, path in wanted if path]
-        opening = text[at : at + 1]
-        if not inner or opening not in ("{", "["):
-            node, stop = _DECODER.raw_decode(text, at)
-            if node is not None:
-                found.extend(
-                    {"rule": rule, "value": node if isinstance(node, str) else text[at:stop], "start": at, "stop": stop} for rule, path in wanted if not path
-                )
-            return stop
-        closing = "}" if opening == "{" else "]"
-        at = after_blanks(at + 1)
-        if text[at : at + 1] == closing:
-            return at + 1
-        while True:
-            name = "*"
-            if opening == "{":
-                expect(at, '"')
-                name, at = json.decoder.scanstring(text, at + 1, True)
-                at = after_blanks(at)
-                expect(at, ":")
-                at = after_blanks(at + 1)
-            at = after_blanks(value(at, [(rule, path[1:]) for rule, path in inner if path[0] == name]))
-            if expect(at, "," + closing) == closing:
-                return at + 1
-            at = after_blanks(at + 1)
-
-    end = after_blanks(value(after_blanks(0), list(enumerate(paths))))
-    if end != len(text):
-        raise ValueError(f"malformed JSON at {end}")
-    return found
-
-
 def privacy_lookup_upsert(table: DataFrame, lookup: DataFrame, source: str, feed_date: str, run_id: str) -> DataFrame:
     """Stamp lookup rows with their origin and upsert them."""
     rows = first_per_key(lookup, ["hashed_value", "identity_type"]).select(

@@ -4,23 +4,26 @@ Two names match when their token-set ratio, rounded, is above 82. With t0 the sh
 and t1 / t2 the full token strings (t0 first), the score is the best of ratio(t0, t1),
 ratio(t0, t2) and ratio(t1, t2), ratio being 100 * (1 - indel distance / total length).
 
-Candidates come from equi-joins that lose no match (limit 82.5 before rounding):
+Candidates come from equi-joins that lose no match (limit 82.5 before rounding), and are checked before any score:
 
-* ratio(t0, t1) >= 82.5 leaves at most (1 - 82.5/117.5) of t1's characters uncovered, so of
-  t1's tokens taken rarest first, the ones that first exceed that share contain a shared one;
-  they are joined with all tokens of the other name. Likewise for t2.
-* ratio(t1, t2) >= 82.5 means an indel distance d <= 0.175 * S for total length S. The
+* t0 is a prefix of t1 and t2, so the first two ratios need lengths only. ratio(t0, t1) >= 82.5 leaves at most
+  (1 - 82.5/117.5) of t1's characters uncovered, so of t1's tokens taken rarest first, the ones that first exceed that
+  share contain a shared one; they are joined with all tokens of the other name. Likewise for t2.
+* ratio(t1, t2) >= 82.5 means an indel distance d <= 0.175 * S for total length S, d even or odd as S is. The
   space-padded names have (S + 2) letter pairs together, each deletion destroys at most two
-  and each insertion one, so at least S/2 + 1 - 1.5 d >= 0.2375 S + 1 pairs are common; and
-  as the lengths differ by at most d, S >= 1.702 L for either length L. Taken rarest first,
-  the leading L + 1 - ceil(0.4042 L) pairs of both names therefore share one. As the longer
-  name is at most 117.5 / 82.5 times as long, only neighbouring classes of length are joined.
+  and each insertion one, so at least need(S) = S/2 + 1 - 1.5 d pairs are common; as the lengths differ by
+  at most d, S >= 1.702 L for either length L. Taken rarest first in one global order, the leading
+  L + 1 - ceil(0.4042 L) pairs of both names therefore share one (prefix). A shared pair with i and j pairs before
+  it and k and l behind it allows min(i, j) + 1 + min(k, l) common ones at most (position). The common pairs of
+  what is left are counted, and pairs of names below need(S) dropped (count). As the longer name is at
+  most 117.5 / 82.5 times as long, only neighbouring classes of length are joined.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +36,7 @@ _MAX_INDEL = 1 - _MIN_RATIO / 100
 _SHARED_PAIRS = (0.5 - 1.5 * _MAX_INDEL) * (1 + _MIN_RATIO / (200 - _MIN_RATIO))
 _LONGER = (200 - _MIN_RATIO) / _MIN_RATIO
 _SLACK = 1e-9
+_CELLS = 1 << 22  # letters compared with letters in one step of a batch
 
 
 def name_tokens(name: Column) -> Column:
@@ -41,35 +45,46 @@ def name_tokens(name: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(words, lambda w: w != "")))
 
 
-def _common_length(a: str, b: str) -> int:
-    """Longest common subsequence by bit operations on one integer."""
-    places: dict[str, int] = {}
-    for i, ch in enumerate(a):
-        places[ch] = places.get(ch, 0) | (1 << i)
-    row = full = (1 << len(a)) - 1
-    for ch in b:
-        met = row & places.get(ch, 0)
-        row = ((row + met) | (row - met)) & full
-    return len(a) - row.bit_count()
-
-
-def _ratio(a: str, b: str) -> int:
-    total = len(a) + len(b)
-    return int(200 * _common_length(a, b) / total + 0.5) if a and b else 0
-
-
-def token_set_score(left: list[str], right: list[str]) -> int:
-    """Score of two sorted distinct token lists."""
-    common = [t for t in left if t in right]
-    base = " ".join(common)
-    one = " ".join(common + [t for t in left if t not in common])
-    two = " ".join(common + [t for t in right if t not in common])
-    return max(_ratio(base, one), _ratio(base, two), _ratio(one, two))
+def _letters(texts: np.ndarray) -> np.ndarray:
+    """A row of code points per text, filled up with 0."""
+    fixed = np.asarray(texts, dtype=str)
+    return fixed.view(np.uint32).reshape(len(fixed), fixed.dtype.itemsize // 4)
+
+
+def common_lengths(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Lengths of the longest common subsequences of many pairs of texts at once.
+
+    A pair's row of the usual table is a string of bits, and a letter of the right text changes it by one addition;
+    all pairs of a step go together, letter by letter. Texts hold no NUL.
+    """
+    out = np.zeros(len(left), np.int64)
+    size = np.fromiter((max(len(a), len(b)) for a, b in zip(left, right)), np.int64, len(left))
+    order, at = np.argsort(size, kind="stable"), 0
+    while at < len(order):
+        step = order[at : at + max(1, _CELLS // max(1, int(size[order[min(len(order), at + 4096) - 1]])))][:4096]
+        one, two = _letters(left[step]), _letters(right[step])
+        words = max(1, -(-one.shape[1] // 64))
+        row = np.full((len(step), words), ~np.uint64(0))
+        place = np.zeros((len(step), words * 64), bool)
+        for letter in two.T:
+            place[:, : one.shape[1]] = (one == letter[:, None]) & (letter[:, None] != 0)
+            met = row & np.packbits(place, axis=1, bitorder="little").view(np.uint64)
+            total = np.empty_like(row)
+            carry = np.zeros(len(step), np.uint64)
+            for w in range(words):
+                part = row[:, w] + met[:, w]
+                over = part < row[:, w]
+                total[:, w] = part + carry
+                carry = (over | (total[:, w] < part)).astype(np.uint64)
+            row = total | (row & ~met)
+        out[step] = 64 * words - np.bitwise_count(row).sum(axis=1, dtype=np.int64)
+        at += len(step)
+    return out
 
 
 @F.pandas_udf(IntegerType())
-def _score(left: pd.Series, right: pd.Series) -> pd.Series:
-    return pd.Series([token_set_score(list(a), list(b)) for a, b in zip(left, right)], dtype="int32")
+def _common_length(left: pd.Series, right: pd.Series) -> pd.Series:
+    return pd.Series(common_lengths(left.to_numpy(object), right.to_numpy(object)), dtype="int32")
 
 
 def _letter_pairs(tokens: Column) -> Column:
@@ -115,35 +130,77 @@ def _pair_prefix(parts: Column) -> Column:
     return F.slice(parts, F.lit(1), F.size(parts) - F.ceil(length * _SHARED_PAIRS - _SLACK).cast("int"))
 
 
-def matching_names(left: DataFrame, right: DataFrame) -> DataFrame:
-    """All pairs (left_name, right_name, score) of two name columns scoring above 82."""
+def _needed(total: Column) -> Column:
+    """Letter pairs that two names of this total length have in common at least, if their full strings match."""
+    most = F.floor(total * _MAX_INDEL + _SLACK)
+    indel = most - F.pmod(total - most, F.lit(2))  # even or odd as the total is
+    return F.ceil(total / 2 + 1 - indel * 1.5 - _SLACK)
+
+
+def _text(tokens: Column) -> Column:
+    return F.array_join(tokens, " ")
+
+
+def _covered(base: Column, whole: Column) -> Column:
+    """Rounded ratio of the shared tokens, which begin the whole string, to it."""
+    return F.when(base > 0, F.floor(200 * base / (base + whole) + 0.5)).otherwise(0)
+
+
+def _side(df: DataFrame, label: str, parts: Column) -> DataFrame:
+    return df.select(F.col("name").alias(label), F.explode(parts).alias("part"))
+
+
+def candidate_names(left: DataFrame, right: DataFrame) -> DataFrame:
+    """left_name, right_name, left_tokens, right_tokens of all pairs that may match, the filters applied.
+
+    A pair is here because its shared tokens cover enough of a name, which decides it, or because the names share
+    as many letter pairs as their lengths ask for.
+    """
     left, right = (
         df.toDF("name").distinct().withColumn("tokens", name_tokens(F.col("name"))).filter(F.size("tokens") > 0)
         for df in (left, right)
     )
     tokens, pairs = F.col("tokens"), _letter_pairs(F.col("tokens"))
-
-    def side(df: DataFrame, label: str, parts: Column) -> DataFrame:
-        return df.select(F.col("name").alias(label), F.explode(parts).alias("part"))
-
-    token_counts = _counts(left, right, tokens)
-    left_cover = side(_rarest_first(left, tokens, token_counts), "left_name", _cover_prefix(F.col("parts")))
-    right_cover = side(_rarest_first(right, tokens, token_counts), "right_name", _cover_prefix(F.col("parts")))
-    pair_counts = _counts(left, right, pairs)
-    left_pairs = side(_rarest_first(left, pairs, pair_counts), "left_name", _pair_prefix(F.col("parts")))
-    right_pairs = side(_rarest_first(right, pairs, pair_counts), "right_name", _pair_prefix(F.col("parts")))
-    length = F.length(F.array_join(name_tokens(F.col("name")), " "))
-    size_class = F.floor(F.log(length.cast("double")) / math.log(_LONGER * (1 + _SLACK)) + _SLACK)
-    lengths = left.select(F.col("name").alias("left_name"), length.alias("left_length"), F.explode(F.array(size_class - 1, size_class, size_class + 1)).alias("size"))
-    left_pairs = left_pairs.join(lengths, "left_name")
-    right_pairs = right_pairs.join(right.select(F.col("name").alias("right_name"), length.alias("right_length"), size_class.alias("size")), "right_name")
-    near = F.greatest("left_length", "right_length") <= F.least("left_length", "right_length") * _LONGER * (1 + _SLACK)
-    found = [
-        left_cover.join(side(right, "right_name", tokens), "part"),
-        side(left, "left_name", tokens).join(right_cover, "part"),
-        left_pairs.join(right_pairs, ["part", "size"]).filter(near),
-    ]
+    token_counts, pair_counts = _counts(left, right, tokens), _counts(left, right, pairs)
+    left_cover = _side(_rarest_first(left, tokens, token_counts), "left_name", _cover_prefix(F.col("parts")))
+    right_cover = _side(_rarest_first(right, tokens, token_counts), "right_name", _cover_prefix(F.col("parts")))
+    known = [df.select(F.col("name").alias(f"{s}_name"), F.col("tokens").alias(f"{s}_tokens")) for s, df in (("left", left), ("right", right))]
     columns = ["left_name", "right_name"]
-    candidates = found[0].select(columns).union(found[1].select(columns)).union(found[2].select(columns)).distinct()
-    scored = candidates.withColumn("score", _score(name_tokens(F.col("left_name")), name_tokens(F.col("right_name"))))
-    return scored.filter(F.col("score") > THRESHOLD)
+    shared = left_cover.join(_side(right, "right_name", tokens), "part").select(columns).union(
+        _side(left, "left_name", tokens).join(right_cover, "part").select(columns)
+    ).distinct().join(known[0], "left_name").join(known[1], "right_name")
+    base = F.length(_text(F.array_intersect("left_tokens", "right_tokens")))
+    whole = F.least(F.length(_text(F.col("left_tokens"))), F.length(_text(F.col("right_tokens"))))
+    covered = shared.filter(_covered(base, whole) > THRESHOLD)
+
+    listed = [_rarest_first(df, pairs, pair_counts).withColumn("length", F.size("parts") - 1) for df in (left, right)]
+    size_class = F.floor(F.log(F.col("length").cast("double")) / math.log(_LONGER * (1 + _SLACK)) + _SLACK)
+    sides = []
+    for label, df, classes in (("left", listed[0], F.array(size_class - 1, size_class, size_class + 1)), ("right", listed[1], F.array(size_class))):
+        spread = df.select(F.col("name").alias(f"{label}_name"), F.col("length").alias(f"{label}_length"), "parts", F.explode(classes).alias("size"))
+        sides.append(spread.select(f"{label}_name", f"{label}_length", "size", F.posexplode(_pair_prefix(F.col("parts"))).alias(f"{label}_at", "part")))
+    near = F.greatest("left_length", "right_length") <= F.least("left_length", "right_length") * _LONGER * (1 + _SLACK)
+    behind = F.least(F.col("left_length") - F.col("left_at"), F.col("right_length") - F.col("right_at"))
+    needed = _needed(F.col("left_length") + F.col("right_length"))
+    possible = F.least("left_at", "right_at") + 1 + behind >= needed
+    met = sides[0].join(sides[1], ["part", "size"]).filter(near & possible).select(columns).distinct()
+    parts = [df.select(F.col("name").alias(f"{s}_name"), F.col("parts").alias(f"{s}_parts")) for s, df in (("left", listed[0]), ("right", listed[1]))]
+    counted = met.join(parts[0], "left_name").join(parts[1], "right_name")
+    total = F.size("left_parts") + F.size("right_parts") - 2
+    alike = counted.filter(F.size(F.array_intersect("left_parts", "right_parts")) >= _needed(total)).select(columns)
+    alike = alike.join(known[0], "left_name").join(known[1], "right_name")
+    return covered.unionByName(alike).distinct()
+
+
+def matching_names(left: DataFrame, right: DataFrame) -> DataFrame:
+    """All pairs (left_name, right_name, score) of two name columns scoring above 82."""
+    one, two = F.col("left_tokens"), F.col("right_tokens")
+    common = F.array_intersect(one, two)
+    spelled = candidate_names(left, right).select(
+        "left_name", "right_name", F.length(_text(common)).alias("base"),
+        _text(F.concat(common, F.array_except(one, two))).alias("one"), _text(F.concat(common, F.array_except(two, one))).alias("two"),
+    )
+    first, second, base = F.length("one"), F.length("two"), F.col("base")
+    whole = F.floor(200 * _common_length("one", "two") / (first + second) + 0.5)
+    score = F.greatest(_covered(base, first), _covered(base, second), whole).cast("int")
+    return spelled.select("left_name", "right_name", score.alias("score")).filter(F.col("score") > THRESHOLD)

@@ -87,3 +87,33 @@ def test_sql(spark, name):
 
     folder = "/root/testdata/sf0.001"
     assert compare(spark, connect(folder), folder, name, QUERIES[name], ORACLES[name])[0] == "same"
+
+
+def test_sql_on_linked_pages(spark, tmp_path):
+    """Canonical links, refreshes, both schemes, allow and block in one component: the SQL has the same rule."""
+    import random
+
+    import duckdb
+
+    from tillwork.llm import queries
+
+    rng = random.Random(3)
+    hosts = ["a.com", "b.com", "x.net", "example.net", "C.example.com", "x.org", "d.org"]
+    urls = [f"{rng.choice(['http', 'https', 'HTTPS'])}://{rng.choice(hosts)}/{rng.choice(['en', 'de', 'fr', 'es'])}/{rng.randrange(9)}" for _ in range(150)]
+    rows = []
+    for i, url in enumerate(urls):
+        target = rng.choice([rng.choice(urls), "/de/1", "//x.net/en/2", "3", "https://example.net/en/5#top", url.replace("http://", "https://")])
+        html = rng.choice([None, "", canonical(target), refresh(target), canonical(target) + refresh(rng.choice(urls)), "<p>none</p>"])
+        rows.append((i, url + rng.choice(["", "#f", "?q=1"]), html))
+    rows += [(900, None, canonical("http://x.net/")), (901, "no url", refresh("http://a.com/en/1")), (902, "https://only.com/1", canonical("http://only.com/1"))]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    frame.coalesce(1).write.parquet(str(tmp_path / "pages"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages/*.parquet'")
+    want = con.execute(queries.ORACLES["op4_url_filter"])
+    names = [d[0] for d in want.description]
+    found = judge_urls(frame, queries.URL_RULES)
+    assert found.columns == names
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, want.fetchall()))
+    spread = [r for r in found.collect() if r["rule"] is None and r["verdict"] == "block"]
+    assert len(spread) > 3 and page_links(frame).count() > 50

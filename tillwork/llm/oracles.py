@@ -12,6 +12,10 @@ def _node(url: str) -> str:
     return f"CASE WHEN contains({url}, '://') THEN {scheme} || '://' || {host} || regexp_extract({bare}, '(?s)^.*?://[^/?]*(.*)$', 1) ELSE {bare} END"
 
 
+def _any_scheme(address: str) -> str:
+    return f"regexp_replace({address}, '^https://', 'http://')"
+
+
 def _rules(rules: list[tuple[str, str, str]], then) -> str:
     cases = [
         f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{then(h, p, w)}'"
@@ -91,21 +95,26 @@ WITH RECURSIVE tags AS (
     WHEN starts_with(t, '/') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || t
     ELSE folder || CASE WHEN ends_with(folder, '/') THEN '' ELSE '/' END || t END AS target
   FROM found WHERE t <> ''
+), linked AS (
+  SELECT DISTINCT * FROM (SELECT {_node('url')} AS src, {_node('target')} AS dst FROM targets) WHERE src <> dst
+), ends AS (  -- http and https are one where links meet them
+  SELECT src AS address, {_any_scheme('src')} AS id FROM linked UNION SELECT dst, {_any_scheme('dst')} FROM linked
 ), links AS (
-  SELECT DISTINCT {_node('url')} AS a, {_node('target')} AS b FROM targets
+  SELECT {_any_scheme('src')} AS a, {_any_scheme('dst')} AS b FROM linked
 ), both_ways AS (
   SELECT a, b FROM links WHERE a <> b UNION SELECT b, a FROM links WHERE a <> b
 ), reach(id, other) AS (
-  SELECT a, a FROM both_ways UNION SELECT r.id, e.b FROM reach r JOIN both_ways e ON e.a = r.other
+  SELECT id, id FROM ends UNION SELECT r.id, e.b FROM reach r JOIN both_ways e ON e.a = r.other
 ), decided AS (
   SELECT id, other, {verdict} AS d FROM (SELECT id, other, {split.format('other')} FROM reach)
 ), shared AS (
-  SELECT id, min(other) AS resource, CASE WHEN bool_or(d = 'allow') THEN 'allow' WHEN bool_or(d = 'block') THEN 'block' END AS s FROM decided GROUP BY id
+  SELECT decided.id, min(address) AS resource, CASE WHEN bool_or(d = 'allow') THEN 'allow' WHEN bool_or(d = 'block') THEN 'block' END AS s
+  FROM decided JOIN ends ON ends.id = decided.other GROUP BY decided.id
 ), judged AS (
   SELECT page_id, {_node('url')} AS node, {split.format('url')} FROM pages
 )
 SELECT page_id, host, path, {_rules(rules, lambda h, p, w: h + p)} AS rule, coalesce({verdict}, s, 'allow') AS verdict, coalesce(resource, node) AS resource
-FROM judged LEFT JOIN shared ON shared.id = judged.node
+FROM judged LEFT JOIN shared ON shared.id = {_any_scheme('node')}
 """
 
 

@@ -6,7 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from tillwork import session
 from tillwork.operators import keyed
+from tillwork.sources.bucketed import BucketedTable
 
 
 def table(spark, data):
@@ -111,3 +113,78 @@ def test_overwrite_where(spark):
     source = table(spark, [("b", 2, 3), ("c", 2, 4)])
     days = spark.createDataFrame([("b",)], "day string")
     assert rows(keyed.overwrite_where(target, source, "k", days)) == [("a", 1, 1), ("b", 2, 3)]
+
+
+def ancestors(plan: str, mark: str):
+    """The operators above each line of a plan that holds the mark, by indentation."""
+    lines, out = plan.splitlines(), []
+    depth = lambda line: len(line) - len(line.lstrip(" :+-|*0123456789()"))
+    for i, line in enumerate(lines):
+        if mark in line:
+            above, at = [], depth(line)
+            for upper in reversed(lines[:i]):
+                if depth(upper) < at:
+                    above.append(upper)
+                    at = depth(upper)
+            out.append(above)
+    return out
+
+
+def test_merges_into_buckets_shuffle_the_source_only(spark, tmp_path):
+    target = spark.range(4000).selectExpr("concat('k', id % 700) AS k", "cast(id AS int) AS j", "cast(id AS int) AS v")
+    source = spark.range(1000, 6000, 3).selectExpr("concat('k', id % 700) AS k", "cast(id AS int) AS j", "cast(-id AS int) AS v")
+    stored = BucketedTable("merge_target_test", ("k", "j"), 8)
+    stored.write(target, str(tmp_path / "t"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # a source beyond any broadcast
+    merges = [
+        (keyed.merge_upsert, {}), (keyed.merge_insert_only, {}), (keyed.merge_delete, {}), (keyed.merge_partial_update, {"columns": ["v"]}),
+        (keyed.merge_conditional, {"update": {"v": F.col("v") + F.col("s_v")}, "keep": F.col("v") > 100}),
+    ]
+    try:
+        for merge, options in merges:
+            found = stored.merged(spark, merge, source, **options)
+            assert rows(found) == rows(merge(target, source, ["k", "j"], **options)), merge.__name__
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            above = ancestors(plan, "FileScan parquet")
+            assert above and all(not any("Exchange" in line for line in lines) for lines in above), plan
+            assert any("SortMergeJoin" in line for lines in above for line in lines) and "Exchange hashpartitioning" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("DROP TABLE merge_target_test")
+
+
+def test_buckets_refuse_null_and_repeated_keys(spark, tmp_path):
+    stored = BucketedTable("merge_target_nulls", ("k",), 4)
+    with pytest.raises(Exception, match="null in a key"):
+        stored.write(table(spark, [("a", 1, 1), (None, 2, 2)]), str(tmp_path / "t"))
+    stored.write(table(spark, [("a", 1, 1), ("b", 2, 2)]), str(tmp_path / "u"))
+    for bad in ([(None, 1, 1)], [("a", 1, 1), ("a", 2, 2)]):
+        with pytest.raises(Exception, match="null in a key|several rows of the key"):
+            stored.merged(spark, keyed.merge_upsert, table(spark, bad)).collect()
+    assert rows(stored.merged(spark, keyed.merge_upsert, table(spark, []))) == [("a", 1, 1), ("b", 2, 2)]
+    spark.sql("DROP TABLE merge_target_nulls")
+
+
+class _Cluster:
+    """A session that has no checkpoint folder, whose warehouse is on local disks."""
+
+    def __init__(self, spark, master, folder=None):
+        self._jvm, self._jsc, self.sparkContext, self.set = spark._jvm, spark._jsc, self, None
+        self.master, self.folder, self.conf = master, folder, self
+
+    def get(self, key, default=None):
+        return {"spark.checkpoint.dir": self.folder, "spark.sql.warehouse.dir": "file:/tmp/warehouse"}.get(key, default)
+
+    def getCheckpointDir(self):
+        return None
+
+    def setCheckpointDir(self, folder):
+        self.set = folder
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(spark):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(_Cluster(spark, "spark://host:7077"))
+    assert session.ensure_checkpoint_dir(_Cluster(spark, "yarn", "hdfs://store/x")) == "hdfs://store/x"
+    assert session.ensure_checkpoint_dir(_Cluster(spark, "local[4]")) == "file:/tmp/warehouse/_tillwork"

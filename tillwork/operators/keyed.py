@@ -77,18 +77,19 @@ def spread_join(big: DataFrame, small: DataFrame, keys: list[str], salts: int |
 # ---- merges -------------------------------------------------------------------------
 
 
-def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return all_of([left[k].eqNullSafe(right[f"_m_{k}"]) for k in keys])
+def _same(left: DataFrame, right: DataFrame, keys: list[str], prefix: str, nullable: bool) -> Column:
+    """Equal keys; null ones are equal too, unless the keys are never null: then a stored partitioning by them serves the join."""
+    return all_of([left[k].eqNullSafe(right[prefix + k]) if nullable else left[k] == right[prefix + k] for k in keys])
 
 
 def _match_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select(*[F.col(k).alias(f"_m_{k}") for k in keys])
 
 
-def without_matches(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+def without_matches(df: DataFrame, other: DataFrame, keys: list[str], nullable: bool = True) -> DataFrame:
     """Rows of df whose key (null-safe) is not in other; only other's keys are shuffled."""
     right = _match_keys(other, keys)
-    return df.join(right, _null_safe(df, right, keys), "left_anti")
+    return df.join(right, _same(df, right, keys, "_m_", nullable), "left_anti")
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -106,20 +107,20 @@ def one_row_per_key(source: DataFrame, keys: list[str]) -> DataFrame:
     return counted.filter(F.when(F.col("_copies") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))).drop("_copies")
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], full: bool = False) -> DataFrame:
+def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], full: bool = False, nullable: bool = True) -> DataFrame:
     """Matched rows are replaced by the source, other source rows inserted; a key twice in the source fails."""
     if full:
         return source
-    return without_matches(target, source, keys).unionByName(one_row_per_key(source, keys))
+    return without_matches(target, source, keys, nullable).unionByName(one_row_per_key(source, keys))
 
 
-def merge_insert_only(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+def merge_insert_only(target: DataFrame, source: DataFrame, keys: list[str], nullable: bool = True) -> DataFrame:
     """Source rows of new keys are added; a key twice in the source fails."""
-    return target.unionByName(without_matches(one_row_per_key(source, keys), target, keys))
+    return target.unionByName(without_matches(one_row_per_key(source, keys), target, keys, nullable))
 
 
-def merge_delete(target: DataFrame, deleted: DataFrame, keys: list[str]) -> DataFrame:
-    return without_matches(target, deleted, keys)
+def merge_delete(target: DataFrame, deleted: DataFrame, keys: list[str], nullable: bool = True) -> DataFrame:
+    return without_matches(target, deleted, keys, nullable)
 
 
 def merge_conditional(
@@ -129,6 +130,7 @@ def merge_conditional(
     update: dict[str, Column],
     keep: Column | None = None,
     insert: dict[str, Column] | None = None,
+    nullable: bool = True,
 ) -> DataFrame:
     """Matched rows take the update expressions and are deleted unless keep holds.
 
@@ -144,7 +146,7 @@ def merge_conditional(
         *[F.col(c).alias(f"s_{c}") for c in source.columns], *[value.alias(f"_new_{c}") for c, value in fresh.items()], F.lit(True).alias("_hit")
     )
     stored = target.withColumn("_there", F.lit(True))
-    both = stored.join(prefixed, all_of([stored[k].eqNullSafe(prefixed[f"s_{k}"]) for k in keys]), "full_outer")
+    both = stored.join(prefixed, _same(stored, prefixed, keys, "s_", nullable), "full_outer")
     there, hit = F.col("_there").isNotNull(), F.col("_hit").isNotNull()
     if keep is not None:
         both = both.filter(~(there & hit) | keep)
@@ -153,9 +155,9 @@ def merge_conditional(
     )
 
 
-def merge_partial_update(target: DataFrame, source: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+def merge_partial_update(target: DataFrame, source: DataFrame, keys: list[str], columns: list[str], nullable: bool = True) -> DataFrame:
     """Matched rows take only the listed columns; unmatched source rows are inserted."""
-    return merge_conditional(target, source, keys, {c: F.col(f"s_{c}") for c in columns})
+    return merge_conditional(target, source, keys, {c: F.col(f"s_{c}") for c in columns}, nullable=nullable)
 
 
 def overwrite_where(target: DataFrame, source: DataFrame, column: str, values: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from tillwork.operators import keyed
 from tillwork.plans.bindings import Tables
 from tillwork.plans.registry import query
 from tillwork.session import scratch_folder
+from tillwork.sources.bucketed import BucketedTable
 
 
 def order_key():
@@ -263,6 +264,30 @@ def q_partial(t: Tables) -> DataFrame:
     return keyed.merge_partial_update(target(t), source(t), KEY, ["customer"])
 
 
+def bucketed(t: Tables) -> BucketedTable:
+    """The target stored in buckets, in a folder and under a name of its own."""
+    path = scratch(t, "bucketed")
+    table = BucketedTable(f"merge_target_{path[-12:]}", ("ord_id",), max(16, int(t.spark.conf.get("spark.sql.shuffle.partitions"))))
+    table.write(target(t), path)
+    return table
+
+
+@query("merge_upsert_bucketed", "SELECT * FROM src UNION ALL SELECT * FROM tgt WHERE ord_id NOT IN (SELECT ord_id FROM src)", MERGE_VIEWS)
+def q_upsert_bucketed(t: Tables) -> DataFrame:
+    return bucketed(t).merged(t.spark, keyed.merge_upsert, source(t))
+
+
+@query(
+    "merge_partial_update_bucketed",
+    """SELECT t.ord_id, t.total, s.customer, t.tag, t.yr FROM tgt t JOIN src s USING (ord_id)
+       UNION ALL SELECT * FROM tgt WHERE ord_id NOT IN (SELECT ord_id FROM src)
+       UNION ALL SELECT * FROM src WHERE ord_id NOT IN (SELECT ord_id FROM tgt)""",
+    MERGE_VIEWS,
+)
+def q_partial_bucketed(t: Tables) -> DataFrame:
+    return bucketed(t).merged(t.spark, keyed.merge_partial_update, source(t), columns=["customer"])
+
+
 @query(
     "overwrite_where",
     """SELECT * FROM tgt WHERE yr NOT IN (1996, 1999, 2001) UNION ALL SELECT * FROM src WHERE yr IN (1996, 1999, 2001)""",

@@ -25,13 +25,23 @@ def tuned(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _scheme(spark: SparkSession, folder: str) -> str:
+    return spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration()).getScheme()
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; where that is unset, one below the session's warehouse."""
+    """The shared folder of spark.checkpoint.dir; where that is unset, one below the session's warehouse.
+
+    On a cluster a warehouse on local disks is refused: each executor would write to its own.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tillwork"
+    master = sc.master
+    if not spark.conf.get("spark.checkpoint.dir", None) and not (master == "local" or master.startswith("local[")) and _scheme(spark, folder) == "file":
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share: the warehouse {folder} is on local disks")
     sc.setCheckpointDir(folder)
     return folder
 

@@ -1,4 +1,5 @@
 import pytest
+from conftest import rows
 from pyspark.sql import functions as F
 
 from tillwork.operators import feeds
@@ -76,3 +77,17 @@ def test_replace_within_drops_emptied_partitions(spark, tmp_path):
     with pytest.raises(Exception):
         replace_within(broken, path, ["day", "name"], spark.createDataFrame([("2024-01-01",), ("2024-01-03",)], "day string"))
     assert stored() == [(4, "2024-01-03", "a"), (9, "2024-01-01", "b:c")]
+
+
+def test_one_dictionary_lookup_for_all_columns(spark):
+    names = [f"c{i}" for i in range(12)]
+    raw = spark.createDataFrame([("t1", *["A"] * 12), ("t2", *[None] * 12), ("t3", *["?"] * 12)], ["person_id", *names])
+    codes = spark.createDataFrame([(c, "A", f"{c} a") for c in names] + [(c, "A", f"{c} a") for c in names[:2]] + [("other", "A", "x"), ("c0", None, "y")], "code_category string, code string, code_value string")
+    decoded = feeds.person_attributes_decode(raw, codes, ["person_id"], [], [], names)
+    assert rows(decoded) == sorted([("t1", *[f"{c} a" for c in names]), ("t2", *[None] * 12), ("t3", *[None] * 12)], key=repr)
+    plan = decoded._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "Join" not in plan and plan.count("ReusedSubquery") >= 11  # made once, whatever the number of columns
+    with pytest.raises(Exception, match="(?i)duplicate"):  # a code with two values
+        feeds.person_attributes_decode(raw, codes.union(codes.limit(1).withColumn("code_value", F.lit("z"))), ["person_id"], [], [], names).collect()
+    with pytest.raises(Exception, match="more than 3 entries"):
+        feeds.person_attributes_decode(raw, codes, ["person_id"], [], [], names, most=3).collect()

@@ -117,23 +117,40 @@ def coded_columns(df: DataFrame, keep: list[str], boolean: list[str], integer: l
     return rest
 
 
+MOST_CODES = 100_000  # entries of a dictionary
+
+
+def code_maps(dictionary: DataFrame, categories: list[str], most: int = MOST_CODES) -> DataFrame:
+    """One row with one column: a map from category to a map from code to value.
+
+    Fails when a (category, code) has two values, and for more than `most` entries, as the row goes to every task.
+    """
+    entries = dictionary.filter(F.col("code_category").isin(categories) & F.col("code").isNotNull()).select(
+        "code_category", F.col("code").cast("string").alias("code"), "code_value"
+    ).distinct()
+    total = F.sum(F.size("codes"))
+    listed = entries.groupBy("code_category").agg(F.map_from_entries(F.collect_list(F.struct("code", "code_value"))).alias("codes"))
+    maps = F.map_from_entries(F.collect_list(F.struct("code_category", "codes")))
+    kind = "map<string,map<string,string>>"
+    refused = F.raise_error(F.lit(f"the dictionary has more than {most} entries")).cast(kind)
+    return listed.agg(F.when(total > most, refused).otherwise(maps.cast(kind)).alias("maps"))
+
+
 def person_attributes_decode(
-    raw: DataFrame, dictionary: DataFrame, keep: list[str], boolean: list[str], integer: list[str], categories: list[str]
+    raw: DataFrame, dictionary: DataFrame, keep: list[str], boolean: list[str], integer: list[str], categories: list[str], most: int = MOST_CODES
 ) -> DataFrame:
     """Keep, boolean word, strict integer or dictionary value, column by column.
 
-    dictionary: code_category, code, code_value. Each coded column is one small join.
+    dictionary: code_category, code, code_value. However many columns are coded, the dictionary is read once, as one value that
+    every row looks its codes up in (see code_maps), and the plan has no join; a code without an entry becomes null.
     """
     coded = coded_columns(raw, keep, boolean, integer, categories)
-    decoded = raw
-    for c in coded:
-        values = dictionary.filter(F.col("code_category") == c).select(F.col("code").alias(c), F.col("code_value").alias(f"_{c}"))
-        decoded = decoded.join(values, c, "left")
-    return decoded.select(
+    maps = code_maps(dictionary, coded, most).scalar() if coded else None
+    return raw.select(
         *[
             boolean_word(F.col(c)).alias(c) if c in boolean
             else F.col(c).cast("int").alias(c) if c in integer
-            else F.col(f"_{c}").alias(c) if c in coded
+            else F.try_element_at(F.try_element_at(maps, F.lit(c)), F.col(c).cast("string")).alias(c) if c in coded
             else F.col(c)
             for c in raw.columns
         ]

@@ -17,7 +17,8 @@ from tillwork.session import scratch_folder
 _EDGE = ["src", "dst"]
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame written to the shared folder and read again."""
     path = scratch_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -44,20 +45,20 @@ def update_components(labels: DataFrame, edges: DataFrame, inserted: DataFrame,
     component is its smallest id. An id keeps its row when its last edge is deleted; ends of inserted edges
     without a label get one. Deleted edges that are not stored, and those inserted again, change nothing.
     """
-    added = _written(plain_edges(inserted), "inserted")
+    added = stored(plain_edges(inserted), "inserted")
     gone = without_matches(plain_edges(deleted), added, _EDGE).join(edges, _EDGE, "left_semi")
     # both ends of a stored edge have one label
-    reopened = _written(gone.select(F.col("src").alias("id")).join(labels, "id").select("component_id").distinct(), "reopened")
-    members = _written(labels.join(reopened, "component_id", "left_semi").select("id"), "members")
+    reopened = stored(gone.select(F.col("src").alias("id")).join(labels, "id").select("component_id").distinct(), "reopened")
+    members = stored(labels.join(reopened, "component_id", "left_semi").select("id"), "members")
     rest = without_matches(edges.join(members.withColumnRenamed("id", "src"), "src", "left_semi"), gone, _EDGE)
     again = members.join(star_components(rest), "id", "left").select("id", F.coalesce("component_id", "id").alias("component_id"))
-    again = _written(again, "again")
+    again = stored(again, "again")
 
-    ends = _written(_ends(added), "ends")
+    ends = stored(_ends(added), "ends")
     untouched = labels.join(reopened, "component_id", "left_anti").select("id", "component_id")
     known = untouched.unionByName(again).join(ends, "id", "left_semi")
     fresh = without_matches(ends, labels.select("id"), ["id"]).select("id", F.col("id").alias("component_id"))
-    of_end = _written(known.unionByName(fresh), "of_end")
+    of_end = stored(known.unionByName(fresh), "of_end")
     one, two = (of_end.select(F.col("id").alias(end), F.col("component_id").alias(f"{end}_component")) for end in _EDGE)
     contracted = added.join(one, "src").join(two, "dst").select(F.col("src_component").alias("src"), F.col("dst_component").alias("dst"))
     merged = star_components(contracted.distinct()).select(F.col("id").alias("component_id"), F.col("component_id").alias("merged_id"))

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from tillwork.functions import codes
 from tillwork.functions.fields import qualified_identity
 from tillwork.operators import changes as chg
+from tillwork.operators import component_updates as cu
 from tillwork.operators import identity_graph as ig
 from tillwork.operators import privacy
+from tillwork.operators.keyed import without_matches
 from tillwork.plans.bindings import SALT, Tables
 from tillwork.plans.q_fields import CONTACT_VIEWS, RULES, contacts
 from tillwork.plans.registry import query
@@ -275,6 +277,33 @@ def q_components(t: Tables) -> DataFrame:
     return components(t)
 
 
+UPDATED_VIEWS = {
+    **COMPONENT_VIEWS,
+    "merged_edges": """SELECT source_type || ':' || source AS a, target_type || ':' || target AS b
+                FROM base_edges b FULL JOIN diff_edges d USING (source, source_type, target, target_type)
+                WHERE b.source IS NULL OR d.source IS NULL OR b.f + d.f > 0""",
+    "merged_links": "SELECT a, b FROM merged_edges UNION SELECT b, a FROM merged_edges",
+    "merged_reach": """SELECT id, id AS label FROM (SELECT id FROM comps UNION SELECT a FROM merged_links)
+                UNION SELECT l.b, r.label FROM merged_reach r JOIN merged_links l ON l.a = r.id""",
+}
+
+
+@query("connected_components_update", "SELECT id AS qualified_identity, min(label) AS component_id FROM merged_reach GROUP BY id", UPDATED_VIEWS)
+def q_components_update(t: Tables) -> DataFrame:
+    """The graph of the first version is stored with its labels; the edges that the next version adds and drops are merged in."""
+
+    def links(edges: DataFrame) -> DataFrame:
+        ends = [qualified_identity(F.col(f"{end}_type"), F.col(end)).alias(name) for end, name in (("source", "src"), ("target", "dst"))]
+        return cu.plain_edges(edges.filter("active_flag").select(*ends))
+
+    lone, before = graph(t)
+    merged = cu.stored(links(ig.identity_edges_merge(before, ig.identity_edges(ig.related_identities(order_diff(t), TODAY)))), "merged")
+    edges = cu.stored(links(before), "edges")
+    labels = cu.stored(ig.identity_components(lone, before).withColumnRenamed("qualified_identity", "id"), "labels")
+    inserted, deleted = without_matches(merged, edges, ["src", "dst"]), without_matches(edges, merged, ["src", "dst"])
+    return cu.update_components(labels, edges, inserted, deleted).withColumnRenamed("id", "qualified_identity")
+
+
 @query(
     "customer360_expand",
     "SELECT id AS qualified_identity, customer_360_id, CAST(total AS BIGINT) AS num_identities, strftime(create_date, '%Y-%m-%d') AS create_date FROM prev",

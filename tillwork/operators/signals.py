@@ -194,3 +194,50 @@ def period_signals(daily: DataFrame, feed_date: str) -> DataFrame:
         "customer_360_id", "partner_id", "location_id", "signal_domain", "signal_name",
         F.inline(F.filter(cells, lambda c: c["signal_value"].isNotNull())),
     )
+
+
+# ---- trailing periods from running totals ----
+
+SIGNAL_KEY = ["customer_360_id", "partner_id", "location_id", "signal_domain", "signal_name"]
+
+
+def extend_totals(totals: DataFrame | None, daily: DataFrame, day: str, after: str | None = None) -> DataFrame:
+    """Running totals as of `day`: per signal the sum and the number of all daily values up to and with it.
+
+    totals: those as of an earlier day, whose date is `after`; daily: the daily signals, of which only the days after it are read.
+    Without totals all days up to `day` count. A key's total is one row, whatever its history.
+    """
+    new = daily.filter(F.col("ord_date") <= F.lit(day).cast("date"))
+    if after is not None:
+        new = new.filter(F.col("ord_date") > F.lit(after).cast("date"))
+    rows = new.groupBy(*SIGNAL_KEY).agg(F.sum("signal_value").alias("total"), F.count("signal_value").alias("days"))
+    if totals is not None:
+        rows = rows.unionByName(totals.select(*rows.columns))
+        rows = rows.groupBy(*SIGNAL_KEY).agg(F.sum("total").alias("total"), F.sum("days").alias("days"))
+    return rows.withColumn("as_of", F.lit(day).cast("date"))
+
+
+def edge_days(feed_date: str) -> dict[str, str]:
+    """For each trailing period the day before its first."""
+    end = dt.date.fromisoformat(feed_date)
+    return {p: (end - dt.timedelta(days=n)).isoformat() for p, n in codes.PERIODS.items()}
+
+
+def period_signals_from_totals(totals: DataFrame, feed_date: str) -> DataFrame:
+    """What period_signals gives, from running totals of the feed date and of the day before each period.
+
+    Each period is the difference of two totals, so a run reads five days of the totals (partitioned by as_of) instead of
+    90 days of signals. A period without a daily value gives no row.
+    """
+    edges = edge_days(feed_date)
+    wanted = [F.lit(d).cast("date") for d in (feed_date, *edges.values())]
+    sign = F.when(F.col("as_of") == wanted[0], 1).otherwise(-1)
+    sums = totals.filter(F.col("as_of").isin(*wanted)).groupBy(*SIGNAL_KEY).agg(
+        *[
+            F.sum(F.when(F.col("as_of").isin(wanted[0], F.lit(d).cast("date")), F.col(c) * sign)).alias(f"{p}_{c}")
+            for p, d in edges.items() for c in ("total", "days")
+        ]
+    )
+    cells = F.array(*[F.struct(F.lit(p).alias("date_option"), F.col(f"{p}_total").alias("signal_value"), F.col(f"{p}_days").alias("days")) for p in edges])
+    listed = sums.select(*SIGNAL_KEY, F.inline(F.filter(cells, lambda c: c["days"] > 0)))
+    return listed.drop("days")

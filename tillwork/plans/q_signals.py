@@ -14,6 +14,7 @@ from tillwork.operators.insights import customer_identities
 from tillwork.operators.keyed import overwrite_where
 from tillwork.plans.bindings import Tables
 from tillwork.plans.registry import query
+from tillwork.session import scratch_folder
 
 FEED = "1996-03-31"
 
@@ -151,20 +152,32 @@ def q_preaggr(t: Tables) -> DataFrame:
     return overwrite_where(stored, fresh, "ord_date", dates)
 
 
-@query(
-    "period_signals",
-    " UNION ALL ".join(
+PERIOD_SQL = " UNION ALL ".join(
         f"""SELECT customer_360_id, partner_id, location_id, signal_domain, signal_name, '{p}' AS date_option, CAST(sum(signal_value) AS BIGINT) AS signal_value
             FROM daily WHERE ord_date BETWEEN DATE '{dt.date.fromisoformat(FEED) - dt.timedelta(days=n - 1)}' AND DATE '{FEED}'
             GROUP BY ALL"""
         for p, n in codes.PERIODS.items()
-    ),
-    METRIC_VIEWS,
-)
+    )
+
+
+@query("period_signals", PERIOD_SQL, METRIC_VIEWS)
 def q_period(t: Tables) -> DataFrame:
     return sig.period_signals(daily_signals(t), FEED)
 
 
+@query("period_signals_from_totals", PERIOD_SQL, METRIC_VIEWS)
+def q_period_totals(t: Tables) -> DataFrame:
+    """Totals of the edge days are stored, each one made from the one before it and the days between."""
+    daily_path, path = scratch_folder(t.spark, "daily"), scratch_folder(t.spark, "totals")
+    daily_signals(t).repartitionByRange("ord_date").write.parquet(daily_path)  # a file holds a run of days
+    daily, before = t.spark.read.parquet(daily_path), None
+    for day in sorted([*sig.edge_days(FEED).values(), FEED]):
+        held = None if before is None else t.spark.read.parquet(f"{path}/as_of={before}")
+        sig.extend_totals(held, daily, day, before).write.mode("append").partitionBy("as_of").parquet(path)
+        before = day
+    return sig.period_signals_from_totals(t.spark.read.parquet(path), FEED)
+
+
 # ---- loyalty ------------------------------------------------------------------------
 
 CONFIG = loy.LoyaltyConfig(new_days=60, loyal_days=90, at_risk_days=30, regular_days=120, rfm_threshold=0.4)

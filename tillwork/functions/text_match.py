@@ -29,6 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
+from tillwork.session import scratch_folder
+
 THRESHOLD = 82
 _MIN_RATIO = THRESHOLD + 0.5
 _UNCOVERED = 1 - _MIN_RATIO / (200 - _MIN_RATIO)
@@ -112,8 +114,7 @@ def _rarest_first(names: DataFrame, parts: Column, counts: DataFrame) -> DataFra
 
 
 def _counts(left: DataFrame, right: DataFrame, parts: Column) -> DataFrame:
-    both = left.select("name", "tokens").unionByName(right.select("name", "tokens"))
-    return both.select(F.explode(parts).alias("part")).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    return left.unionByName(right).select(F.explode(parts).alias("part")).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _cover_prefix(parts: Column) -> Column:
@@ -146,6 +147,13 @@ def _covered(base: Column, whole: Column) -> Column:
     return F.when(base > 0, F.floor(200 * base / (base + whole) + 0.5)).otherwise(0)
 
 
+def _once(df: DataFrame, name: str) -> DataFrame:
+    """The frame written to the shared folder and read again: it is used many times and made once."""
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _side(df: DataFrame, label: str, parts: Column) -> DataFrame:
     return df.select(F.col("name").alias(label), F.explode(parts).alias("part"))
 
@@ -156,11 +164,13 @@ def candidate_names(left: DataFrame, right: DataFrame) -> DataFrame:
     A pair is here because its shared tokens cover enough of a name, which decides it, or because the names share
     as many letter pairs as their lengths ask for.
     """
-    left, right = (
-        df.toDF("name").distinct().withColumn("tokens", name_tokens(F.col("name"))).filter(F.size("tokens") > 0)
-        for df in (left, right)
-    )
-    tokens, pairs = F.col("tokens"), _letter_pairs(F.col("tokens"))
+    named = [
+        df.toDF("name").distinct().withColumn("tokens", name_tokens(F.col("name"))).filter(F.size("tokens") > 0).withColumn("is_left", F.lit(is_left))
+        for df, is_left in ((left, True), (right, False))
+    ]
+    names = _once(named[0].unionByName(named[1]).withColumn("pairs", _letter_pairs(F.col("tokens"))), "names")
+    left, right = names.filter("is_left"), names.filter("NOT is_left")
+    tokens, pairs = F.col("tokens"), F.col("pairs")
     token_counts, pair_counts = _counts(left, right, tokens), _counts(left, right, pairs)
     left_cover = _side(_rarest_first(left, tokens, token_counts), "left_name", _cover_prefix(F.col("parts")))
     right_cover = _side(_rarest_first(right, tokens, token_counts), "right_name", _cover_prefix(F.col("parts")))
@@ -173,7 +183,7 @@ def candidate_names(left: DataFrame, right: DataFrame) -> DataFrame:
     whole = F.least(F.length(_text(F.col("left_tokens"))), F.length(_text(F.col("right_tokens"))))
     covered = shared.filter(_covered(base, whole) > THRESHOLD)
 
-    listed = [_rarest_first(df, pairs, pair_counts).withColumn("length", F.size("parts") - 1) for df in (left, right)]
+    listed = [_once(_rarest_first(df, pairs, pair_counts).withColumn("length", F.size("parts") - 1), "pairs") for df in (left, right)]
     size_class = F.floor(F.log(F.col("length").cast("double")) / math.log(_LONGER * (1 + _SLACK)) + _SLACK)
     sides = []
     for label, df, classes in (("left", listed[0], F.array(size_class - 1, size_class, size_class + 1)), ("right", listed[1], F.array(size_class))):

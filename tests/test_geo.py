@@ -1,9 +1,12 @@
 import math
 import random
 
+import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from tillwork.operators import geo
+from tillwork.sources.ping_store import PingStore
 
 R = 6378137.0
 
@@ -83,3 +86,61 @@ def test_prefilter_reaches_the_parquet_scan(spark, tmp_path):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(latitude" in plan and "LessThanOrEqual(longitude" in plan
     assert kept.count() == 1
+
+
+PING = "utc_timestamp string, latitude double, longitude double, horizontal_accuracy double, id_type string, advertiser_id_AAID string, advertiser_id_IDFA string"
+
+
+def test_stored_pings_give_every_match(spark, tmp_path):
+    """Stores at the edges and corners of areas, pings on both sides, without a place and at the poles; two writes."""
+    rng = random.Random(11)
+    side = 100_000.0
+    points = [degrees(i * side + dx, j * side + dy) for i, j in ((0, 0), (-3, 7), (5, -2)) for dx, dy in ((0, 0), (300, 0.5), (-0.5, 200), (40_000, 40_000))]
+    place = [degrees(x + rng.uniform(-450, 450), y + rng.uniform(-450, 450)) for x, y in (xy(*p) for p in points) for _ in range(40)]
+    place += [(rng.uniform(-80, 80), rng.uniform(-180, 180)) for _ in range(200)]
+    place += [(None, 1.0), (1.0, None), (90.0, 0.0), (-90.0, 0.0), (float("nan"), 0.0), (0.0, float("inf")), (89.9, 180.0)]
+    pings = spark.createDataFrame([(str(1_600_000_000 + i), lat, lon, float(i % 60), "MAID-AAID", f"d{i}", None) for i, (lat, lon) in enumerate(place)], PING)
+    store = PingStore(str(tmp_path / "pings"), side)
+    store.write(pings.limit(300))
+    store.write(pings.join(pings.limit(300), "utc_timestamp", "left_anti").select(pings.columns))
+    assert rows(store.read(spark).select("utc_timestamp")) == rows(pings.select("utc_timestamp"))
+    known = stores(spark, points)
+    expected = rows(geo.geo_overlap(pings, known, 50.0, 300.0, 2.0))
+    for gaps in (None, 3):
+        assert rows(store.overlap(known, 50.0, 300.0, 2.0, gaps)) == expected and len(expected) > 300
+    assert store.overlap(stores(spark, []), 50.0, 300.0, 2.0).count() == 0
+    with pytest.raises(ValueError, match="50 km"):
+        PingStore("x", 10.0)
+
+
+def test_areas_without_a_store_are_not_read(spark, tmp_path):
+    """The stores prune partitions while the query runs; the boxes decide it, not a job before."""
+    pings = spark.range(4000).select(
+        F.col("id").cast("string").alias("utc_timestamp"), (F.col("id") % 40 - 20).cast("double").alias("latitude"), (F.col("id") % 50).cast("double").alias("longitude"),
+        F.lit(10.0).alias("horizontal_accuracy"), F.lit("MAID-AAID").alias("id_type"), F.lit("d").alias("advertiser_id_AAID"), F.lit(None).cast("string").alias("advertiser_id_IDFA"),
+    )
+    store = PingStore(str(tmp_path / "pings"))
+    store.write(pings)
+    folder = str(tmp_path / "stores")
+    stores(spark, [(5.0, 5.0)]).write.parquet(folder)
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan", "")
+    found = store.overlap(spark.read.parquet(folder), 50.0, 300.0, 2.0)
+    listed = set(jobs.getJobIdsForGroup("plan"))
+    execution = found._jdf.queryExecution()
+    assert "dynamicpruning" in execution.executedPlan().toString() and set(jobs.getJobIdsForGroup("plan")) == listed
+    found.collect()
+    scans = [s for s in leaves(execution.executedPlan()) if "pings" in s.toString() and s.metrics().contains("numFiles")]
+    assert len(scans) == 1 and scans[0].metrics().apply("numPartitions").value() <= 2
+    assert scans[0].metrics().apply("numOutputRows").value() <= 4000 / 100
+    assert found.count() == 20
+
+
+def leaves(plan):
+    """The leaf nodes of an executed plan, also below adaptive stages."""
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        return leaves(plan.executedPlan())
+    if plan.getClass().getSimpleName().endswith("QueryStageExec"):
+        return leaves(plan.plan())
+    below = [plan.children().apply(i) for i in range(plan.children().size())]
+    return [leaf for b in below for leaf in leaves(b)] if below else [plan]

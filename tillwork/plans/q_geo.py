@@ -9,6 +9,8 @@ from tillwork.operators import geo
 from tillwork.operators.keyed import merge_partial_update, overwrite_where
 from tillwork.plans.bindings import Tables
 from tillwork.plans.registry import query
+from tillwork.session import scratch_folder
+from tillwork.sources.ping_store import PingStore
 
 ACCURACY_MAX, DISTANCE, MULTIPLIER = 50.0, 600.0, 1.0
 BOX, GAPS = 500.0, 5
@@ -93,6 +95,14 @@ def q_overlap(t: Tables) -> DataFrame:
     return rounded(overlap(t))
 
 
+@query("geo_overlap_stored", OVERLAP_SQL.format(distance="distance_to_store"), GEO_VIEWS)
+def q_overlap_stored(t: Tables) -> DataFrame:
+    """The same from pings stored by area."""
+    kept = PingStore(scratch_folder(t.spark, "pings"))
+    kept.write(t.device_pings())
+    return rounded(kept.overlap(stores(t), ACCURACY_MAX, DISTANCE, MULTIPLIER))
+
+
 @query(
     "geo_overlap_merge",
     OVERLAP_SQL.format(distance="CASE WHEN month(geo_timestamp) = 9 THEN 0 ELSE distance_to_store END"),

@@ -49,7 +49,14 @@ class PingStore:
         named.sortWithinPartitions(AREA, *order[2:]).drop(*order[:4]).write.mode(mode).partitionBy(AREA).parquet(self.path)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.option("basePath", self.path).parquet(self.path)
+        """All pings with their area. The folders are listed here, by a task per core and not by one per folder."""
+        setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+        before = spark.conf.get(setting)
+        spark.conf.set(setting, str(spark.sparkContext.defaultParallelism))
+        try:
+            return spark.read.parquet(self.path)
+        finally:
+            spark.conf.set(setting, before)
 
     def areas(self, stores_m: DataFrame, half_width: float) -> DataFrame:
         """The areas that a box around any store touches, one row each."""

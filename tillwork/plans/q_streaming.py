@@ -12,6 +12,7 @@ from tillwork.plans.q_changes import SNAPSHOT_VIEWS, scratch, snapshot
 from tillwork.plans.q_insights import INSIGHT_VIEWS
 from tillwork.plans.registry import query
 from tillwork.streaming.change_stream import apply_collapsed, read_changes, recompute_changed_days
+from tillwork.streaming.keyed_diffs import maintain_diffs, read_diffs
 
 
 @query(
@@ -81,3 +82,23 @@ def q_stream_collapse(t: Tables) -> DataFrame:
 
     apply_collapsed(read_changes(t.spark, changes, feed.schema), ["ord_id"], save, scratch(t, "offsets")).awaitTermination()
     return t.spark.read.parquet(target).drop("batch")
+
+
+@query(
+    "stream_keyed_diffs",
+    """SELECT k.ord_id, v1.total AS previous_total, v3.total AS current_total
+       FROM (SELECT ord_id FROM feed2 UNION SELECT ord_id FROM feed3) k LEFT JOIN v1 USING (ord_id) LEFT JOIN v3 USING (ord_id)
+       WHERE v1.ord_id IS NOT NULL OR v3.ord_id IS NOT NULL""",
+    SNAPSHOT_VIEWS,
+)
+def q_stream_keyed(t: Tables) -> DataFrame:
+    """Two versions' changes arrive in three batches, a key's rows in different ones; its diff is that of both versions."""
+    arriving, target = scratch(t, "changes"), scratch(t, "diffs")
+    feed = chg.union_change_sources([chg.snapshot_changes(snapshot(t, v - 1), snapshot(t, v), ["ord_id"], v) for v in (2, 3)])
+    feed.repartition(3, F.xxhash64("ord_id", "_change_type", "_commit_version")).write.parquet(arriving)
+    stream = read_changes(t.spark, arriving, feed.schema, max_files=1)
+    maintain_diffs(stream, ["ord_id"], target, scratch(t, "offsets")).awaitTermination()
+    return read_diffs(t.spark, target).select(
+        F.coalesce("previous_record.ord_id", "current_record.ord_id").alias("ord_id"),
+        F.col("previous_record.total").alias("previous_total"), F.col("current_record.total").alias("current_total"),
+    )

@@ -14,6 +14,7 @@ from tillwork.plans.q_changes import scratch
 from tillwork.plans.q_fields import cycle, cycle_sql, order_key
 from tillwork.plans.q_signals import FEED, METRIC_VIEWS, daily_signals, sig
 from tillwork.plans.registry import query
+from tillwork.sources.document_sink import export_committed, read_export
 from tillwork.sources.mapping import import_documents, map_columns, underscore_names
 from tillwork.sources.sinks import export_documents, export_search_profile, replace_partitions, replace_within
 
@@ -233,6 +234,18 @@ def q_export(t: Tables) -> DataFrame:
     return read.withColumnRenamed("_id", "ord_id")
 
 
+@query("export_documents_committed", "SELECT ord_id, partner_id AS partner, CAST(ord_pay_total AS DOUBLE) AS total FROM retail_orders")
+def q_export_committed(t: Tables) -> DataFrame:
+    """Two exports, one for the even and one for the odd totals in cents, the first of them run twice."""
+    path = scratch(t, "committed")
+    mapping = [{"source": "ord_id", "dest": "_id"}, {"source": "partner_id", "dest": "partner"}, {"source": "ord_pay_total", "dest": "total", "cast": "double"}]
+    orders = t.retail_orders()
+    even = F.coalesce(F.pmod(F.round(F.col("ord_pay_total") * 100).cast("bigint"), F.lit(2)) == 0, F.lit(False))
+    for name, part in [("even", even), ("odd", ~even), ("even", even)]:
+        export_committed(orders.filter(part), path, ["_id"], name, mapping, include_all=False)
+    return read_export(t.spark, path, "_id STRING, partner STRING, total DOUBLE").withColumnRenamed("_id", "ord_id")
+
+
 @query(
     "map_columns",
     "SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS full_name, TRY_CAST(c_name AS BIGINT) AS bad_number, c_mktsegment FROM customer",

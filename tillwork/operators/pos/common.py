@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillwork.functions import codes, fields
 from tillwork.operators.keyed import first_per_key
 from tillwork.operators.privacy import Rule, pseudonymise_columns
+from tillwork.sources.typed_landing import TypedLanding
 
 Expression = str | Callable[[], Column]
 
@@ -43,13 +44,20 @@ def strings(*names: str) -> dict[str, str]:
     return dict.fromkeys(names, "string")
 
 
-def parsed(raw: DataFrame, record_type: str, schema: str, feed_date: str | None) -> DataFrame:
-    """Records of one type (and feed date) with their payload as struct r.
+def readers(*uses: RecordSpec | tuple[str, str]) -> list[tuple[str, str]]:
+    """Record type and schema of every reader, for a typed landing."""
+    return [(u.record_type, u.schema) if isinstance(u, RecordSpec) else u for u in uses]
+
+
+def parsed(raw: DataFrame | TypedLanding, record_type: str, schema: str, feed_date: str | None) -> DataFrame:
+    """Records of one type (and feed date) with their payload as struct r, parsed here or when they landed.
 
     The predicates are plain ones on the raw columns, so partitions are pruned; None reads all
     feed dates. The payload leaves through a one-element explode: that keeps the optimizer from
     copying from_json into every filter and field above it, so a record is parsed once.
     """
+    if isinstance(raw, TypedLanding):
+        return raw.records(record_type, schema, feed_date)
     rows = raw.filter((F.col("record_type") == record_type) & F.col("record_value").isNotNull())
     if feed_date is not None:
         rows = rows.filter(F.col("feed_date") == feed_date)
@@ -63,7 +71,7 @@ def exploded(rows: DataFrame, *steps: tuple[str, str]) -> DataFrame:
     return rows
 
 
-def project_records(raw: DataFrame, spec: RecordSpec, partner_id: str, feed_date: str | None) -> DataFrame:
+def project_records(raw: DataFrame | TypedLanding, spec: RecordSpec, partner_id: str, feed_date: str | None) -> DataFrame:
     rows = exploded(parsed(raw, spec.record_type, spec.schema, feed_date), *spec.explode)
     if spec.where is not None:
         rows = rows.filter(spec.where)

@@ -100,6 +100,8 @@ PAYMENTS = c.RecordSpec(
     nulls=c.strings("status", "card_brand", "pan", "bin", "exp_month", "exp_year"),
 )
 
+LANDING = c.readers(LOCATIONS, CATEGORIES, ITEMS, TENDERS, PAYMENTS, ("tickets", ORDER_SCHEMA))
+
 
 def locations(raw: DataFrame, postal_codes: DataFrame, partner_id: str, feed_date: str) -> DataFrame:
     return c.with_place(c.project_records(raw, LOCATIONS, partner_id, feed_date), postal_codes)

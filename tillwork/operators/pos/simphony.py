@@ -97,6 +97,8 @@ TENDERS = c.RecordSpec(
     nulls={"tender_type": "int"},
 )
 
+LANDING = c.readers(LOCATIONS, ITEMS, CATEGORIES, ITEM_PRICES, TAXES, DISCOUNTS, SERVICE_CHARGES, TENDERS, ("guestChecks", CHECK))
+
 
 def orders(raw: DataFrame, partner_id: str, feed_date: str) -> DataFrame:
     """One row per guest-check line with an item; its tender is the check's largest among them."""

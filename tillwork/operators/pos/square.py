@@ -136,6 +136,13 @@ ORDER_SCHEMA = (
     "total_tax_money: STRUCT<amount: STRING>, applied_taxes: ARRAY<STRUCT<tax_uid: STRING>>>>"
 )
 
+IDENTITY_SCHEMA = (
+    "id STRING, location_id STRING, state STRING, customer_id STRING, tenders ARRAY<STRUCT<id: STRING, customer_id: STRING>>, "
+    "fulfillments ARRAY<STRUCT<pickup_details: STRUCT<recipient: STRUCT<email_address: STRING, phone_number: STRING>>>>"
+)
+
+LANDING = c.readers(LOCATIONS, CATEGORIES, ITEMS, TAXES, TENDERS, PAYMENTS, CUSTOMERS, ("orders", ORDER_SCHEMA), ("orders", IDENTITY_SCHEMA))
+
 
 def locations(raw: DataFrame, postal_codes: DataFrame, partner_id: str, feed_date: str) -> DataFrame:
     return c.with_place(c.project_records(raw, LOCATIONS, partner_id, feed_date), postal_codes)
@@ -190,11 +197,7 @@ def orders(raw: DataFrame, by_order: DataFrame, partner_id: str, feed_date: str)
 
 def identities(raw: DataFrame, known_customers: DataFrame, payments: DataFrame, feed_date: str, salt: str) -> tuple[DataFrame, DataFrame]:
     """Customer and pickup contacts, and card combinations, of completed orders."""
-    schema = (
-        "id STRING, location_id STRING, state STRING, customer_id STRING, tenders ARRAY<STRUCT<id: STRING, customer_id: STRING>>, "
-        "fulfillments ARRAY<STRUCT<pickup_details: STRUCT<recipient: STRUCT<email_address: STRING, phone_number: STRING>>>>"
-    )
-    done = c.parsed(raw, "orders", schema, feed_date).filter("r.state = 'COMPLETED'").select(
+    done = c.parsed(raw, "orders", IDENTITY_SCHEMA, feed_date).filter("r.state = 'COMPLETED'").select(
         F.col("r.id").alias("ord_id"), F.col("r.location_id").alias("location_id"), "r.customer_id", "r.tenders", "r.fulfillments"
     )
     paid = done.select("ord_id", "location_id", "customer_id", F.explode("tenders").alias("x")).select(

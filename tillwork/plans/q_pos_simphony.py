@@ -78,6 +78,12 @@ def q_tenders(t: Tables) -> DataFrame:
 LINES = first_row("SELECT *, max(CASE WHEN pk % 2 = 0 THEN 'tm' || (pk % 8) END) OVER (PARTITION BY k) AS tender_id FROM docline", "k, uid", "pk, lc")
 
 
+COLUMNS = [
+    "ord_id", "ord_desc", "ord_total", "ord_date", "ord_timestamp", "location_id", "ord_state", "item_quantity", "item_total", "emp_id", "discount_id", "line_id",
+    "taxes_id", "item_id", "item_price_id", "service_charge_id", "tender_id", "customer_id", "ord_pay_total", "ord_sub_total",
+]
+
+
 @query(
     "orders_simphony",
     f"""SELECT CAST(k AS VARCHAR) AS ord_id, 'Check ' || k AS ord_desc, CAST(cents AS DOUBLE) / 100 AS ord_total, strftime(ts, '%Y-%m-%d') AS ord_date,
@@ -88,7 +94,4 @@ LINES = first_row("SELECT *, max(CASE WHEN pk % 2 = 0 THEN 'tm' || (pk % 8) END)
     POS_VIEWS,
 )
 def q_orders(t: Tables) -> DataFrame:
-    return simphony.orders(raw.simphony_checks(t), P, FEED_DATE).select(
-        "ord_id", "ord_desc", "ord_total", "ord_date", "ord_timestamp", "location_id", "ord_state", "item_quantity", "item_total", "emp_id", "discount_id", "line_id",
-        "taxes_id", "item_id", "item_price_id", "service_charge_id", "tender_id", "customer_id", "ord_pay_total", "ord_sub_total",
-    )
+    return simphony.orders(raw.simphony_checks(t), P, FEED_DATE).select(*COLUMNS)

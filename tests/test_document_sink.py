@@ -100,7 +100,8 @@ def retried_job(folder):
         raise SystemExit("the job should have failed")
     except Exception as error:
         assert "lost after writing" in str(error)
-    assert ids(spark, path) == list(range(1000)) and len(staged(Path(path))) == len(files), "nothing of the failed job"
+    # a task that still runs while the job is given up may stage a file after that: it is there, but does not count
+    assert ids(spark, path) == list(range(1000)) and {f for c in sink._commits(path) for f in c["files"]} == files, "nothing of the failed job"
     sink.DocumentExport = real
     sink.export_committed(frame(spark, 1000, 2000), path, ["id"], "two")
     assert ids(spark, path) == list(range(2000))

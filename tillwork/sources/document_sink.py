@@ -80,6 +80,7 @@ class _Writer(DataSourceArrowWriter):
         store.move(f"{name}.writing", name)
 
     def abort(self, messages: list[Staged | None]) -> None:
+        """Delete what was staged; a task that still runs may stage a file after that, which vacuum_export deletes."""
         store, root = _files(self.path)
         if store.get_file_info(f"{root}/{self.folder}").type == fs.FileType.Directory:
             store.delete_dir(f"{root}/{self.folder}")

@@ -144,3 +144,89 @@ def leaves(plan):
         return leaves(plan.plan())
     below = [plan.children().apply(i) for i in range(plan.children().size())]
     return [leaf for b in below for leaf in leaves(b)] if below else [plan]
+
+
+def orders_and_visits(spark, seed=12):
+    """Orders (some several times, other dates, no customer, no place) and repeated sightings of few devices, with times at the edges of the interval."""
+    rng = random.Random(seed)
+    base, owners = 1_600_000_000, [None, [("email", "a")], [("email", "a"), ("phone", "b")], [("email", "c"), ("card", "x")]]
+    orders = [
+        (rng.choice("pq"), rng.choice(["s", "t"]), f"o{rng.randint(0, 25)}" if i else None, f"2020-09-{rng.randint(10, 14)}", base + 1800 * rng.randint(-60, 60), rng.choice(owners))
+        for i in range(50)
+    ]
+    orders.append((None, "s", "o1", "2020-09-10", base, owners[1]))
+    pings = [(rng.choice("pq"), rng.choice(["s", "t"]), rng.choice([None, "d1", "d2", "d3"]), rng.choice(["A", "B"]), base + 1800 * rng.randint(-90, 90)) for _ in range(120)]
+    pings.append(("p", "s", "d1", "A", None))
+    frame = spark.createDataFrame(orders, "partner_id string, location_id string, ord_id string, d string, s bigint, identity_ids array<struct<identity_type:string,identity_id:string>>")
+    seen = spark.createDataFrame(pings, "partner_id string, location_id string, maid string, maid_type string, s bigint")
+    frame = frame.select("partner_id", "location_id", "ord_id", F.col("d").cast("date").alias("ord_date"), F.timestamp_seconds("s").alias("ord_timestamp"), "identity_ids")
+    return orders, pings, frame, seen.select("partner_id", "location_id", "maid", "maid_type", F.timestamp_seconds("s").alias("geo_timestamp"))
+
+
+def met(orders, pings, interval):
+    """(partner, location, order, device, type): smallest date of a matching order row."""
+    found = {}
+    for p, loc, o, d, s, _ in orders:
+        for q, at, maid, kind, seen in pings:
+            if p is not None and seen is not None and (p, loc) == (q, at) and abs(s - seen) <= interval:
+                key = (p, loc, o, maid, kind)
+                found[key] = min(d, found.get(key, d))
+    return found
+
+
+def test_interval_join_equals_brute_force(spark):
+    for seed, interval in ((12, 12 * 3600), (13, 1800), (14, 3601)):
+        orders, pings, frame, seen = orders_and_visits(spark, seed)
+        expected = met(orders, pings, interval)
+        joined = geo.geo_order_interval_join(frame, seen, interval, count_devices=True)
+        got = joined.select("partner_id", "location_id", "ord_id", "maid", "maid_type", F.col("ord_date").cast("string")).collect()
+        assert len(got) == len(expected) > 20 and {tuple(r)[:5]: r.ord_date for r in got} == expected
+        plain = geo.geo_order_interval_join(frame, seen, interval)
+        assert rows(geo.geo_device_score(joined).drop("identity_ids")) == rows(geo.geo_device_score(plain).drop("identity_ids"))
+
+
+def test_links_by_order_equal_links_by_pair(spark):
+    _, _, frame, seen = orders_and_visits(spark)
+    frame = frame.dropDuplicates(["partner_id", "location_id", "ord_id"])
+    customers = spark.createDataFrame(
+        [("c1", {"email": ["a"], "phone": ["b"]}, True), ("c2", {"phone": ["b"], "email": ["c"]}, True), ("c3", {"email": ["a"]}, False)],
+        "customer_360_id string, identities map<string,array<string>>, active_flag boolean",
+    )
+    plain = geo.geo_customer_link(geo.geo_device_score(geo.geo_order_interval_join(frame, seen, 7200)), customers)
+    known = geo.with_order_customers(geo.orders_near(frame, seen, 7200), customers)
+    pairs = geo.geo_order_interval_join(known, seen, 7200, carry=("customer_360_ids",), count_devices=True)
+    found = geo.geo_customer_link(geo.geo_device_score(pairs), customers)
+    score = F.round("profile_maid_link_score", 9).alias("score")
+    columns = ["maid", "maid_type", "customer_360_id", "frequency_linked", score]
+    assert rows(found.select(columns)) == rows(plain.select(columns)) and found.count() > 5
+
+
+def test_pairs_of_orders_and_devices_are_not_shuffled(spark):
+    """40 orders met by 250 devices each, seen twice: what is shuffled stays far below the 10,000 pairs."""
+    orders = spark.range(40).select(
+        F.lit("p").alias("partner_id"), F.lit("s").alias("location_id"), F.col("id").cast("string").alias("ord_id"), F.lit("2020-09-13").cast("date").alias("ord_date"),
+        F.timestamp_seconds(F.lit(1_600_000_000) + F.col("id")).alias("ord_timestamp"), F.lit(None).cast("array<struct<identity_type:string,identity_id:string>>").alias("identity_ids"),
+    )
+    seen = spark.range(500).select(
+        F.lit("p").alias("partner_id"), F.lit("s").alias("location_id"), (F.col("id") % 250).cast("string").alias("maid"), F.lit("A").alias("maid_type"),
+        F.timestamp_seconds(F.lit(1_600_000_000) + F.col("id")).alias("geo_timestamp"),
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scored = geo.geo_device_score(geo.geo_order_interval_join(orders, seen, 3600, count_devices=True))
+        assert len(scored.collect()) == 10_000
+        written = shuffled(scored._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert written and max(written) <= 1000
+
+
+def shuffled(plan):
+    """Rows written by each shuffle of an executed plan, also below adaptive stages."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return shuffled(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return shuffled(plan.plan())
+    own = [plan.metrics().apply("shuffleRecordsWritten").value()] if kind == "ShuffleExchangeExec" else []
+    return own + [w for i in range(plan.children().size()) for w in shuffled(plan.children().apply(i))]

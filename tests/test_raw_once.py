@@ -2,7 +2,7 @@
 
 import pytest
 
-from tillwork.plans import load_all, pos_raw
+from tillwork.plans import load_all, pos_raw, q_profile
 from tillwork.plans import q_pos_parbrink as parbrink
 from tillwork.plans import q_pos_square as square
 from tillwork.plans import q_pos_toast as toast
@@ -44,3 +44,12 @@ def test_identities_are_found_once_for_all_partition_writes(spark, monkeypatch):
     assert scans(square.q_identities(Tables(spark, FOLDER)), "lineitem") > 0
     square.q_partition_write(Tables(spark, FOLDER))
     assert written == [0, 0, 0]
+
+
+def test_period_signals_are_computed_once_for_all_writes(spark, monkeypatch):
+    written = []
+    for name in ("replace_partitions", "replace_within"):
+        write = getattr(q_profile, name)
+        monkeypatch.setattr(q_profile, name, lambda rows, *more, write=write: (written.append(scans(rows, "orders")), write(rows, *more)))
+    q_profile.q_period_write(Tables(spark, FOLDER))
+    assert written == [0, 0]

@@ -281,8 +281,10 @@ PERIOD_WRITE_SQL = " UNION ALL ".join(
 @query("period_signals_write", PERIOD_WRITE_SQL, METRIC_VIEWS)
 def q_period_write(t: Tables) -> DataFrame:
     """Stale values and a signal that is gone are written first, then the whole day is replaced."""
-    rows = sig.period_signals(daily_signals(t), FEED).withColumn("signal_generation_date", F.lit(FEED).cast("date"))
-    path, by = scratch(t, "periods"), ["signal_generation_date", "signal_domain", "signal_name"]
+    found = sig.period_signals(daily_signals(t), FEED).withColumn("signal_generation_date", F.lit(FEED).cast("date"))
+    path, by, kept = scratch(t, "periods"), ["signal_generation_date", "signal_domain", "signal_name"], scratch(t, "found")
+    found.write.parquet(kept)  # computed once for all writes
+    rows = t.spark.read.parquet(kept)
     stale = rows.withColumn("signal_value", F.lit(-1).cast("bigint"))
     replace_partitions(stale.unionByName(stale.withColumn("signal_name", F.lit("gone"))), path, by)
     replace_within(rows, path, by, t.spark.range(1).select(F.lit(FEED).cast("date").alias("signal_generation_date")))

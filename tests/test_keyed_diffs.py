@@ -6,7 +6,7 @@ from conftest import rows
 
 from tillwork.operators import changes as chg
 from tillwork.streaming.change_stream import read_changes
-from tillwork.streaming.keyed_diffs import maintain_diffs, read_diffs
+from tillwork.streaming.keyed_diffs import keyed_diffs, maintain_diffs, read_diffs
 
 SCHEMA = "id int, name string, amount decimal(10,2), tags array<string>, _change_type string, _commit_version bigint"
 
@@ -76,3 +76,12 @@ def test_state_is_forgotten(spark, tmp_path):
     maintain_diffs(read_changes(spark, arriving, frame(spark, []).schema), ["id"], target, checkpoint, forget_after=1).awaitTermination()
     found = rows(read_diffs(spark, target))
     assert [(p["name"], c) for p, c in found] == [("b", None)]
+
+
+def test_kept_state_needs_no_python(spark, tmp_path):
+    arriving = str(tmp_path / "in")
+    frame(spark, [(1, "a", 1, ["x"], "insert", 1)]).write.parquet(arriving)
+    stream = read_changes(spark, arriving, frame(spark, []).schema)
+    kept, expiring = (keyed_diffs(stream, ["id"], ttl)._jdf.queryExecution().analyzed().toString() for ttl in (None, 1))
+    assert "PySpark" in expiring
+    assert "PySpark" not in kept and "InArrow" not in kept

@@ -169,7 +169,7 @@ def q_period(t: Tables) -> DataFrame:
 def q_period_totals(t: Tables) -> DataFrame:
     """Totals of the edge days are stored, each one made from the one before it and the days between."""
     daily_path, path = scratch_folder(t.spark, "daily"), scratch_folder(t.spark, "totals")
-    daily_signals(t).repartitionByRange("ord_date").write.parquet(daily_path)  # a file holds a run of days
+    daily_signals(t).write.parquet(daily_path)  # in no order: a range sort would make the signals twice, to sample them, and shuffle them
     daily, before = t.spark.read.parquet(daily_path), None
     for day in sorted([*sig.edge_days(FEED).values(), FEED]):
         held = None if before is None else t.spark.read.parquet(f"{path}/as_of={before}")

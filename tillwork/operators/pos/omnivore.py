@@ -113,9 +113,8 @@ def orders(raw: DataFrame, by_order: DataFrame, partner_id: str, feed_date: str)
         return lambda: fields.cents_to_money(F.col(path))
 
     when = F.coalesce("r.closed_at", "r.opened_at")
-    rows = c.exploded(c.parsed(raw, "tickets", ORDER_SCHEMA, feed_date), ("x", "r._embedded.items"))
     lines = c.order_lines(
-        rows,
+        c.parsed(raw, "tickets", ORDER_SCHEMA, feed_date),
         {
             "ord_id": "r.id",
             "ord_total": money("r.totals.total"),
@@ -129,18 +128,21 @@ def orders(raw: DataFrame, by_order: DataFrame, partner_id: str, feed_date: str)
             "ord_type": lambda: F.to_json("r._embedded.order_type"),
             "ord_originate_channel_id": lambda: codes.omnivore_originate(F.col("r._embedded.order_type.name")),
             "ord_target_channel_id": lambda: codes.omnivore_target(F.col("r._embedded.order_type.name")),
-            "item_id": "x.id",
-            "item_quantity": "x.quantity",
-            "item_total": money("x.price"),
             "emp_id": "r._embedded.employee.id",
             "discount_amount": money("r.totals.discounts"),
-            "taxes_amount": money("x.included_tax"),
             "service_charge_amount": money("r.totals.service_charges"),
             "total_taxes_amount": money("r.totals.tax"),
             "total_tip_amount": money("r.totals.tips"),
             "tender_ids": "r._embedded.payments._embedded.tender_type.id",
         },
         feed_date,
+        ("x", "r._embedded.items"),
+        {
+            "item_id": "x.id",
+            "item_quantity": "x.quantity",
+            "item_total": money("x.price"),
+            "taxes_amount": money("x.included_tax"),
+        },
     )
     key = ["partner_id", "location_id", "ord_id", "ord_date", "item_id"]
     return c.with_identities(first_per_key(lines, key, ["item_total", "item_quantity"]), by_order)

@@ -103,21 +103,27 @@ LANDING = c.readers(LOCATIONS, ITEMS, CATEGORIES, ITEM_PRICES, TAXES, DISCOUNTS,
 def orders(raw: DataFrame, partner_id: str, feed_date: str) -> DataFrame:
     """One row per guest-check line with an item; its tender is the check's largest among them."""
     money = "decimal(12,2)"
-    rows = c.exploded(c.parsed(raw, "guestChecks", CHECK, feed_date), ("x", "r.detailLines")).filter("x.menuItem.miNum IS NOT NULL")
-    lines = rows.select(
+    sold = "filter(r.detailLines, x -> x.menuItem.miNum IS NOT NULL)"
+    checks = c.parsed(raw, "guestChecks", CHECK, feed_date).select(
         F.col("r.chkNum").alias("ord_id"), F.col("r.chkName").alias("ord_desc"), F.col("r.chkTtl").try_cast(money).alias("ord_total"),
         F.col("r.opnBusDt").try_cast("date").alias("ord_date"), F.try_to_timestamp("r.opnUTC").alias("ord_timestamp"),
         F.lit(partner_id).alias("partner_id"), F.col("loc_ref").alias("location_id"), F.col("r.clsdFlag").alias("ord_state"),
+        F.col("r.empNum").alias("emp_id"), F.col("r.guestCheckId").alias("customer_id"),
+        F.col("r.payTtl").try_cast(money).alias("ord_pay_total"), F.col("r.subTtl").try_cast(money).alias("ord_sub_total"),
+        F.expr(sold).alias("_lines"), F.expr(f"array_max(transform({sold}, x -> x.tenderMedia.tmedNum))").alias("_tender"),
+    )
+    # what a check's lines share, its tender among it, is made once per check
+    check = ["ord_id", "ord_date", "ord_timestamp", "partner_id", "location_id"]
+    totals = with_group_totals(checks, check, {"tender_id": ("max", F.col("_tender"))}).drop("_tender")
+    tendered = totals.withColumn("x", F.explode("_lines")).select(
+        "ord_id", "ord_desc", "ord_total", "ord_date", "ord_timestamp", "partner_id", "location_id", "ord_state",
         F.col("x.aggQty").try_cast("int").alias("item_quantity"), F.col("x.aggTtl").try_cast(money).alias("item_total"),
-        F.col("r.empNum").alias("emp_id"), F.col("x.discount").alias("discount_id"), F.col("x.dspQty").alias("dsp_qty"),
+        "emp_id", F.col("x.discount").alias("discount_id"), F.col("x.dspQty").alias("dsp_qty"),
         F.col("x.dspTtl").alias("dsp_ttl"), F.col("x.lineNum").alias("line_id"), F.col("x.menuItem.activeTaxes").alias("taxes_id"),
         F.col("x.menuItem.miNum").alias("item_id"), F.col("x.menuItem.prcLvl").alias("item_price_id"),
         F.col("x.rsnCodeNum").alias("reason_code_id"), F.col("x.svcRndNum").alias("service_charge_id"),
-        F.col("x.tenderMedia.tmedNum").alias("_tender"), F.col("r.guestCheckId").alias("customer_id"),
-        F.col("r.payTtl").try_cast(money).alias("ord_pay_total"), F.col("r.subTtl").try_cast(money).alias("ord_sub_total"),
+        "customer_id", "ord_pay_total", "ord_sub_total",
         *[F.lit(None).cast("string").alias(n) for n in ("ord_type", "guest_check_line_item_id", "taxes_amount", "service_charge")],
-        *[F.lit(None).cast("int").alias(n) for n in ("ord_originate_channel_id", "ord_target_channel_id")],
+        *[F.lit(None).cast("int").alias(n) for n in ("ord_originate_channel_id", "ord_target_channel_id")], "tender_id",
     )
-    check = ["ord_id", "ord_date", "ord_timestamp", "partner_id", "location_id"]
-    tendered = with_group_totals(lines, check, {"tender_id": ("max", F.col("_tender"))}).drop("_tender")
     return first_per_key(tendered, ["partner_id", "location_id", "ord_id", "ord_date", "line_id"], ["item_id", "item_total"])

@@ -1,3 +1,4 @@
+import json
 import zlib
 
 import numpy as np
@@ -50,6 +51,31 @@ def test_real_texts(spark):
     assert ours(texts) == [ids_of(t) for t in texts]
 
 
+class _ModelOnly:
+    """A tokenizer of which only the model may be used."""
+
+    def __init__(self, tokenizer):
+        self.model = tokenizer.model
+
+
+def test_letters_go_straight_to_the_model():
+    words = "straße Ärger niño ça où ÿ the THE zebra"
+    encoder = Encoder(read_vocabulary(FILE), 1)
+    encoder.tokenizer = _ModelOnly(encoder.tokenizer)
+    data = words.encode()
+    ids, first = encoder.ids(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    assert ids.tolist() == ids_of(words) and first.tolist() == [0, len(ids)]
+
+
+def test_a_tokenizer_that_cuts_runs_of_letters_is_used_whole():
+    other = json.loads(read_vocabulary(FILE))
+    other["pre_tokenizer"]["pretokenizers"][0] = {"type": "Split", "pattern": {"Regex": "[\\p{L}][\\p{L}]?|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
+    encoder, data = Encoder(json.dumps(other)), "seven words über zwölf".encode()
+    assert encoder.letters is None
+    ids, _ = encoder.ids(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    assert ids.tolist() == Tokenizer.from_str(json.dumps(other)).encode(data.decode(), add_special_tokens=False).ids
+
+
 def test_fullest_is_best():
     rng = np.random.default_rng(1)
     for _ in range(200):
@@ -132,6 +158,12 @@ def test_blocks_round_trip(n):
             assert len(data) < n  # four repeated words take little
 
 
+def test_stored_blocks_stay_readable():
+    ids = (np.arange(90_000, dtype=np.uint64) ** 2 * 2654435761 >> 19 & 8191).astype(np.uint32) % 5000
+    ids[::3] = 77
+    assert zlib.crc32(token_codec._compress(ids)) == 4254730335 and token_codec._VERSION == 2
+
+
 def test_damage_is_found():
     data = bytearray(encode_block([1], np.array([500]), np.arange(500, dtype=np.uint32)))
     for at in (0, 6, 30, 60, len(data) - 1):

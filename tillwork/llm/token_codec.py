@@ -67,7 +67,7 @@ class _Model:
                 self.pending = []
             until = np.cumsum(self.counts)
             spare = ((1 << self.bits0) - self.vocabulary) / float(until[-1])
-            self.low0 = np.zeros(self.vocabulary + 1, np.int64)
+            self.low0 = np.zeros(self.vocabulary + 1, np.int32)
             self.low0[1:] = (until * spare).astype(np.int64) + np.arange(1, self.vocabulary + 1)  # no interval is empty
             self.low0[-1] = 1 << self.bits0
             if self.decoding:
@@ -76,52 +76,58 @@ class _Model:
         share = self.outcomes * ((1 << _MIX_BITS) - 3) // total + 1
         share[:, _MISS] += (1 << _MIX_BITS) - share.sum(axis=1)
         self.share, self.low = share.ravel(), (np.cumsum(share, axis=1) - share).ravel()
+        self.wide_share, self.wide_low = self.share << self.bits0, self.low << self.bits0
+
+    # per lane there is arithmetic on 0 and 1 rather than np.where, which takes ten times as long on values that do not follow each other
 
     def predict(self, lanes: int) -> None:
         """Both predictions and the mixing context of the first `lanes` lanes."""
         one, two = self.before[0, :lanes], self.before[1, :lanes]
         self.at = [((two * 0x9E3779B1 + one * 0x85EBCA77) >> 7) & ((1 << _CONTEXT_BITS) - 1), one]
-        self.guess = [said[at] for said, at in zip(self.said, self.at, strict=True)]
+        self.guess = [said.take(at, mode="clip") for said, at in zip(self.said, self.at, strict=True)]
         self.id2, self.id1 = self.guess[0] >> _SURE_BITS, self.guess[1] >> _SURE_BITS
-        self.trust = [guess & _MOST_SURE for guess in self.guess]
-        mix = (self.trust[0] << _SURE_BITS | self.trust[1]) << 1 | (self.id2 == self.id1)
-        self.mix = mix.astype(np.int64) * 3
+        self.trust = [guess.astype(np.int8) & np.int8(_MOST_SURE) for guess in self.guess]
+        both = (self.trust[0] << np.int8(_SURE_BITS) | self.trust[1]).astype(np.int64)
+        self.mix = (both << 1 | (self.id2 == self.id1)) * 3
 
     def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and length of the ids' intervals of 2 ** (_MIX_BITS + bits0), after predict."""
-        self.outcome = np.where(ids == self.id2, 0, np.where(ids == self.id1, 1, _MISS))
-        return self._interval(ids, np.flatnonzero(self.outcome == _MISS))
-
-    def _interval(self, ids: np.ndarray, miss: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = self.mix + self.outcome
-        share = self.share[at]
-        low, length = self.low[at] << self.bits0, share << self.bits0
-        missed, part = ids[miss], share[miss]
-        start = self.low0[missed]
+        self.hit = [ids == self.id2, ids == self.id1]
+        outcome = (~self.hit[0]).view(np.int8) << (~self.hit[1]).view(np.int8)
+        return self._interval(ids, self.mix + outcome, np.flatnonzero(outcome == _MISS))
+
+    def _interval(self, ids: np.ndarray, at: np.ndarray, miss: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        self.outcome = at
+        low, length = self.wide_low.take(at, mode="clip"), self.wide_share.take(at, mode="clip")
+        missed, part = ids.take(miss, mode="clip"), self.share.take(at.take(miss, mode="clip"), mode="clip")
+        start = self.low0.take(missed, mode="clip")
         low[miss] += part * start
-        length[miss] = part * (self.low0[missed + 1] - start)
+        length[miss] = part * (self.low0.take(missed + 1, mode="clip") - start)
         return low, length
 
     def id_at_place(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ids whose intervals hold these places, and the intervals, after predict."""
-        first = place >> self.bits0
-        self.outcome = (first >= self.low[self.mix + 1]).astype(np.int64) + (first >= self.low[self.mix + _MISS])
-        miss = np.flatnonzero(self.outcome == _MISS)
-        ids = np.where(self.outcome == 0, self.id2, self.id1)
-        at = self.mix[miss] + _MISS
-        ids[miss] = self.id_at[(place[miss] - (self.low[at] << self.bits0)) // self.share[at]]
-        return ids, *self._interval(ids, miss)
+        outcome = (place >= self.wide_low.take(self.mix + 1, mode="clip")).view(np.int8) + (place >= self.wide_low.take(self.mix + _MISS, mode="clip"))
+        at, miss = self.mix + outcome, np.flatnonzero(outcome == _MISS)
+        ids = self.id1 + (self.id2 - self.id1) * (outcome == 0)
+        missed = at.take(miss, mode="clip")
+        inside = (place.take(miss, mode="clip") - self.wide_low.take(missed, mode="clip")) // self.share.take(missed, mode="clip")
+        ids[miss] = self.id_at.take(inside, mode="clip")
+        self.hit = [ids == self.id2, ids == self.id1]
+        return ids, *self._interval(ids, at, miss)
 
     def learn(self, ids: np.ndarray) -> None:
-        seen = np.bincount(self.mix + self.outcome, minlength=self.outcomes.size).reshape(self.outcomes.shape)
+        seen = np.bincount(self.outcome, minlength=self.outcomes.size).reshape(self.outcomes.shape)
         self.outcomes += seen
         heavy = self.outcomes.sum(axis=1) > 4096
         self.outcomes[heavy] = self.outcomes[heavy] + 1 >> 1
         new = ids << _SURE_BITS
-        for said, at, guess, trust in zip(self.said, self.at, self.guess, self.trust, strict=True):
-            name = guess - trust
+        for said, at, guess, trust, hit in zip(self.said, self.at, self.guess, self.trust, self.hit, strict=True):
+            # right: surer by one, _MOST_SURE at most; wrong: half as sure, or the new id where it was not sure at all
+            less, right = trust - (trust >> np.int8(1)), hit.view(np.int8)
+            change = right * (less + (trust < _MOST_SURE)) - less
             # of lanes with one context the last counts, for reader and writer alike
-            said[at] = np.where(name == new, guess + (trust < _MOST_SURE), np.where(trust == 0, new, name + (trust >> 1)))
+            said[at] = guess + change + (new - guess) * ((trust | right) == 0)
         self.pending.append(ids)
         lanes = len(ids)
         self.before[1, :lanes] = self.before[0, :lanes]
@@ -131,12 +137,15 @@ class _Model:
 
 
 class _Coder:
-    """Carry-less range coder (Subbotin), 64-bit state and 16-bit words, one per lane."""
+    """Carry-less range coder (Subbotin), 64-bit state and 16-bit words, one per lane.
+
+    The words are kept by their number in the lane, then by lane: lanes are about equally far, so the words of a step lie together.
+    """
 
-    def __init__(self, lanes: int):
+    def __init__(self, lanes: int, words: np.ndarray):
         self.low = np.zeros(lanes, np.uint64)
         self.range = np.full(lanes, np.iinfo(np.uint64).max, np.uint64)
-        self.place = np.zeros(lanes, np.int64)
+        self.lanes, self.words, self.place = lanes, words, np.arange(lanes)
 
     def narrowed(self, lanes: int, low: np.ndarray, length: np.ndarray, unit: np.ndarray) -> None:
         """Narrow the first lanes' ranges and shift out the words that are settled."""
@@ -145,11 +154,12 @@ class _Coder:
         np.multiply(length.view(np.uint64), unit, out=size)
         todo = np.flatnonzero(((base ^ (base + size)) < _TOP) | (size < _BOTTOM))
         while len(todo):
-            low, size = self.low[todo], self.range[todo]
-            same = (low ^ (low + size)) < _TOP
-            size = np.where(same, size, (np.uint64(0) - low) & (_BOTTOM - np.uint64(1)))
+            low, size = self.low.take(todo, mode="clip"), self.range.take(todo, mode="clip")
+            cut = np.flatnonzero((low ^ (low + size)) >= _TOP)
+            size[cut] = (np.uint64(0) - low[cut]) & (_BOTTOM - np.uint64(1))
             self.shift(todo, low >> np.uint64(48))
-            low, size = low << np.uint64(16), size << np.uint64(16)
+            low <<= np.uint64(16)
+            size <<= np.uint64(16)
             self.low[todo], self.range[todo] = low, size
             todo = todo[((low ^ (low + size)) < _TOP) | (size < _BOTTOM)]
 
@@ -159,43 +169,41 @@ class _Coder:
 
 class _Writer(_Coder):
     def __init__(self, lanes: int, steps: int):
-        super().__init__(lanes)
-        self.words = np.zeros((lanes, steps + 8), np.uint16)
+        super().__init__(lanes, np.zeros(lanes * (steps + 8), np.uint16))
 
     def shift(self, lanes: np.ndarray, word: np.ndarray) -> None:
-        place = self.place[lanes]
-        if place.max() + 3 >= self.words.shape[1]:
-            self.words = np.concatenate([self.words, np.zeros_like(self.words)], axis=1)
-        self.words[lanes, place] = word
-        self.place[lanes] = place + 1
+        place = self.place.take(lanes, mode="clip")
+        if place.max() >= len(self.words):
+            self.words = np.concatenate([self.words, np.zeros_like(self.words)])
+        self.words[place] = word
+        self.place[lanes] = place + self.lanes
 
     def finish(self) -> tuple[np.ndarray, np.ndarray]:
         """Two more words each name a number inside the lane's range; what follows reads as zeros."""
         low = np.uint64((1 << 32) - 1)
         value = (self.low + low) & ~low
-        every = np.arange(len(self.place))
+        every = np.arange(self.lanes)
         for shift in (48, 32):
             self.shift(every, (value >> np.uint64(shift)) & np.uint64(0xFFFF))
-        kept = np.arange(self.words.shape[1]) < self.place[:, None]
-        return self.words[kept], self.place
+        count = self.place // self.lanes
+        by_lane = np.ascontiguousarray(self.words.reshape(-1, self.lanes).T)
+        return by_lane[np.arange(by_lane.shape[1]) < count[:, None]], count
 
 
 class _Reader(_Coder):
     def __init__(self, words: np.ndarray, count: np.ndarray):
-        super().__init__(len(count))
-        self.words = np.append(words, np.zeros(8, np.uint16))
-        self.stop = np.cumsum(count)
-        self.place = self.stop - count
-        self.value = np.zeros(len(count), np.uint64)
-        every = np.arange(len(count))
+        lanes, most = len(count), int(count.max()) + 4
+        by_lane = np.zeros((lanes, most), np.uint16)
+        by_lane[np.arange(most) < count[:, None]] = words
+        super().__init__(lanes, np.ascontiguousarray(by_lane.T).ravel())
+        self.value = np.zeros(lanes, np.uint64)
         for _ in range(4):
-            self.shift(every, None)
+            self.shift(np.arange(lanes), None)
 
     def shift(self, lanes: np.ndarray, word: np.ndarray | None) -> None:
-        at = self.place[lanes]
-        taken = np.where(at < self.stop[lanes], self.words[np.minimum(at, len(self.words) - 1)], np.uint16(0))
-        self.value[lanes] = (self.value[lanes] << np.uint64(16)) | taken
-        self.place[lanes] = at + 1
+        at = self.place.take(lanes, mode="clip")
+        self.value[lanes] = (self.value.take(lanes, mode="clip") << np.uint64(16)) | self.words.take(at, mode="clip")
+        self.place[lanes] = at + self.lanes
 
 
 def _shape(n: int) -> tuple[int, int, int]:

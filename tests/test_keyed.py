@@ -68,6 +68,20 @@ def test_group_totals_equal_the_window(spark):
     assert "Window" not in plan
 
 
+@pytest.mark.parametrize("values", [[None, 1, 2], [7], [None], [None, 3]])
+def test_group_maximum_equals_the_window(spark, values):
+    rng = random.Random(3)
+    df = table(spark, [(rng.choice(["hot"] * 8 + ["x", "y", None]), rng.choice([1, None]), rng.choice(values)) for _ in range(400)] + [("alone", 1, None), ("lone", 1, 4)])
+    expected = df.select("*", F.max("v").over(Window.partitionBy("k", "j")).alias("most"))
+    assert rows(keyed.with_group_maximum(df, ["k", "j"], "most", "v", lambda groups: session.stored_once(groups, "groups"))) == rows(expected)
+
+
+def test_checks_whose_lines_agree_are_shuffled_once(spark):
+    """A check's tender is the largest among its copies; only checks whose copies differ are joined, and they are few."""
+    plan = queries()["orders_simphony_landed"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
 @pytest.mark.parametrize("salts", [None, 5])
 def test_spread_join_equals_plain_join(spark, salts):
     rng = random.Random(2)

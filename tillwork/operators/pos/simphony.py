@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.operators.keyed import first_per_key, with_group_totals
+from tillwork.operators.keyed import first_per_key, with_group_maximum
 from tillwork.operators.pos import common as c
+from tillwork.session import stored_once
 
 LOCATIONS = c.RecordSpec(
     "locations",
@@ -114,7 +115,7 @@ def orders(raw: DataFrame, partner_id: str, feed_date: str) -> DataFrame:
     )
     # what a check's lines share, its tender among it, is made once per check
     check = ["ord_id", "ord_date", "ord_timestamp", "partner_id", "location_id"]
-    totals = with_group_totals(checks, check, {"tender_id": ("max", F.col("_tender"))}).drop("_tender")
+    totals = with_group_maximum(checks, check, "tender_id", "_tender", lambda groups: stored_once(groups, "tenders")).drop("_tender")
     tendered = totals.withColumn("x", F.explode("_lines")).select(
         "ord_id", "ord_desc", "ord_total", "ord_date", "ord_timestamp", "partner_id", "location_id", "ord_state",
         F.col("x.aggQty").try_cast("int").alias("item_quantity"), F.col("x.aggTtl").try_cast(money).alias("item_total"),

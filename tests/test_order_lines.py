@@ -4,6 +4,7 @@ from conftest import rows
 
 from pyspark.sql import functions as F
 
+from tillwork.operators import loyalty
 from tillwork.operators.pos import common as c
 from tillwork.plans import load_all, q_signals
 from tillwork.plans import q_pos_square as square
@@ -32,6 +33,22 @@ def test_times_are_parsed_before_the_lines_are_unnested(spark):
     assert not any("closed_at" in line for line in plan[:unnested]) and any("closed_at" in line for line in plan[unnested:])
 
 
+def test_orders_are_reduced_before_their_identities_are_unnested(spark):
+    lines = spark.createDataFrame(
+        [("1", "p", "s", "2024-01-01", 5, [("email", "a"), ("phone", "b")])] * 3 + [("1", "p", "s", "2024-01-01", 4, [("email", "a")]), ("2", "p", "s", None, 1, [("email", "a")])]
+        + [("3", "p", "s", "2024-01-02", 7, [(None, "a"), ("email", None), ("phone", "z")]), ("4", "p", "s", "2024-01-02", 8, None), ("5", "p", "s", "2024-01-02", 9, [])],
+        "ord_id string, partner_id string, location_id string, ord_date string, ord_pay_total int, identity_ids array<struct<identity_type: string, identity_id: string>>",
+    )
+    people = spark.createDataFrame([("c1", "email:a"), ("c1", "phone:b"), ("c2", "phone:b"), ("c3", "phone:z")], "customer_360_id string, qualified_identity string")
+    out = loyalty.orders_by_customer(lines, people)
+    assert rows(out.select("customer_360_id", "ord_id", "ord_date", "ord_pay_total")) == [
+        ("c1", "1", "2024-01-01", 4), ("c2", "1", "2024-01-01", 5), ("c3", "3", "2024-01-02", 7),
+    ]
+    plan = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    unnested = next(i for i, line in enumerate(plan) if "Generate explode" in line)
+    assert any("Aggregate [" in line for line in plan[unnested:])
+
+
 def test_signals_of_totals_are_not_sorted_by_day(spark, monkeypatch):
     """A range sort makes them once more to sample them."""
     made = []

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.functions import codes
-from tillwork.operators.insights import order_identity_rows
+from tillwork.functions.fields import qualified_identity
 from tillwork.operators.keyed import first_per_key, with_group_totals
 
 BLOCK_DAYS = 30
@@ -39,8 +39,11 @@ def _date(day: str) -> Column:
 
 def orders_by_customer(orders: DataFrame, identities: DataFrame) -> DataFrame:
     """Each order once for every customer one of its identities belongs to."""
-    dated = orders.dropna(subset=["identity_ids", "ord_date"])
-    rows = order_identity_rows(dated, "ord_date", "ord_pay_total").join(identities, "qualified_identity")
+    # an order's lines repeat it: once per order before its identities are unnested; of the rows that two identities give the smallest is taken anyway
+    order = ["ord_id", "partner_id", "location_id", "ord_date", "ord_pay_total"]
+    named = F.transform("identity_ids", lambda i: qualified_identity(i["identity_type"], i["identity_id"]))
+    once = orders.dropna(subset=["identity_ids", "ord_date"]).select(*order, named.alias("_identities")).distinct()
+    rows = once.select(*order, F.explode("_identities").alias("qualified_identity")).join(identities, "qualified_identity")
     return first_per_key(
         rows.drop("qualified_identity"), [*CUSTOMER, "ord_id"], ["ord_date", "ord_pay_total"]
     )

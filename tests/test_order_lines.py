@@ -1,14 +1,18 @@
 """What an order's lines share is made once per order; signals are made once for their running totals."""
 
+import json
+
+import pytest
 from conftest import rows
 
 from pyspark.sql import functions as F
 
-from tillwork.operators import loyalty
+from tillwork.operators import loyalty, pos
 from tillwork.operators.pos import common as c
-from tillwork.plans import load_all, q_signals
+from tillwork.plans import load_all, pos_raw, q_landed, q_signals
 from tillwork.plans import q_pos_square as square
 from tillwork.plans.bindings import Tables
+from tillwork.sources.typed_landing import TypedLanding
 
 load_all()
 FOLDER = "/root/testdata/sf0.001"
@@ -61,3 +65,55 @@ def test_signals_of_totals_are_not_sorted_by_day(spark, monkeypatch):
 class _Unsorted:
     def __init__(self, df):
         self.write = df.write  # no repartitionByRange
+
+
+def square_text(order, location, created, lines):
+    items = None if lines is None else [line and {"uid": line[0], "catalog_object_id": line[1], "quantity": line[2], "total_money": {"amount": line[3]}} for line in lines]
+    return json.dumps({"id": order, "location_id": location, "created_at": created, "total_money": {"amount": "900"}, "line_items": items})
+
+
+def ticket_text(order, location, created, lines):
+    items = None if lines is None else [line and {"id": line[1], "quantity": line[2], "price": line[3]} for line in lines]
+    seconds = created and {"2024-01-01T10:00:00Z": 1704103200, "2024-01-02T10:00:00Z": 1704189600}[created]
+    return json.dumps({"id": order, "opened_at": seconds, "_links": {"self": {"href": f"https://api/1.0/locations/{location}/"}}, "_embedded": {"items": items}})
+
+
+@pytest.mark.parametrize("profile, kind, text", [(pos.square, "orders", square_text), (pos.omnivore, "tickets", ticket_text)])
+def test_orders_of_a_landing_are_those_of_its_text(spark, tmp_path, profile, kind, text):
+    """Orders that come once pass unreduced; replayed, restated, nameless ones and repeated items are reduced."""
+    one, two = "2024-01-01T10:00:00Z", "2024-01-02T10:00:00Z"
+    records = [
+        ("once", "s1", one, [("u1", "a", "1", "100"), ("u2", "b", "x", "200")]), ("once", "s2", one, [("u3", "a", "2", "50")]),
+        ("items", "s1", one, [("u1", "a", "2", "100"), ("u0", "a", "1", "100"), ("u2", "b", "1", "7"), (None, None, "1", "5"), ("u4", None, "1", "3")]),
+        ("again", "s1", one, [("u1", "a", "1", "100")]), ("again", "s1", one, [("u1", "a", "1", "90"), ("u2", "c", "1", "10")]),
+        ("moved", "s1", one, [("u1", "a", "1", "100")]), ("moved", "s1", two, [("u1", "a", "1", "90")]),
+        (None, "s1", one, [("u1", "a", "1", "100")]), (None, "s1", one, [("u1", "a", "1", "80")]), (None, "s2", one, [("u9", "z", "1", "1")]),
+        ("untimed", "s1", None, [("u1", "a", "1", "100")]), ("empty", "s1", one, []), ("none", "s1", one, None), ("hole", "s1", one, [None, ("u1", "a", "1", "1")]),
+    ] + [("replay", "s3", one, [("u1", "a", "1", "100"), ("u2", "b", "1", "200")])] * 20
+    raw = spark.createDataFrame([(kind, text(*r), "2024-01-01") for r in records] + [(kind, "{broken", "2024-01-01")], "record_type string, record_value string, feed_date string")
+    store = TypedLanding(spark, str(tmp_path), profile.LANDING)
+    store.land(raw, "2024-01-01")
+    known = spark.createDataFrame([("once", "s1", ["i1"]), ("again", "s1", ["i2", "i3"]), ("replay", "s3", ["i4"])], "ord_id string, location_id string, identity_ids array<string>")
+    want, got = (profile.orders(x, known, "p", "2024-01-01") for x in (raw, store))
+    assert got.schema == want.schema and rows(got) == rows(want)
+    assert [(r.ord_id, r.location_id, r.item_id, str(r.item_total), r.identity_ids) for r in got.filter("ord_id in ('again', 'replay')").sort("ord_id", "item_id").collect()] == [
+        ("again", "s1", "a", "0.90", ["i2", "i3"]), ("again", "s1", "c", "0.10", ["i2", "i3"]), ("replay", "s3", "a", "1.00", ["i4"]), ("replay", "s3", "b", "2.00", ["i4"]),
+    ]
+    assert [str(r.item_total) for r in got.filter("ord_id = 'items'").sort("item_id").collect()] == ["0.03", "1.00", "0.07"]
+
+
+@pytest.mark.parametrize("query", [q_landed.q_square])
+def test_orders_that_come_once_are_unnested_last(spark, query):
+    """They are shuffled whole to their identities, and their lines are neither shuffled nor sorted after it."""
+    plan = query(Tables(spark, FOLDER))._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    once = next(i for i, line in enumerate(plan) if "LeftAnti" in line)
+    above = [line for line in plan[:once] if not line.lstrip(" :+-").startswith("Project")]
+    assert [line.lstrip(" :+-").split()[0] for line in above] == ["Union", "Generate", "Join"]
+
+
+@pytest.mark.parametrize("records", [pos_raw.square_orders, pos_raw.omnivore_tickets])
+def test_a_records_struct_is_made_outside_the_explode(spark, records):
+    """Spark interprets what an explode evaluates and compiles what a projection does."""
+    plan = records(Tables(spark, FOLDER))._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    unnested = [line for line in plan if "Generate explode" in line]
+    assert unnested and not any("struct(" in line for line in unnested)

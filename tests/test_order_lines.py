@@ -102,7 +102,7 @@ def test_orders_of_a_landing_are_those_of_its_text(spark, tmp_path, profile, kin
     assert [str(r.item_total) for r in got.filter("ord_id = 'items'").sort("item_id").collect()] == ["0.03", "1.00", "0.07"]
 
 
-@pytest.mark.parametrize("query", [q_landed.q_square])
+@pytest.mark.parametrize("query", [q_landed.q_square, q_landed.q_omnivore])
 def test_orders_that_come_once_are_unnested_last(spark, query):
     """They are shuffled whole to their identities, and their lines are neither shuffled nor sorted after it."""
     plan = query(Tables(spark, FOLDER))._jdf.queryExecution().optimizedPlan().toString().split("\n")
@@ -111,6 +111,12 @@ def test_orders_that_come_once_are_unnested_last(spark, query):
     assert [line.lstrip(" :+-").split()[0] for line in above] == ["Union", "Generate", "Join"]
 
 
+def test_a_landing_is_read_by_the_fields_of_its_reader(spark):
+    plan = q_landed.q_omnivore(Tables(spark, FOLDER))._jdf.queryExecution().optimizedPlan()
+    read = [plan.collectLeaves().apply(i).schema().simpleString() for i in range(plan.collectLeaves().size())]
+    assert any("included_tax" in s for s in read) and not any("barcodes" in s for s in read)
+
+
 @pytest.mark.parametrize("records", [pos_raw.square_orders, pos_raw.omnivore_tickets])
 def test_a_records_struct_is_made_outside_the_explode(spark, records):
     """Spark interprets what an explode evaluates and compiles what a projection does."""

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.functions import codes, fields
-from tillwork.operators.keyed import first_per_key
 from tillwork.operators.pos import common as c
 
 LOCATIONS = c.RecordSpec(
@@ -113,8 +112,8 @@ def orders(raw: DataFrame, by_order: DataFrame, partner_id: str, feed_date: str)
         return lambda: fields.cents_to_money(F.col(path))
 
     when = F.coalesce("r.closed_at", "r.opened_at")
-    lines = c.order_lines(
-        c.parsed(raw, "tickets", ORDER_SCHEMA, feed_date),
+    return c.order_table(
+        raw, c.parsed(raw, "tickets", ORDER_SCHEMA, feed_date), by_order,
         {
             "ord_id": "r.id",
             "ord_total": money("r.totals.total"),
@@ -143,9 +142,8 @@ def orders(raw: DataFrame, by_order: DataFrame, partner_id: str, feed_date: str)
             "item_total": money("x.price"),
             "taxes_amount": money("x.included_tax"),
         },
+        ["item_total", "item_quantity"],
     )
-    key = ["partner_id", "location_id", "ord_id", "ord_date", "item_id"]
-    return c.with_identities(first_per_key(lines, key, ["item_total", "item_quantity"]), by_order)
 
 
 def identities(raw: DataFrame, feed_date: str, salt: str) -> tuple[DataFrame, DataFrame]:

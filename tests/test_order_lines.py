@@ -123,3 +123,10 @@ def test_a_records_struct_is_made_outside_the_explode(spark, records):
     plan = records(Tables(spark, FOLDER))._jdf.queryExecution().optimizedPlan().toString().split("\n")
     unnested = [line for line in plan if "Generate explode" in line]
     assert unnested and not any("struct(" in line for line in unnested)
+
+
+def test_payments_of_orders_read_no_lines(spark):
+    t = Tables(spark, FOLDER)
+    made = pos_raw.square_payments(t)
+    assert "l_orderkey" not in made._jdf.queryExecution().optimizedPlan().toString()
+    assert made.count() == t.read("orders").count()

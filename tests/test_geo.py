@@ -6,8 +6,13 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tillwork.operators import geo
+from tillwork.plans import load_all, q_geo
+from tillwork.plans.bindings import Tables
+from tillwork.session import stored_once, tuned
 from tillwork.sources.ping_store import PingStore
 
+load_all()
+
 R = 6378137.0
 
 
@@ -230,3 +235,34 @@ def shuffled(plan):
         return shuffled(plan.plan())
     own = [plan.metrics().apply("shuffleRecordsWritten").value()] if kind == "ShuffleExchangeExec" else []
     return own + [w for i in range(plan.children().size()) for w in shuffled(plan.children().apply(i))]
+
+
+@pytest.mark.parametrize("copies", [False, True])
+def test_links_of_blocks_equal_links_by_pair(spark, monkeypatch, copies):
+    """Stored orders and visits in several blocks of devices, with and without orders that come several times."""
+    monkeypatch.setattr(geo, "PAIRS_PER_BLOCK", 3)
+    _, _, frame, seen = orders_and_visits(spark)
+    if not copies:
+        frame = frame.dropDuplicates(["partner_id", "location_id", "ord_id"])
+    frame = frame.withColumn("customer_360_ids", F.array(F.concat(F.lit("c"), F.length("ord_id")), F.lit("all"))).withColumn("identity_ids", F.lit(None).cast(frame.schema["identity_ids"].dataType))
+    joined = [geo.geo_order_interval_join(frame, seen, 7200, ("customer_360_ids",), True, keep) for keep in (None, lambda df: stored_once(df, "geo"))]
+    order = ["partner_id", "location_id", "ord_id", "ord_date", "maid", "maid_type", "devices"]
+    assert rows(joined[1].select(order)) == rows(joined[0].select(order)) and joined[1].select(geo.BLOCK).distinct().count() > 3
+    score = F.round("profile_maid_link_score", 9).alias("score")
+    plain, found = (geo.geo_customer_link(geo.geo_device_score(j), None).select("maid", "maid_type", "customer_360_id", "frequency_linked", score) for j in joined)
+    assert rows(found) == rows(plain) and found.count() > 5
+
+
+def test_links_are_counted_where_their_pairs_are_made(spark):
+    """Only visits and orders are shuffled, by blocks of devices; neither pairs nor links are."""
+    plan = q_geo.links(Tables(tuned(spark), "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    tuned(spark)
+    dealt = [line for line in plan.split("\n") if "Exchange" in line]
+    assert len(dealt) == 2 and all("hashpartitioning(device_block" in line and "REPARTITION_BY_NUM" in line for line in dealt)
+
+
+def test_stores_seen_do_not_shuffle_the_orders(spark):
+    _, _, frame, seen = orders_and_visits(spark)
+    plan = geo.orders_near(frame, seen, 7200, lambda df: stored_once(df, "seen"))
+    assert rows(plan.select("ord_id")) == rows(geo.orders_near(frame, seen, 7200).select("ord_id"))
+    assert "Exchange hashpartitioning" not in plan._jdf.queryExecution().executedPlan().toString()

@@ -113,7 +113,7 @@ def orders(raw: DataFrame, by_order: DataFrame, partner_id: str, feed_date: str)
 
     when = F.coalesce("r.closed_at", "r.opened_at")
     return c.order_table(
-        raw, c.parsed(raw, "tickets", ORDER_SCHEMA, feed_date), by_order,
+        c.parsed(raw, "tickets", ORDER_SCHEMA, feed_date), isinstance(raw, c.TypedLanding), by_order,
         {
             "ord_id": "r.id",
             "ord_total": money("r.totals.total"),

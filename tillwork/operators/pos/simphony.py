@@ -113,10 +113,22 @@ def orders(raw: DataFrame, partner_id: str, feed_date: str) -> DataFrame:
         F.col("r.payTtl").try_cast(money).alias("ord_pay_total"), F.col("r.subTtl").try_cast(money).alias("ord_sub_total"),
         F.expr(sold).alias("_lines"), F.expr(f"array_max(transform({sold}, x -> x.tenderMedia.tmedNum))").alias("_tender"),
     )
-    # what a check's lines share, its tender among it, is made once per check
+    if isinstance(raw, c.TypedLanding):  # a check that comes once and names no line twice has its own tender and nothing to choose
+        once, again = c.once_and_again(checks, [F.col("ord_id"), F.col("location_id")], F.col("_lines")["lineNum"])
+        return _lines_of(once.withColumnRenamed("_tender", "tender_id")).unionByName(_chosen(again))
+    return _chosen(checks)
+
+
+def _chosen(checks: DataFrame) -> DataFrame:
+    """What a check's lines share, its tender among it, is made once per check; a line is the smallest of its copies."""
     check = ["ord_id", "ord_date", "ord_timestamp", "partner_id", "location_id"]
     totals = with_group_maximum(checks, check, "tender_id", "_tender", lambda groups: stored_once(groups, "tenders")).drop("_tender")
-    tendered = totals.withColumn("x", F.explode("_lines")).select(
+    return first_per_key(_lines_of(totals), ["partner_id", "location_id", "ord_id", "ord_date", "line_id"], ["item_id", "item_total"])
+
+
+def _lines_of(checks: DataFrame) -> DataFrame:
+    money = "decimal(12,2)"
+    return checks.withColumn("x", F.explode("_lines")).select(
         "ord_id", "ord_desc", "ord_total", "ord_date", "ord_timestamp", "partner_id", "location_id", "ord_state",
         F.col("x.aggQty").try_cast("int").alias("item_quantity"), F.col("x.aggTtl").try_cast(money).alias("item_total"),
         "emp_id", F.col("x.discount").alias("discount_id"), F.col("x.dspQty").alias("dsp_qty"),
@@ -127,4 +139,3 @@ def orders(raw: DataFrame, partner_id: str, feed_date: str) -> DataFrame:
         *[F.lit(None).cast("string").alias(n) for n in ("ord_type", "guest_check_line_item_id", "taxes_amount", "service_charge")],
         *[F.lit(None).cast("int").alias(n) for n in ("ord_originate_channel_id", "ord_target_channel_id")], "tender_id",
     )
-    return first_per_key(tendered, ["partner_id", "location_id", "ord_id", "ord_date", "line_id"], ["item_id", "item_total"])

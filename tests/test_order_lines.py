@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tillwork.operators import loyalty, pos
 from tillwork.operators.pos import common as c
 from tillwork.plans import load_all, pos_raw, q_landed, q_signals
+from tillwork.plans import q_pos_parbrink as parbrink
 from tillwork.plans import q_pos_square as square
+from tillwork.plans import q_pos_toast as toast
 from tillwork.plans.bindings import Tables
 from tillwork.sources.typed_landing import TypedLanding
 
@@ -130,3 +132,66 @@ def test_payments_of_orders_read_no_lines(spark):
     made = pos_raw.square_payments(t)
     assert "l_orderkey" not in made._jdf.queryExecution().optimizedPlan().toString()
     assert made.count() == t.read("orders").count()
+
+
+def toast_text(order, closed, lines, second=None):
+    checks = [ls and {"totalAmount": 9.0, "selections": [x and {"guid": x[0], "item": {"guid": x[1]}, "quantity": 1.0, "price": x[2]} for x in ls]} for ls in (lines, second) if ls is not None]
+    return json.dumps({"guid": order, "closedDate": closed and f"{closed}.000+0000", "checks": checks or None})
+
+
+def parbrink_text(order, closed, lines, second=None):
+    entries = None if lines is None else [x and {"Id": x[0], "ItemId": x[1], "GrossSales": x[2]} for x in lines + (second or [])]
+    return json.dumps({"Id": order, "BusinessDate": closed, "ModifiedTime": closed and f"{closed}Z", "Total": "9", "Entries": entries})
+
+
+def simphony_text(order, closed, lines, second=None):
+    sold = None if lines is None else [x and {"lineNum": x[0], "aggTtl": str(x[2]), "menuItem": {"miNum": x[1]}, "tenderMedia": {"tmedNum": f"t{x[2]}"}} for x in lines + (second or [])]
+    return json.dumps({"chkNum": order, "opnBusDt": closed and closed[:10], "opnUTC": closed and f"{closed}Z", "detailLines": sold})
+
+
+@pytest.mark.parametrize("profile, kind, text, place", [
+    (pos.toast, "orders", toast_text, "location_id"), (pos.parbrink, "orders", parbrink_text, "location_id"), (pos.simphony, "guestChecks", simphony_text, "loc_ref"),
+])
+def test_stored_orders_are_those_of_all_their_lines(spark, tmp_path, profile, kind, text, place):
+    """Orders that come once pass unreduced from a landing or stored text; replayed, restated, nameless ones and repeated lines are reduced."""
+    one, two = "2024-01-01T10:00:00", "2024-01-02T10:00:00"
+    records = [
+        ("once", "s1", one, [("u1", "a", 1.0), ("u2", "b", 2.0), ("u3", "a", 3.0)], [("u4", "a", 1.0)]), ("once", "s2", one, [("u1", "a", 5.0)]),
+        ("lines", "s1", one, [("u1", "a", 2.0), ("u1", "a", 1.0), (None, None, 4.0), (None, None, 3.0)]), ("checks", "s1", one, [("u1", "a", 2.0)], [("u1", "a", 1.0)]),
+        ("again", "s1", one, [("u1", "a", 1.0)]), ("again", "s1", one, [("u1", "a", 0.5), ("u2", "c", 7.0)]), ("moved", "s1", one, [("u1", "a", 1.0)]), ("moved", "s1", two, [("u1", "a", 2.0)]),
+        (None, "s1", one, [("u1", "a", 1.0)]), (None, "s1", one, [("u1", "a", 0.5)]), ("untimed", "s1", None, [("u1", "a", 1.0)]), ("empty", "s1", one, []), ("none", "s1", one, None),
+        ("hole", "s1", one, [None, ("u1", "a", 1.0)]),
+    ] + [("replay", "s3", one, [("u1", "a", 1.0), ("u2", "b", 2.0)])] * 20
+    others = {"dining-options": "{}", "destinations": "{}", "tenders": "{}"}
+    data = [(kind, text(r[0], *r[2:]), "2024-01-01", r[1]) for r in records] + [(k, v, "2024-01-01", "s1") for k, v in others.items()] + [(kind, "{broken", "2024-01-01", "s1")]
+    raw = spark.createDataFrame(data, f"record_type string, record_value string, feed_date string, {place} string")
+    store = TypedLanding(spark, str(tmp_path), profile.LANDING)
+    store.land(raw, "2024-01-01")
+    if profile is pos.simphony:
+        want, found = profile.orders(raw, "p", "2024-01-01"), [profile.orders(store, "p", "2024-01-01")]
+    else:
+        known = spark.createDataFrame([("once", "s1", ["i1"]), ("again", "s1", ["i2", "i3"]), ("replay", "s3", ["i4"])], "ord_id string, location_id string, identity_ids array<string>")
+        want = profile.orders(raw, known, "p", "2024-01-01")
+        found = [profile.orders(store, known, "p", "2024-01-01"), profile.orders(raw, known, "p", "2024-01-01", stored=True)]
+    assert want.filter("ord_id = 'once'").count() == 5 and want.filter("ord_id = 'replay'").count() == 2
+    for got in found:
+        assert got.schema == want.schema and rows(got) == rows(want)
+    if profile is pos.parbrink:
+        assert rows(profile.payments(raw, "p", "2024-01-01", stored=True)) == rows(profile.payments(raw, "p", "2024-01-01"))
+
+
+def test_lines_of_a_landed_check_are_not_shuffled(spark):
+    """Those of checks that come once: the plan above them has no aggregation of lines."""
+    plan = q_landed.q_simphony(Tables(spark, FOLDER))._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    once = next(i for i, line in enumerate(plan) if "LeftAnti" in line)
+    above = [line.lstrip(" :+-").split()[0] for line in plan[:once] if not line.lstrip(" :+-").startswith("Project")]
+    assert above == ["Union", "Generate"]
+
+
+@pytest.mark.parametrize("query", [q_landed.q_toast, toast.q_orders, square.q_orders, parbrink.q_orders])
+def test_whole_orders_meet_their_identities(spark, query):
+    """Lines of orders that come once are unnested above the join with identities, and no aggregation is above it."""
+    plan = query(Tables(spark, FOLDER))._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    once = next(i for i, line in enumerate(plan) if "LeftAnti" in line)
+    above = [line.lstrip(" :+-").split()[0] for line in plan[:once]]
+    assert "Aggregate" not in above and above.index("Generate") < above.index("Join")

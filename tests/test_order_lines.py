@@ -195,3 +195,10 @@ def test_whole_orders_meet_their_identities(spark, query):
     once = next(i for i, line in enumerate(plan) if "LeftAnti" in line)
     above = [line.lstrip(" :+-").split()[0] for line in plan[:once]]
     assert "Aggregate" not in above and above.index("Generate") < above.index("Join")
+
+
+def test_orders_are_not_shuffled_to_their_destinations(spark):
+    """The few destinations are stored, so that their size is known before the join is planned."""
+    orders = parbrink.q_orders(Tables(spark, FOLDER))
+    assert any("tillwork-destinations" in f for f in orders.inputFiles())
+    assert "BroadcastHashJoin [location_id" in orders._jdf.queryExecution().executedPlan().toString()

@@ -33,3 +33,11 @@ def test_days_to_replace_are_found_without_pairs(spark):
 def test_devices_of_an_order_are_counted_without_pairs(spark):
     """Pairs of orders that come once are joined for the result only: in each of its halves a join for it and one for the count of repeated orders."""
     assert joins_of_pairs(q_geo.q_score(Tables(spark, FOLDER))) <= 4
+
+
+def test_few_totals_are_broadcast_whatever_the_threshold(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert shuffles(q_geo.q_confidence(Tables(spark, FOLDER))) == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
